@@ -1,0 +1,5 @@
+"""Every operator of this library is a batch operator.
+
+The capability inventory has no stream, watermark or keyed state, so this
+package holds nothing: a placeholder for the layout only.
+"""
