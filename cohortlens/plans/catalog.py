@@ -6,6 +6,7 @@ from cohortlens.plans import (  # noqa: F401
     cohort_queries,
     eval_queries,
     mart_queries,
+    model_queries,
     quality_queries,
     source_queries,
 )
