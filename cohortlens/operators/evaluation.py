@@ -188,19 +188,25 @@ def cumulative_counts(scored: DataFrame, by: Sequence[str] = (), *, extra: Seque
         return folded.withColumns({"tp": F.sum("pos").over(upto), "fp": F.sum("neg").over(upto)})
 
     edges = [float("-inf"), *cuts, float("inf")]
-    sliced = Bucketizer(splits=edges, inputCol="score", outputCol="slice", handleInvalid="keep").transform(folded)
+    cutter = Bucketizer(splits=edges, inputCol="score", outputCol="slice", handleInvalid="keep")
+
+    def sliced(frame: DataFrame) -> DataFrame:
+        return cutter.transform(frame).withColumn("slice", F.col("slice").cast("int"))
+
     above = (Window.partitionBy(*by).orderBy(F.desc("slice"))
              .rowsBetween(Window.unboundedPreceding, -1))
     zero = F.lit(0).cast("bigint")
-    offsets = (
-        sliced.groupBy(*by, "slice").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-        .select(*by, "slice",
-                F.coalesce(F.sum("pos").over(above), zero).alias("tp_above"),
-                F.coalesce(F.sum("neg").over(above), zero).alias("fp_above"))
-    )
+    # straight from the rows: they fold to a few thousand slice totals before any shuffle
+    totals = sliced(scored).groupBy(*by, "slice").agg(
+        F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"))
+    offsets = pin_small(totals.select(
+        *by, "slice",
+        F.coalesce(F.sum("pos").over(above), zero).alias("tp_above"),
+        F.coalesce(F.sum("neg").over(above), zero).alias("fp_above"),
+    ), max_rows=200_000)
     local = (Window.partitionBy(*by, "slice").orderBy(F.desc("score"))
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = sliced.withColumns({"tp": F.sum("pos").over(local), "fp": F.sum("neg").over(local)})
+    ranked = sliced(folded).withColumns({"tp": F.sum("pos").over(local), "fp": F.sum("neg").over(local)})
     return (
         ranked.join(offsets, [*by, "slice"])
         .withColumns({"tp": F.col("tp") + F.col("tp_above"), "fp": F.col("fp") + F.col("fp_above")})

@@ -12,6 +12,7 @@ from cohortlens.operators.cohort import split_frames
 from cohortlens.plans import views as V
 from cohortlens.plans.registry import query
 from cohortlens.sources.shared import fresh_path, freeze
+from cohortlens.sources.sinks import write_partitioned
 
 SPEC = V.RIDE_FEATURES
 KEEP = ("event_id", "grp", "day_key")
@@ -19,8 +20,12 @@ KEEP = ("event_id", "grp", "day_key")
 
 @functools.cache
 def _staged(spark, d):
-    """The rides view written once per session and reused by every fit."""
-    return freeze(models.add_cycle(V.rides(spark, d), SPEC), "rides")
+    """The rides view staged once per session, by day, and reused by every fit: splits
+    on the day key prune folders instead of filtering rows."""
+    rides = models.add_cycle(V.rides(spark, d), SPEC)
+    path = fresh_path(spark, "rides")
+    write_partitioned(rides, path, "day_key")
+    return spark.read.schema(rides.schema).parquet(path)
 
 
 def _splits(spark, d):

@@ -83,8 +83,7 @@ RIDE_DRAW = "(event_id * 7919 + 31) % 1000 / CAST(1000 AS DOUBLE)"
 
 def perturbed_rides(spark, d):
     """The test rides with a fifth of them perturbed by their key's draw."""
-    rides = V.rides(spark, d).where(F.col("day_key") >= V.RIDE_SPLIT.test_from)
-    return R.perturb_inputs(rides, C.key_draw("event_id", 31))
+    return R.perturb_inputs(V.test_rides(spark, d), C.key_draw("event_id", 31))
 
 
 @query("qc_cohort_reconcile", V.RIDES_SQL + f"""
@@ -92,8 +91,7 @@ SELECT count(*) AS base_rows, count(*) AS other_rows, count(*) FILTER (WHERE lab
        count(*) FILTER (WHERE label = 1) AS other_positives, TRUE AS same_rows, TRUE AS same_positives
 FROM rides WHERE {_RIDE_TEST}""")
 def qc_cohort_reconcile(spark, d):
-    base = V.rides(spark, d).where(F.col("day_key") >= V.RIDE_SPLIT.test_from)
-    return Q.reconcile_cohorts(base, perturbed_rides(spark, d))
+    return Q.reconcile_cohorts(V.test_rides(spark, d), perturbed_rides(spark, d))
 
 
 _SUMMED = ("outside_window", "invalid_base", "invalid_part", "missing_place")

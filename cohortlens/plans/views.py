@@ -92,6 +92,12 @@ def rides(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def test_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rides of the test period, bounded on the raw time so that the scan is filtered."""
+    first = F.lit(RIDE_SPLIT.test_from).cast("timestamp_ntz")
+    return rides(spark, sf_dir).where(F.col("ts") >= first)
+
+
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model-free scores over every line item: narrow scan, no join."""
     item = table(spark, sf_dir, "lineitem")

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 @functools.cache
@@ -42,12 +43,13 @@ def freeze(frame: DataFrame, label: str = "frozen", partition_by: str | None = N
 
 
 def pin_small(frame: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Hand a small aggregate back as a local relation of known size.
+    """Compute a small aggregate once and mark the result for broadcast.
 
-    Catalyst then sees the true size and picks a broadcast by its own threshold.
-    An aggregate beyond ``max_rows`` comes back untouched and joins by shuffle.
+    The row count is checked first: an aggregate beyond ``max_rows`` comes back as it
+    was and joins by shuffle. The rows return as a local relation, so a frame read by
+    several joins is not computed again for each.
     """
-    rows = frame.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    rows = frame.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
         return frame
-    return frame.sparkSession.createDataFrame(rows, frame.schema)
+    return F.broadcast(frame.sparkSession.createDataFrame(rows, frame.schema))
