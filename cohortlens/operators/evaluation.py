@@ -191,7 +191,9 @@ def cumulative_counts(scored: DataFrame, by: Sequence[str] = (), *, extra: Seque
     cutter = Bucketizer(splits=edges, inputCol="score", outputCol="slice", handleInvalid="keep")
 
     def sliced(frame: DataFrame) -> DataFrame:
-        return cutter.transform(frame).withColumn("slice", F.col("slice").cast("int"))
+        # a row without a score ranks below every scored row, as in the unsliced sort
+        cut = cutter.transform(frame)
+        return cut.withColumn("slice", F.coalesce(F.col("slice").cast("int"), F.lit(-1)))
 
     above = (Window.partitionBy(*by).orderBy(F.desc("slice"))
              .rowsBetween(Window.unboundedPreceding, -1))
