@@ -15,6 +15,7 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[4]").appName("cohortlens-tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.maxMetadataStringLength", "5000")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
