@@ -108,9 +108,15 @@ def band(column: str, edges: Sequence[float], labels: Sequence[str], other: str,
     return out.otherwise(F.lit(other))
 
 
+# Edges and names of the published distance bands.
+DISTANCE_EDGES = (2, 5)
+DISTANCE_NAMES = ("0-2 miles", "2-5 miles")
+DISTANCE_OTHER = "unknown/outlier"
+
+
 def distance_band(column: str, ceiling: float = 200.0) -> Column:
-    top = f"5-{ceiling:g} miles"
-    return band(column, (2, 5, ceiling), ("0-2 miles", "2-5 miles", top), "unknown/outlier")
+    edges = (*DISTANCE_EDGES, ceiling)
+    return band(column, edges, (*DISTANCE_NAMES, f"5-{ceiling:g} miles"), DISTANCE_OTHER)
 
 
 def shift_cycle(column: str, period: int, step: int = 1) -> Column:

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions import columns as C
 
 
-def _cells(scored: DataFrame, threshold, group: str, sentinel: str) -> DataFrame:
+def _cells(scored: DataFrame, threshold, group: str, sentinel: str, by: Sequence[str] = ()) -> DataFrame:
     y, d = F.col("label") == 1, C.decide("score", threshold) == 1
-    return scored.where(F.col(group) != F.lit(sentinel)).groupBy(group).agg(
+    return scored.where(F.col(group) != F.lit(sentinel)).groupBy(*by, group).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(y).alias("observed"),
         F.count_if(d).alias("flagged"),
@@ -23,7 +25,7 @@ def _shown(c: Column, digits: int | None) -> Column:
 
 
 def audit_groups(scored: DataFrame, threshold, group: str, *, minimum: int = 1000,
-                 sentinel: str = "Unknown", digits: int | None = None) -> DataFrame:
+                 sentinel: str = "Unknown", digits: int | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Rates per reported group; NULL where a rate has no denominator."""
     n, obs, flagged, hits = (F.col(c) for c in ("n", "observed", "flagged", "hits"))
     rates = {
@@ -33,9 +35,9 @@ def audit_groups(scored: DataFrame, threshold, group: str, *, minimum: int = 100
         "fpr": (flagged - hits, n - obs),
         "precision": (hits, flagged),
     }
-    kept = _cells(scored, threshold, group, sentinel).where(n >= F.lit(minimum))
+    kept = _cells(scored, threshold, group, sentinel, by).where(n >= F.lit(minimum))
     return kept.select(
-        group, "n",
+        *by, group, "n",
         *[_shown(C.safe_ratio(a, b, None), digits).alias(name) for name, (a, b) in rates.items()],
     )
 
@@ -46,10 +48,10 @@ def suppressed_groups(scored: DataFrame, threshold, group: str, *, minimum: int
 
 
 def parity_ratio(groups: DataFrame, rate: str = "predicted_positive_rate",
-                 digits: int | None = None) -> DataFrame:
+                 digits: int | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Smallest over largest rate; NULL without groups or when the largest is zero."""
     low, high = F.min(rate), F.max(rate)
-    return groups.agg(
+    return groups.groupBy(*by).agg(
         F.count(F.lit(1)).alias("groups"),
         _shown(F.try_divide(low, high), digits).alias("min_over_max_rate"),
     )

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from cohortlens.functions import columns as C
 from cohortlens.sources.shared import pin_small
 
-# Distinct scores one task may sort before the exact areas go range-sliced.
+# Rows whose distinct scores one task may sort before the exact areas go range-sliced.
 SCORES_PER_SLICE = 2_000_000
 MAX_SLICES = 4_096
 
@@ -151,16 +151,16 @@ def sampled_auc(scored: DataFrame, metric: str, bins: int = 1000) -> float:
     ).evaluate(scored)
 
 
-def _slice_bounds(scored: DataFrame, by: Sequence[str], per_slice: int) -> list[float]:
+def _slice_bounds(scored: DataFrame, per_slice: int) -> list[float]:
     """Score cut points that keep each slice within one task; none when one task is enough.
 
-    Distinct scores are estimated first: a coarse score stays one slice at any row count.
-    Cuts are row quantiles, so no slice can hold more distinct scores than its rows.
+    The row count bounds the distinct scores, and over stored predictions it is read
+    from file footers. Cuts are row quantiles: between two of them there are at most a
+    slice's rows, so at most that many distinct scores, while a score shared by a third
+    of all rows collapses to one cut.
     """
-    distinct, rows = scored.agg(
-        F.approx_count_distinct(F.struct(*by, "score")), F.count(F.lit(1))
-    ).first()
-    if distinct * 1.1 <= per_slice:
+    rows = scored.count()
+    if rows <= per_slice:
         return []
     wanted = min(MAX_SLICES, max(2, -(-rows // per_slice)))
     shares = [i / wanted for i in range(1, wanted)]
@@ -176,7 +176,7 @@ def cumulative_counts(scored: DataFrame, by: Sequence[str] = (), *, extra: Seque
     the range is cut into slices that sort in parallel; each adds the totals of the
     slices above it. ``extra`` columns are constant per model and ride along.
     """
-    cuts = _slice_bounds(scored, by, per_slice)
+    cuts = _slice_bounds(scored, per_slice)
     y = _positive()
     folded = scored.groupBy(*by, "score").agg(
         F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"),
@@ -244,13 +244,6 @@ def exact_areas(scored: DataFrame, by: Sequence[str] = (), *, per_slice: int = S
     return summed.select(*by, *[c.alias(n) for n, c in _areas().items()])
 
 
-METRICS = (
-    "rows", "base_rate", "tn", "fp", "fn", "tp", "accuracy", "positive_precision",
-    "positive_recall", "positive_f1", "specificity", "balanced_accuracy", "auc_roc",
-    "auc_pr", "threshold",
-)
-
-
 def metric_rows(scored: DataFrame, threshold=None, by: Sequence[str] = (), *,
                 per_slice: int = SCORES_PER_SLICE, digits: int | None = None) -> DataFrame:
     """One full metric row per model.

@@ -132,15 +132,17 @@ def retraining_trials(train: DataFrame, validation: DataFrame, key: str, spec: F
 
 def score_all(fitted: dict, frame: DataFrame, keep: Sequence[str] = (), label: str = "label") -> DataFrame:
     """Every model's scores over one frame as a long table, frozen: later actions read
-    files instead of scoring again."""
-    parts = [
-        models.score(m, frame, keep, label=label).withColumn("model", F.lit(name))
-        for name, m in fitted.items()
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return freeze(out, "scores")
+    files instead of scoring again.
+
+    The frame is scanned once: each model adds its score column, then every row fans out
+    in place.
+    """
+    wide, entries = frame, []
+    for i, (name, model) in enumerate(fitted.items()):
+        wide = models.score(model, wide, wide.columns, label=label, into=f"score_{i}")
+        entries.append(F.struct(F.lit(name).alias("model"), F.col(f"score_{i}").alias("score")))
+    long = wide.select(F.col(label).cast("double").alias("label"), *keep, F.inline(F.array(*entries)))
+    return freeze(long, "scores")
 
 
 def prepare_training(frame: DataFrame, spec: FeatureSpec) -> DataFrame:

@@ -35,7 +35,7 @@ def group_rates(frame: DataFrame, keys: Sequence[str], *, label: str = "label",
 def mean_money(column: str) -> Column:
     """Mean of an amount in cents precision. Whole cents add up exactly, so the mean does
     not depend on the order in which tasks deliver their partial sums."""
-    return F.avg(F.round(F.col(column) * 100).cast("bigint")) / F.lit(100.0)
+    return F.avg(F.floor(F.col(column) * 100 + 0.5)) / F.lit(100.0)
 
 
 def split_totals(frame: DataFrame, split: TimeSplit) -> DataFrame:
@@ -93,6 +93,10 @@ def median_timings(frame: DataFrame, keys: Sequence[str], seconds: str) -> DataF
     )
 
 
+# The cost table's columns and source notes.
+UNPRICED = "unpriced"
+BENCHMARK_ONLY = "benchmark only"
+PRICED_NOTE = "(cluster rate only; no storage/egress)"
 COST_COLUMNS = (
     "experiment", "model", "config", "sample_fraction", "rows", "wall_seconds",
     "usd_estimate", "cost_source",
@@ -105,12 +109,12 @@ def cost_table(measurements: DataFrame, price_per_hour: float | None = None, sou
     seconds = F.round(F.col("wall_seconds"), 3)
     if price_per_hour is None:
         usd = F.lit(None).cast("double")
-        note = F.when(F.col("experiment") == "training", "unpriced").otherwise("benchmark only")
+        note = F.when(F.col("experiment") == "training", UNPRICED).otherwise(BENCHMARK_ONLY)
     else:
         if not price_per_hour > 0 or not source.startswith("https://"):
             raise ValueError("a cluster price must be positive and cite an https source")
         usd = F.round(seconds / F.lit(3600.0) * F.lit(float(price_per_hour)), 4)
-        note = F.lit(f"{source} (cluster rate only; no storage/egress)")
+        note = F.lit(f"{source} {PRICED_NOTE}")
     return measurements.select(
         "experiment", "model", "config", "sample_fraction", "rows",
         seconds.alias("wall_seconds"), usd.alias("usd_estimate"), note.alias("cost_source"),

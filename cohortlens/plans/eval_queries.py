@@ -11,6 +11,7 @@ from cohortlens.operators import robustness as R
 from cohortlens.plans import views as V
 from cohortlens.plans.cohort_queries import cohort
 from cohortlens.plans.registry import query
+from cohortlens.sources.shared import pin_small
 
 BINS = 150
 T = 0.35
@@ -234,13 +235,18 @@ def eval_winner_decisions(spark, d):
 
 
 def _before_after(spark, d):
-    """Formula models before and after moving a fifth of the scores, at fixed thresholds."""
+    """Formula models before and after moving a fifth of the scores, at fixed thresholds.
+
+    Both sides of a row fan out in place, so one pass measures them together.
+    """
     scored = V.model_scores(spark, d).where(F.col("part") == "test")
     item_key = F.pmod(F.floor(F.col("score") * 1000).cast("bigint") * 7919 + 31, F.lit(1000)) / F.lit(1000.0)
-    moved = scored.withColumn("score", F.when(item_key < 0.2, F.col("score") * 0.5).otherwise(F.col("score")))
-    before = E.metric_rows(scored, 0.45, ["model"])
-    after = E.metric_rows(moved, 0.45, ["model"])
-    return before, after
+    moved = F.when(item_key < 0.2, F.col("score") * 0.5).otherwise(F.col("score"))
+    sides = scored.select("model", "label", F.inline(F.array(
+        F.struct(F.lit("base").alias("side"), F.col("score").alias("score")),
+        F.struct(F.lit("moved").alias("side"), moved.alias("score")))))
+    measured = pin_small(E.metric_rows(sides, 0.45, ["model", "side"]))
+    return measured.where("side = 'base'"), measured.where("side = 'moved'")
 
 
 _MOVED = V.MODEL_SCORES_SQL + """

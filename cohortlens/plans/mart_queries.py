@@ -56,7 +56,7 @@ def business(spark, d, minimum):
 
 @query("mart_business", V.TRIPS_SQL + f"""
 SELECT year_month, grp, pickup_hour, count(*) AS n, round(avg(label), 6) AS high_tip_rate,
-       round(avg(CAST(round(fare_amount * 100) AS BIGINT)) / 100, 6) AS mean_fare_usd
+       round(avg(CAST(floor(fare_amount * 100 + 0.5) AS BIGINT)) / 100, 6) AS mean_fare_usd
 FROM cohort GROUP BY 1, 2, 3 HAVING count(*) >= {MINIMUM} ORDER BY 1, 2, 3""")
 def mart_business(spark, d):
     return business(spark, d, MINIMUM)
@@ -75,7 +75,7 @@ def mart_distance(spark, d):
 @query("mart_distance_fare", V.TRIPS_SQL + """
 SELECT CASE WHEN trip_distance < 10 THEN '0-10' WHEN trip_distance < 20 THEN '10-20'
             WHEN trip_distance < 30 THEN '20-30' WHEN trip_distance < 40 THEN '30-40' ELSE '40+' END AS distance_band,
-       count(*) AS n, round(avg(label), 6) AS rate, round(avg(CAST(round(fare_amount * 100) AS BIGINT)) / 100, 6) AS mean_fare,
+       count(*) AS n, round(avg(label), 6) AS rate, round(avg(CAST(floor(fare_amount * 100 + 0.5) AS BIGINT)) / 100, 6) AS mean_fare,
        round(sum(trip_distance), 2) AS volume
 FROM cohort GROUP BY 1""")
 def mart_distance_fare(spark, d):

@@ -236,12 +236,8 @@ def audit_blind_compare(spark, d):
     fitted = {"full": models.fit(parts["train"], SPEC, lr), "blind": models.fit(parts["train"], SPEC.without("grp"), lr)}
     test = experiments.score_all(fitted, parts["test"], ["grp"])
     metrics = evaluation.metric_rows(test, 0.5, ["model"]).select("model", "positive_f1", "auc_roc", "auc_pr")
-    ratios = None
-    for n in fitted:
-        part = test.where(F.col("model") == n)
-        row = audit.parity_ratio(audit.audit_groups(part, 0.5, "grp", minimum=50)).withColumn("model", F.lit(n))
-        ratios = row if ratios is None else ratios.unionByName(row)
-    return metrics.join(ratios, "model")
+    groups = audit.audit_groups(test, 0.5, "grp", minimum=50, by=["model"])
+    return metrics.join(audit.parity_ratio(groups, by=["model"]), "model")
 
 
 @query("bench_shuffle")

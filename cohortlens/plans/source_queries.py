@@ -67,12 +67,14 @@ def src_conform_schema(spark, d):
 
 
 @query("src_tag_period", """
-SELECT CAST(length('orders') AS INTEGER) AS source_period, count(*) AS n FROM orders""")
+SELECT CAST(year(o_orderdate) AS INTEGER) AS source_period, count(*) AS n FROM orders GROUP BY 1""")
 def src_tag_period(spark, d):
-    """The period is read from the file name: here, its length stands in for digits."""
-    read = V.table(spark, d, "orders")
-    named = read.select(F.length(F.regexp_extract(F.col("_metadata.file_name"), r"([a-z]+)\.parquet", 1)).alias("source_period"))
-    return named.groupBy("source_period").agg(F.count(F.lit(1)).alias("n"))
+    """Orders written by year; each row's period comes back from its file's path."""
+    path = fresh_path(spark, "yearly")
+    K.write_partitioned(
+        V.table(spark, d, "orders").select("o_orderkey", F.year("o_orderdate").alias("y")), path, "y")
+    tagged = N.tag_period(spark.read.schema("o_orderkey long").parquet(path), r"/y=(\d+)/")
+    return tagged.groupBy("source_period").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("union_periods", """

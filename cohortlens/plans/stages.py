@@ -220,6 +220,15 @@ def assess(spark: SparkSession, job: Job, *, repeats: int = 3, explained_rows: i
     return ranked
 
 
+# Configuration names in the cost table.
+TRAINED = "CV + refit"
+CACHE_CONFIGS = {
+    "median_uncached": "uncached repeated median",
+    "median_cached": "cached repeated median excludes fill",
+    "fill_seconds": "cache fill",
+}
+
+
 def cost_measurements(spark: SparkSession, job: Job) -> DataFrame:
     """Training, shuffle, cache and sampling times in one long shape."""
     def shape(frame, experiment, model, config, seconds, fraction=None, rows=None):
@@ -233,11 +242,9 @@ def cost_measurements(spark: SparkSession, job: Job) -> DataFrame:
     cache = _read(spark, job, "bench_cache")
     fraction = F.col("sample_fraction")
     return conform.union_frames([
-        shape(_read(spark, job, "timings"), "training", F.col("model"), F.lit("CV + refit"), F.col("total_seconds")),
+        shape(_read(spark, job, "timings"), "training", F.col("model"), F.lit(TRAINED), F.col("total_seconds")),
         shape(_read(spark, job, "bench_shuffle"), "shuffle", plain, F.col("partitions").cast("string"), F.col("median_seconds")),
-        shape(cache, "cache", plain, F.lit("uncached repeated median"), F.col("median_uncached")),
-        shape(cache, "cache", plain, F.lit("cached repeated median excludes fill"), F.col("median_cached")),
-        shape(cache, "cache", plain, F.lit("cache fill"), F.col("fill_seconds")),
+        *[shape(cache, "cache", plain, F.lit(config), F.col(c)) for c, config in CACHE_CONFIGS.items()],
         shape(_read(spark, job, "bench_fraction"), "groupby_fraction", plain,
               F.concat(F.lit("sample="), fraction.cast("string")), F.col("group_by_seconds"), fraction, F.col("rows")),
     ])
