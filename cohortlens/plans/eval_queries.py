@@ -165,6 +165,19 @@ def eval_auc_pr(spark, d):
     return E.exact_areas(V.scores(spark, d)).select(F.round("auc_pr", 9).alias("auc_pr"))
 
 
+@query("eval_auc_evaluator", V.SCORES_SQL + area_sql("scores")
+       + "SELECT round(auc_roc, 9) AS auc_roc, round(auc_pr, 9) AS auc_pr FROM areas")
+def eval_auc_evaluator(spark, d):
+    """Spark's own evaluator: below its 1000 points it keeps every distinct score."""
+    scored = V.scores(spark, d).persist()
+    try:
+        areas = [E.sampled_auc(scored, m) for m in ("areaUnderROC", "areaUnderPR")]
+    finally:
+        scored.unpersist()
+    row = spark.createDataFrame([tuple(areas)], "auc_roc double, auc_pr double")
+    return row.select(*[F.round(c, 9).alias(c) for c in row.columns])
+
+
 @query("eval_auc_sliced", V.MODEL_SCORES_SQL + area_sql("model_scores", "model")
        + "SELECT model, round(auc_roc, 9) AS auc_roc, round(auc_pr, 9) AS auc_pr FROM areas")
 def eval_auc_sliced(spark, d):

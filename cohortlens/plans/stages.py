@@ -160,7 +160,7 @@ def _saved_models(spark: SparkSession, job: Job) -> dict:
 
 
 def assess(spark: SparkSession, job: Job, *, repeats: int = 3, explained_rows: int = 1,
-           retraining_share: float | None = None) -> DataFrame:
+           retraining_share: float | None = None, retraining_trials: int = 3) -> DataFrame:
     """Benchmarks, perturbed test set, local explanations, group audit.
 
     ``retraining_share`` adds the costly refits on subsamples of that share.
@@ -211,12 +211,13 @@ def assess(spark: SparkSession, job: Job, *, repeats: int = 3, explained_rows: i
         keyed = {n: p.withColumn("row_key", F.xxhash64(*p.columns)) for n, p in parts.items()}
         train_rows = cohort.with_pinned_weights(keyed["train"], job.features.label, job.features.weight)
         limits = {r.model: r.threshold for r in chosen.collect()}
-        _table(job, "retraining", conform.union_frames([
+        trials = _table(job, "retraining", conform.union_frames([
             experiments.retraining_trials(
                 train_rows, keyed["validation"], "row_key", job.features, c, limits[c.name],
-                share=retraining_share, seed=job.seed)
+                share=retraining_share, trials=retraining_trials, seed=job.seed)
             for c in models.candidates(job.features, smoke=job.smoke)
         ]))
+        _table(job, "retraining_summary", robustness.delta_summary(trials))
     return ranked
 
 
@@ -251,7 +252,7 @@ def cost_measurements(spark: SparkSession, job: Job) -> DataFrame:
 
 
 def publish(spark: SparkSession, job: Job) -> list[str]:
-    """Aggregate CSV marts; no row-level data leaves the staged table."""
+    """Aggregate CSV marts and JSON documents; no row-level data leaves the staged table."""
     fact, group = staged(spark, job), job.cohort.group
     metrics = _read(spark, job, "metrics")
     performance = metrics.join(_read(spark, job, "timings"), "model").withColumnRenamed("threshold", "selected_threshold")
@@ -280,4 +281,6 @@ def publish(spark: SparkSession, job: Job) -> list[str]:
     }
     for name, (frame, headers) in tables.items():
         sinks.write_csv(frame, job.at("marts", name), headers.split())
+    for name in ("metrics", "curves", "robustness", "audit"):
+        sinks.write_json(_read(spark, job, name), job.at("documents", name))
     return list(tables)

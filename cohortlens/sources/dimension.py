@@ -18,7 +18,7 @@ def read_dimension(spark: SparkSession, path: str, key: str, value: str, *,
     """Header CSV lookup: integer key (unparsable ones dropped) and one text value."""
     raw = spark.read.option("header", True).csv(path)
     named = raw.select(
-        F.expr(f"try_cast(`{key}` AS int)").alias(key_as), F.col(f"`{value}`").alias(value_as)
+        F.col(f"`{key}`").try_cast("int").alias(key_as), F.col(f"`{value}`").alias(value_as)
     )
     return one_row_per_key(named, key_as, value_as)
 

@@ -36,10 +36,18 @@ def require_files(inventory: DataFrame, expected: Sequence[str]) -> None:
         raise FileNotFoundError(f"missing input files: {absent}")
 
 
-def _open_stream(uri: str):
+def locate(uri: str):
+    """The Arrow file system and inner path behind a Spark file path."""
     from pyarrow import fs
 
-    store, path = fs.FileSystem.from_uri(uri)
+    for spark_scheme in ("s3a://", "s3n://"):
+        if uri.startswith(spark_scheme):
+            uri = "s3://" + uri[len(spark_scheme):]
+    return fs.FileSystem.from_uri(uri)
+
+
+def _open_stream(uri: str):
+    store, path = locate(uri)
     return store.open_input_stream(path)
 
 

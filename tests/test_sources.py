@@ -69,7 +69,7 @@ def test_dimension_dedupes_and_drops_bad_keys(spark, tmp_path):
 
 
 def test_csv_headers_blanks_and_empty(spark, tmp_path):
-    f = spark.createDataFrame([(1, "a", 9)], "x int, y string, extra int")
+    f = spark.createDataFrame([(1, "a", 9)], "x int, y string, extra int").coalesce(1)
     sinks.write_csv(f, str(tmp_path / "o"), ["y", "gone", "x"])
     text = next((tmp_path / "o").glob("part-*.csv")).read_text().splitlines()
     assert text[0] == "y,gone,x" and text[1] in ('a,,1', 'a,"",1')
@@ -103,6 +103,39 @@ def test_scratch_comes_from_the_session(spark):
     assert shared.shared_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
 
 
+def test_cluster_without_a_shared_folder_is_refused():
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master, applicationId = "spark://host:1", "app"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared.shared_root(Session())
+
+
+def test_hot_period_is_split_over_writers(spark, tmp_path):
+    keys = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    before = {k: spark.conf.get(k) for k in keys}
+    rows = spark.range(0, 200_000, 1, 8).select(
+        "id", F.when(F.col("id") % 10 < 9, "2019-01").otherwise(F.concat(F.lit("2019-"), F.lpad((F.col("id") % 11 + 1).cast("string"), 2, "0"))).alias("p"),
+        F.xxhash64("id").alias("noise"))
+    try:
+        for k in keys:
+            spark.conf.set(k, "128k")
+        sinks.write_partitioned(rows, str(tmp_path / "w"), "p", ["id"])
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    hot, cold = (len(list((tmp_path / "w" / f"p={p}").glob("*.parquet"))) for p in ("2019-01", "2019-05"))
+    assert hot >= 4 and cold <= 2
+    assert spark.read.parquet(str(tmp_path / "w")).count() == 200_000
+
+
 def test_session_settings(spark):
     with pytest.raises(ValueError):
         session.build_session("x", {"executor_instances": 0})
