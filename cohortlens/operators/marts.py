@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.operators.cohort import split_name
+from cohortlens.operators.evaluation import SCORES_PER_SLICE, cumulative_counts
+from cohortlens.sources.shared import pin_small
 from cohortlens.spec import TimeSplit
 
 
@@ -87,10 +89,31 @@ def top_cells(frame: DataFrame, keys: Sequence[str], count: int, *, label: str =
     return cells.orderBy(F.desc("n"), *keys).limit(count)
 
 
+def exact_median(frame: DataFrame, keys: Sequence[str], value: str, *,
+                 per_slice: int = SCORES_PER_SLICE) -> DataFrame:
+    """Rows and exact median per group, NULLs left out.
+
+    The built-in ``median`` keeps every distinct value of a group in one task. Here
+    values fold to counts, running counts come from the range-sliced sort of the
+    evaluation module, and the one or two middle values are picked by rank.
+    """
+    rows = frame.where(F.col(value).isNotNull()).select(
+        *keys, F.col(value).cast("double").alias("score"), F.lit(0.0).alias("label"))
+    totals = pin_small(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
+    # "fp" counts the rows at or above a value: its lowest rank follows from the total
+    first, size = F.col("n") - F.col("fp"), F.col("neg")
+
+    def holds(rank: Column) -> Column:
+        return (first <= rank) & (rank < first + size)
+
+    low, high = F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)
+    middle = cumulative_counts(rows, keys, per_slice=per_slice).join(totals, list(keys))
+    return middle.where(holds(low) | holds(high)).groupBy(*keys).agg(
+        F.max("n").alias("n"), ((F.min("score") + F.max("score")) / 2.0).alias("median"))
+
+
 def median_timings(frame: DataFrame, keys: Sequence[str], seconds: str) -> DataFrame:
-    return frame.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("runs"), F.median(seconds).alias("median_seconds")
-    )
+    return exact_median(frame, keys, seconds).withColumnsRenamed({"n": "runs", "median": "median_seconds"})
 
 
 # The cost table's columns and source notes.

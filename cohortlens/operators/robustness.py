@@ -74,7 +74,7 @@ def rank_by_impact(deltas: DataFrame, key: str = "model") -> DataFrame:
 
 def delta_summary(trials: DataFrame, key: str = "model", metric: str = "delta_auc_pr",
                   digits: int | None = None) -> DataFrame:
-    """Mean, median and largest absolute change over repeated trials."""
+    """Mean, median and largest absolute change over repeated trials, a handful per model."""
     size = F.abs(F.col(metric))
 
     def shown(c: Column) -> Column:
