@@ -28,10 +28,14 @@ def explained_features(spec: FeatureSpec) -> tuple[list[str], list[str]]:
     return list(spec.numeric), [*spec.categories, *cyclic]
 
 
+MAX_BACKGROUND = 10_000
+
+
 def background_profile(background: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """One row: mean and spread of numerics, the sorted values of each category.
+    """One struct: mean and spread of numerics, the sorted values of each category.
 
-    The background is bounded by its row limit, and so is this row.
+    A background set is small by definition; one beyond ``MAX_BACKGROUND`` rows is refused
+    rather than cut.
     """
     numeric, category = explained_features(spec)
     parts = []
@@ -40,7 +44,11 @@ def background_profile(background: DataFrame, spec: FeatureSpec) -> DataFrame:
                   F.coalesce(F.stddev_pop(c), F.lit(1.0)).alias(f"{c}__std")]
     for c in category:
         parts.append(F.sort_array(F.collect_list(F.coalesce(F.col(c), F.lit("Unknown")))).alias(f"{c}__values"))
-    return background.agg(*parts)
+    bounded = background.select(*numeric, *category).limit(MAX_BACKGROUND + 1)
+    row = bounded.agg(F.count(F.lit(1)).alias("_rows"), *parts)
+    fields = F.struct(*[c for c in row.columns if c != "_rows"])
+    too_many = F.raise_error(F.lit(f"the background set exceeds {MAX_BACKGROUND} rows"))
+    return row.select(F.when(F.col("_rows") > MAX_BACKGROUND, too_many).otherwise(fields).alias("profile"))
 
 
 def neighbours(instances: DataFrame, key: str, background: DataFrame, spec: FeatureSpec, *,
@@ -52,13 +60,15 @@ def neighbours(instances: DataFrame, key: str, background: DataFrame, spec: Feat
     category equals the explained row's.
     """
     numeric, category = explained_features(spec)
-    profile = background_profile(background, spec)
-    p = profile.select(F.struct(*profile.columns)).scalar()
-    fanned = instances.select(
-        F.col(key), *[F.col(c).alias(f"{c}__own") for c in (*numeric, *category)],
+    # Spread the rows while they are narrow: each becomes many, and the grouping by key
+    # that follows keeps this partitioning instead of shuffling again.
+    tasks = int(instances.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    own_values = instances.select(key, *[F.col(c).alias(f"{c}__own") for c in (*numeric, *category)])
+    fanned = own_values.repartition(tasks, key).select(
+        "*",
         F.explode(F.sequence(F.lit(0), F.lit(samples - 1))).alias("sample_no"),
-    )
-    first = F.col("sample_no") == 0
+    ).withColumn("profile", background_profile(background, spec).scalar())
+    p, first = F.col("profile"), F.col("sample_no") == 0
 
     def uniform(tag: int) -> Column:
         return C.hash_draw(key, "sample_no", seed=seed * 1009 + tag)
