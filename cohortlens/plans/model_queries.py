@@ -65,7 +65,9 @@ def _prepared(spark, d):
     return models.preprocessing(SPEC).fit(rides), rides
 
 
-@query("ml_onehot_width")
+@query("ml_onehot_width", " UNION ALL ".join(
+    f"SELECT '{c}' AS block, CAST({len(words) + 2} AS INTEGER) AS width, count(*) AS rows, "
+    f"CAST(count(*) AS DOUBLE) AS filled FROM events" for c, words in SPEC.vocabulary.items()))
 def ml_onehot_width(spark, d):
     """Width and filled slots of each one-hot block, over all rides."""
     fitted, rides = _prepared(spark, d)
@@ -131,7 +133,8 @@ def ml_score_svc(spark, d):
     return _scored(spark, d, models.svc_candidate(SPEC, smoke=True))
 
 
-@query("ml_save_load")
+@query("ml_save_load", """
+SELECT count(*) AS rows, CAST(0 AS DOUBLE) AS largest_gap FROM events WHERE ts >= TIMESTAMP '2024-01-25'""")
 def ml_save_load(spark, d):
     """A fitted model written and read back scores like the original."""
     parts = _splits(spark, d)

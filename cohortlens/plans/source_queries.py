@@ -21,7 +21,7 @@ def _inventory(spark, d):
     return S.file_inventory(spark, d)
 
 
-@query("src_missing_files")
+@query("src_missing_files", "SELECT 'returns.parquet' AS file_name UNION ALL SELECT 'refunds.parquet'")
 def src_missing_files(spark, d):
     return S.missing_files(_inventory(spark, d), [f"{t}.parquet" for t in (*FACTS, "returns", "refunds")])
 
