@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import mixing, sharding
+from cohortlens.llm import mixing, prefix_tree_join, sharding
 from cohortlens.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +38,8 @@ def op2_shard(spark, sf_dir):
 def op8_mix(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op4_ngram_join")
+def op4_ngram_join(spark, sf_dir):
+    return prefix_tree_join.similar_groups(read(spark, sf_dir, "documents").select("doc_id", "text"))
