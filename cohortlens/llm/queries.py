@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import mixing, prefix_tree_join, sharding
+from cohortlens.llm import mixing, prefix_tree_join, sharding, string_kernel
 from cohortlens.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,9 @@ def op8_mix(spark, sf_dir):
 @query("op4_ngram_join")
 def op4_ngram_join(spark, sf_dir):
     return prefix_tree_join.similar_groups(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op10_language")
+def op10_language(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return string_kernel.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
