@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import mixing, prefix_tree_join, sharding, string_kernel
+from cohortlens.llm import decontaminate, mixing, prefix_tree_join, sharding, string_kernel
 from cohortlens.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,9 @@ def op4_ngram_join(spark, sf_dir):
 def op10_language(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return string_kernel.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op7_decontaminate")
+def op7_decontaminate(spark, sf_dir):
+    """Every place where a document holds a near copy of a benchmark item."""
+    return decontaminate.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
