@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import decontaminate, mixing, prefix_tree_join, sharding, string_kernel
+from cohortlens.llm import decontaminate, mixing, prefix_tree_join, repetition, sharding, string_kernel
 from cohortlens.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,9 @@ def op10_language(spark, sf_dir):
 def op7_decontaminate(spark, sf_dir):
     """Every place where a document holds a near copy of a benchmark item."""
     return decontaminate.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op9_repetition")
+def op9_repetition(spark, sf_dir):
+    judged = repetition.judge(read(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "covered", "longest_repeat")

@@ -19,6 +19,7 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _rng = np.random.default_rng(20240607)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
+_CASED = _BYTE.copy()
 _BYTE[65:91] = _BYTE[97:123]  # A-Z hash as a-z
 _PLACE = _rng.integers(1, 1 << 63, 8, dtype=np.uint64) * _U(2) + _U(1)
 _SPACE = np.zeros(256, bool)
@@ -74,9 +75,9 @@ def doc_blocks(offsets: np.ndarray, most: int = BLOCK_BYTES) -> Iterator[tuple[i
         i = min(j, n)
 
 
-def words(data: np.ndarray, offsets: np.ndarray, i: int, j: int, spaces: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, offsets: np.ndarray, i: int, j: int, spaces: np.ndarray = _SPACE, cased: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hash, start, end) of each word of texts i..j-1, and where each text's words begin."""
-    parts = []
+    parts, table = [], _CASED if cased else _BYTE
     for a, b in _segments(data, int(offsets[i]), int(offsets[j]), spaces) if j == i + 1 else [(int(offsets[i]), int(offsets[j]))]:
         raw = data[a:b]
         if not raw.size:
@@ -90,7 +91,7 @@ def words(data: np.ndarray, offsets: np.ndarray, i: int, j: int, spaces: np.ndar
         after = np.concatenate([ink[1:], [False]])
         ends = np.flatnonzero(ink & (~after | edge[1:])) + 1
         up, down = _powers(raw.size)
-        sums = np.concatenate([np.zeros(1, _U), np.cumsum(_BYTE[raw] * up)])
+        sums = np.concatenate([np.zeros(1, _U), np.cumsum(table[raw] * up)])
         parts.append((mix((sums[ends] - sums[begins]) * down[begins] + (ends - begins).astype(_U)), begins + a, ends + a))
     if parts:
         hashes, starts, ends = (np.concatenate(x) for x in zip(*parts))
