@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import decontaminate, mixing, prefix_tree_join, repetition, sharding, string_kernel
+from cohortlens.llm import decontaminate, mixing, prefix_tree_join, repetition, secret_scan, sharding, string_kernel
 from cohortlens.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,9 @@ def op7_decontaminate(spark, sf_dir):
 def op9_repetition(spark, sf_dir):
     judged = repetition.judge(read(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "covered", "longest_repeat")
+
+
+@query("op3_secrets")
+def op3_secrets(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return secret_scan.scan(docs, secret_scan.fit(docs)).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_markov")
