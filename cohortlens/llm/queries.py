@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import decontaminate, mixing, prefix_tree_join, repetition, secret_scan, sharding, string_kernel
+from cohortlens.llm import decontaminate, mixing, page_diff, prefix_tree_join, repetition, secret_scan, sharding, string_kernel
 from cohortlens.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,8 @@ def op9_repetition(spark, sf_dir):
 def op3_secrets(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return secret_scan.scan(docs, secret_scan.fit(docs)).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_markov")
+
+
+@query("op5_page_text")
+def op5_page_text(spark, sf_dir):
+    return page_diff.extract(read(spark, sf_dir, "pages"))
