@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import decontaminate, mixing, page_diff, prefix_tree_join, repetition, secret_scan, sharding, string_kernel
+from cohortlens.llm import decontaminate, mixing, page_diff, prefix_tree_join, repetition, secret_scan, sharding, string_kernel, url_filter
 from cohortlens.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,13 @@ def op3_secrets(spark, sf_dir):
 @query("op5_page_text")
 def op5_page_text(spark, sf_dir):
     return page_diff.extract(read(spark, sf_dir, "pages"))
+
+
+URL_RULES = [url_filter.Rule("org/", "allow"), url_filter.Rule("example.org/es/", "block"), url_filter.Rule("example.org/en/1", "block"),
+             url_filter.Rule("com/fr/", "allow"), url_filter.Rule("com/de/", "block")]
+
+
+@query("op1_url_filter")
+def op1_url_filter(spark, sf_dir):
+    judged = url_filter.judge_urls(read(spark, sf_dir, "pages"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "bad_odds")
