@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import decontaminate, mixing, page_diff, prefix_tree_join, repetition, secret_scan, sharding, string_kernel, url_filter
+from cohortlens.llm import decontaminate, lbl_model, mixing, page_diff, prefix_tree_join, repetition, secret_scan, sharding, string_kernel, url_filter
 from cohortlens.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,8 @@ URL_RULES = [url_filter.Rule("org/", "allow"), url_filter.Rule("example.org/es/"
 def op1_url_filter(spark, sf_dir):
     judged = url_filter.judge_urls(read(spark, sf_dir, "pages"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict", "bad_odds")
+
+
+@query("op6_lm_score")
+def op6_lm_score(spark, sf_dir):
+    return lbl_model.score_texts(read(spark, sf_dir, "documents"))
