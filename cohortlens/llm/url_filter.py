@@ -34,7 +34,6 @@ PLAIN_LABELS = {"www", "m", "com", "net", "org", "co", "info", "edu", "gov"}
 VOCABULARY = 50_000
 LONGEST_WORD = 24
 KNOWN_COUNT = 1_000
-LISTED_COUNT = 20  # bad urls that each word of the list stands for, so that small tables suffice
 
 
 @dataclass(frozen=True)
@@ -146,9 +145,6 @@ def learn(pages: DataFrame, url: str, html: str, vocabulary: int = VOCABULARY) -
     rows = summed.orderBy(F.col("word") != "", F.desc(F.col("good") + F.col("bad")), "word").limit(vocabulary + 1).collect()
     words = {r["word"]: (r["good"], r["bad"]) for r in rows}
     urls = words.pop("", (0, 0))
-    for word in (f"h:{w}" for w in BAD_WORDS):
-        good, bad = words.get(word, (0, 0))
-        words[word] = good, bad + LISTED_COUNT
     return splitter, Bayes(words, urls)
 
 
