@@ -128,11 +128,11 @@ def safe_ratio(numerator: Column, denominator: Column, default: float | None = 0
     return value if default is None else F.coalesce(value, F.lit(default))
 
 
-def key_draw(key: str | Column, seed: int, modulus: int = 1000) -> Column:
-    """Draw in [0, 1) by modular arithmetic on an integer key: any SQL engine agrees."""
+def key_draw(key: str | Column, seed: int) -> Column:
+    """Draw in [0, 1) from the leading 52 bits of md5('key:seed'): any SQL engine agrees."""
     c = F.col(key) if isinstance(key, str) else key
-    mixed = c.cast("bigint") * F.lit(7919).cast("bigint") + F.lit(seed).cast("bigint")
-    return F.pmod(mixed, F.lit(modulus).cast("bigint")).cast("double") / F.lit(float(modulus))
+    digest = F.md5(F.concat_ws(":", c.cast("string"), F.lit(str(seed))))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint").cast("double") / F.lit(float(1 << 52))
 
 
 def hash_draw(*columns: str | Column, seed: int = 0) -> Column:

@@ -9,16 +9,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.functions import columns as C
-from cohortlens.sources.shared import pin_small
-
-# Rows whose distinct scores one task may sort before the exact areas go range-sliced.
-SCORES_PER_SLICE = 2_000_000
-MAX_SLICES = 4_096
+from cohortlens.sources.shared import freeze, pin_small
 
 
 def _positive() -> Column:
@@ -60,7 +55,7 @@ def histogram(scored: DataFrame, bins: int = 150, by: Sequence[str] = ()) -> Dat
 
 def _needs_both(p: Column, n: Column, value: Column) -> Column:
     """Value, or an error at run time when a class is missing."""
-    undefined = F.raise_error(F.lit("curve undefined: one class is absent"))
+    undefined = F.raise_error(F.lit("areas and curves need both classes; one class is missing"))
     return F.when((p == 0) | (n == 0), undefined.cast("double")).otherwise(value)
 
 
@@ -151,68 +146,42 @@ def sampled_auc(scored: DataFrame, metric: str, bins: int = 1000) -> float:
     ).evaluate(scored)
 
 
-def _slice_bounds(scored: DataFrame, per_slice: int) -> list[float]:
-    """Score cut points that keep each slice within one task; none when one task is enough.
-
-    The row count bounds the distinct scores, and over stored predictions it is read
-    from file footers. Cuts are row quantiles: between two of them there are at most a
-    slice's rows, so at most that many distinct scores, while a score shared by a third
-    of all rows collapses to one cut.
-    """
-    rows = scored.count()
-    if rows <= per_slice:
-        return []
-    wanted = min(MAX_SLICES, max(2, -(-rows // per_slice)))
-    shares = [i / wanted for i in range(1, wanted)]
-    cuts = scored.agg(F.percentile_approx("score", shares, 20_000)).first()[0]
-    return sorted(set(cuts))
-
-
 def cumulative_counts(scored: DataFrame, by: Sequence[str] = (), *, extra: Sequence[str] = (),
-                      per_slice: int = SCORES_PER_SLICE) -> DataFrame:
+                      slices: int | None = None) -> DataFrame:
     """Per distinct score: ``pos``, ``neg`` and running ``tp``, ``fp`` from the top down.
 
-    Rows fold into distinct scores before any sort. Beyond ``per_slice`` distinct scores
-    the range is cut into slices that sort in parallel; each adds the totals of the
-    slices above it. ``extra`` columns are constant per model and ride along.
+    Rows fold into distinct scores, which are range-partitioned from the top, written once
+    and summed: each range adds the totals of the ranges above it. It is the same path at
+    every size; a score that a third of all rows share is one folded row. NaN ranks above
+    every number and NULL below, infinities where they belong. ``extra`` columns are
+    constant per model and ride along. ``slices`` fixes the number of ranges; the session's
+    shuffle settings decide otherwise.
     """
-    cuts = _slice_bounds(scored, per_slice)
     y = _positive()
     folded = scored.groupBy(*by, "score").agg(
         F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"),
         *[F.first(c).alias(c) for c in extra],
     )
-    if not cuts:
-        upto = (Window.partitionBy(*by).orderBy(F.desc("score"))
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        return folded.withColumns({"tp": F.sum("pos").over(upto), "fp": F.sum("neg").over(upto)})
-
-    edges = [float("-inf"), *cuts, float("inf")]
-    cutter = Bucketizer(splits=edges, inputCol="score", outputCol="slice", handleInvalid="keep")
-
-    def sliced(frame: DataFrame) -> DataFrame:
-        # a row without a score ranks below every scored row, as in the unsliced sort
-        cut = cutter.transform(frame)
-        return cut.withColumn("slice", F.coalesce(F.col("slice").cast("int"), F.lit(-1)))
-
-    above = (Window.partitionBy(*by).orderBy(F.desc("slice"))
-             .rowsBetween(Window.unboundedPreceding, -1))
+    falling = [*by, F.desc("score")]
+    ranged = folded.repartitionByRange(*falling) if slices is None else folded.repartitionByRange(slices, *falling)
+    kept = freeze(ranged.withColumn("slice", F.spark_partition_id()), "folded-scores")
+    above = Window.partitionBy(*by).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("bigint")
-    # straight from the rows: they fold to a few thousand slice totals before any shuffle
-    totals = sliced(scored).groupBy(*by, "slice").agg(
-        F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"))
-    offsets = pin_small(totals.select(
-        *by, "slice",
-        F.coalesce(F.sum("pos").over(above), zero).alias("tp_above"),
-        F.coalesce(F.sum("neg").over(above), zero).alias("fp_above"),
-    ), max_rows=200_000)
+    offsets = kept.groupBy(*by, "slice").agg(F.sum("pos").alias("p"), F.sum("neg").alias("q")).select(
+        *[F.col(c).alias(f"_{c}") for c in by], F.col("slice").alias("_slice"),
+        F.coalesce(F.sum("p").over(above), zero).alias("tp_above"),
+        F.coalesce(F.sum("q").over(above), zero).alias("fp_above"),
+    )
     local = (Window.partitionBy(*by, "slice").orderBy(F.desc("score"))
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = sliced(folded).withColumns({"tp": F.sum("pos").over(local), "fp": F.sum("neg").over(local)})
+    same = F.col("slice") == F.col("_slice")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    ranked = kept.withColumns({"tp": F.sum("pos").over(local), "fp": F.sum("neg").over(local)})
     return (
-        ranked.join(offsets, [*by, "slice"])
+        ranked.join(offsets, same)
         .withColumns({"tp": F.col("tp") + F.col("tp_above"), "fp": F.col("fp") + F.col("fp_above")})
-        .drop("slice", "tp_above", "fp_above")
+        .drop("slice", "_slice", "tp_above", "fp_above", *[f"_{c}" for c in by])
     )
 
 
@@ -238,14 +207,14 @@ def _areas() -> dict[str, Column]:
     return {"auc_roc": _needs_both(p, q, roc), "auc_pr": _needs_both(p, q, pr)}
 
 
-def exact_areas(scored: DataFrame, by: Sequence[str] = (), *, per_slice: int = SCORES_PER_SLICE) -> DataFrame:
+def exact_areas(scored: DataFrame, by: Sequence[str] = (), *, slices: int | None = None) -> DataFrame:
     """ROC and PR areas over every distinct score, no down-sampling."""
-    summed = cumulative_counts(scored, by, per_slice=per_slice).groupBy(*by).agg(*_area_sums())
+    summed = cumulative_counts(scored, by, slices=slices).groupBy(*by).agg(*_area_sums())
     return summed.select(*by, *[c.alias(n) for n, c in _areas().items()])
 
 
 def metric_rows(scored: DataFrame, threshold=None, by: Sequence[str] = (), *,
-                per_slice: int = SCORES_PER_SLICE, digits: int | None = None) -> DataFrame:
+                slices: int | None = None, digits: int | None = None) -> DataFrame:
     """One full metric row per model.
 
     ``threshold`` is a number, or None when the frame carries a ``threshold`` column that
@@ -253,7 +222,7 @@ def metric_rows(scored: DataFrame, threshold=None, by: Sequence[str] = (), *,
     distinct scores: the scored frame is shuffled once, already pre-aggregated.
     """
     framed = scored if threshold is None else scored.withColumn("threshold", F.lit(float(threshold)))
-    ranked = cumulative_counts(framed, by, extra=("threshold",), per_slice=per_slice)
+    ranked = cumulative_counts(framed, by, extra=("threshold",), slices=slices)
     zero = F.lit(0).cast("bigint")
     on = F.col("score") >= F.col("threshold")
     summed = ranked.groupBy(*by).agg(

@@ -5,14 +5,17 @@ These run jobs and return small tables of what they measured.
 
 from __future__ import annotations
 
+import contextlib
+import functools
 import statistics
 import time
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortlens.functions import columns as C
 from cohortlens.operators import cohort, evaluation, models, sampling
 from cohortlens.operators.marts import group_rates
 from cohortlens.sources.shared import freeze
@@ -30,39 +33,65 @@ def _cells(frame: DataFrame, keys: Sequence[str]) -> int:
     return group_rates(frame, keys).count()
 
 
-def shuffle_widths(frame: DataFrame, keys: Sequence[str], widths: Sequence[int], repeats: int = 3) -> DataFrame:
-    """The same aggregate at several shuffle widths; the session setting is restored."""
-    spark = frame.sparkSession
-    setting = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(setting)
-    rows = []
+def rounds(arms: dict[object, Callable[[], object]], repeats: int) -> dict[object, tuple[list[float], object]]:
+    """Seconds of each arm over ``repeats`` rounds, and its result.
+
+    Every arm runs once unmeasured; then the arms take turns, so that a machine growing
+    slower or faster does not favour one. An arm whose result changes is an error.
+    """
+    results = {name: arm() for name, arm in arms.items()}
+    seconds = {name: [] for name in arms}
+    for _ in range(repeats):
+        for name, arm in arms.items():
+            took, result = timed(arm)
+            if result != results[name]:
+                raise ValueError(f"arm {name} gave {results[name]}, then {result}")
+            seconds[name].append(took)
+    return {name: (seconds[name], results[name]) for name in arms}
+
+
+@contextlib.contextmanager
+def _setting(spark, name: str, value: object):
+    held = spark.conf.get(name)
+    spark.conf.set(name, str(value))
     try:
-        for width in widths:
-            spark.conf.set(setting, str(width))
-            runs = [timed(lambda: _cells(frame, keys)) for _ in range(repeats)]
-            cells = {c for _, c in runs}
-            if len(cells) != 1:
-                raise ValueError(f"group counts differ between runs: {sorted(cells)}")
-            rows.append((width, repeats, cells.pop(), statistics.median(s for s, _ in runs)))
+        yield
     finally:
-        spark.conf.set(setting, before)
-    return spark.createDataFrame(rows, "partitions int, runs int, group_count long, median_seconds double")
+        spark.conf.set(name, held)
+
+
+def shuffle_widths(frame: DataFrame, keys: Sequence[str], widths: Sequence[int], repeats: int = 3) -> DataFrame:
+    """The same aggregate at several shuffle widths, which must all give the same cells."""
+    spark = frame.sparkSession
+
+    def arm(width: int) -> int:
+        with _setting(spark, "spark.sql.shuffle.partitions", width):
+            return _cells(frame, keys)
+
+    measured = rounds({w: functools.partial(arm, w) for w in widths}, repeats)
+    if len({cells for _, cells in measured.values()}) > 1:
+        raise ValueError("the number of groups depends on the shuffle width")
+    return spark.createDataFrame(
+        [(w, repeats, cells, statistics.median(s)) for w, (s, cells) in measured.items()],
+        "partitions int, runs int, group_count long, median_seconds double")
 
 
 def cache_effect(frame: DataFrame, keys: Sequence[str], repeats: int = 3) -> DataFrame:
-    """Repeats without a cache, the cost of filling it, repeats with it."""
-    plain = [timed(lambda: _cells(frame, keys))[0] for _ in range(repeats)]
-    held = frame.persist(StorageLevel.MEMORY_AND_DISK)
+    """The aggregate from its source and from memory, and what filling the memory costs."""
+    copy = frame.select("*")  # persisting marks equal plans, so the source is measured first
+    (source, cells), = rounds({"source": lambda: _cells(frame, keys)}, repeats).values()
+    copy.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fill, rows = timed(held.count)
-        cached = [timed(lambda: _cells(held, keys))[0] for _ in range(repeats)]
+        fill, rows = timed(copy.count)
+        (memory, same), = rounds({"memory": lambda: _cells(copy, keys)}, repeats).values()
     finally:
-        held.unpersist(blocking=True)
-    out = [(rows, repeats, statistics.median(plain), statistics.median(cached), fill,
-            sum(plain), fill + sum(cached))]
+        copy.unpersist(blocking=True)
+    if same != cells:
+        raise ValueError("the number of groups depends on the cache")
     return frame.sparkSession.createDataFrame(
-        out, "rows long, runs int, median_uncached double, median_cached double, "
-             "fill_seconds double, total_uncached double, total_cached_with_fill double")
+        [(rows, repeats, statistics.median(source), statistics.median(memory), fill, sum(source), fill + sum(memory))],
+        "rows long, runs int, median_uncached double, median_cached double, "
+        "fill_seconds double, total_uncached double, total_cached_with_fill double")
 
 
 def fraction_scaling(frame: DataFrame, keys: Sequence[str], seed: int,
@@ -95,39 +124,43 @@ def fit_scaling(train: DataFrame, key: str, spec: FeatureSpec, candidates: Seque
         rows, "model string, sample_fraction double, rows long, fit_seconds double")
 
 
-def retraining_trials(train: DataFrame, validation: DataFrame, key: str, spec: FeatureSpec,
-                      candidate: models.Candidate, threshold: float, *, share: float = 1.0,
-                      subsample: float = 0.95, trials: int = 3, seed: int = 31,
-                      minimum: int = 100) -> DataFrame:
-    """Refits on subsamples of one fixed base sample against one fixed validation sample."""
-    if not 0 < share <= 1 or not 0 < subsample < 1 or trials < 2:
-        raise ValueError("need 0 < share <= 1, 0 < subsample < 1 and at least two trials")
-    base = sampling.by_key(train, key, share, seed + 91).persist(StorageLevel.MEMORY_AND_DISK)
-    fixed = sampling.by_key(validation, key, share, seed + 92).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if base.count() < minimum or fixed.count() < minimum:
-            raise ValueError("retraining samples are too small; raise the share")
+WHOLE = "all rows"
 
-        def measure(part: DataFrame) -> tuple[float, int, dict]:
-            n = part.count()
-            if n < minimum:
-                raise ValueError("a retraining trial is too small; raise the share")
-            seconds, model = timed(lambda: models.fit(part, spec, candidate))
-            scored = models.score(model, fixed, label=spec.label)
-            return seconds, n, evaluation.metric_rows(scored, threshold).first().asDict()
-
-        _, _, whole = measure(base)
-        rows = []
-        for t in range(1, trials + 1):
-            seconds, n, m = measure(sampling.by_key(base, key, subsample, seed + 199 + t))
-            deltas = [m[k] - whole[k] for k in ("auc_pr", "auc_roc", "positive_f1")]
-            rows.append((candidate.name, t, n, seconds, *deltas))
-    finally:
-        base.unpersist(blocking=True)
-        fixed.unpersist(blocking=True)
-    return train.sparkSession.createDataFrame(
-        rows, "model string, trial int, train_rows long, fit_seconds double, "
-              "delta_auc_pr double, delta_auc_roc double, delta_positive_f1 double")
+
+def retraining_trials(train: DataFrame, validation: DataFrame, key: str, spec: FeatureSpec,
+                      candidate: models.Candidate, threshold: float, *, point=None, share: float = 1.0,
+                      kept: float = 0.9, trials: int = 3, seed: int = 8, least: int = 100) -> DataFrame:
+    """How metrics move when the candidate is refitted on part of its rows.
+
+    A table of trials is drawn first: each training row lists the trials it belongs to, by
+    its key, with trial 0 holding all. It is written once and gated in one aggregate before
+    anything is fitted. All fits then score the same validation rows in one pass, and the
+    differences to trial 0 come from one join. ``point`` is the selected grid point.
+    """
+    if trials < 2 or not (0 < kept < 1 and 0 < share <= 1):
+        raise ValueError("at least two trials, a kept part below 1 and a share in (0, 1] are needed")
+    member = [F.lit(0), *[F.when(C.hash_draw(key, seed=seed + t) < kept, F.lit(t)) for t in range(1, trials + 1)]]
+    chosen = sampling.by_key(train, key, share, seed).withColumn("trials", F.array_compact(F.array(*member)))
+    table = freeze(chosen, "trials")
+    fixed = freeze(sampling.by_key(validation, key, share, seed), "fixed")
+    sizes = {r.trial: r.n for r in table.select(F.explode("trials").alias("trial")).groupBy("trial").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if min(fixed.count(), *(sizes.get(t, 0) for t in range(trials + 1))) < least:
+        raise ValueError(f"fewer than {least} rows in a trial or in validation; raise the share")
+
+    fitted, seconds = {}, {}
+    for t in range(trials + 1):
+        rows = table.where(F.array_contains("trials", t)).drop("trials")
+        name = WHOLE if t == 0 else str(t)
+        seconds[t], fitted[name] = timed(lambda: models.fit(rows, spec, candidate, point))
+    measured = evaluation.metric_rows(score_all(fitted, fixed, label=spec.label), threshold, ["model"])
+    metrics = ("auc_pr", "auc_roc", "positive_f1")
+    notes = train.sparkSession.createDataFrame([(str(t) if t else WHOLE, t, sizes[t], seconds[t]) for t in range(trials + 1)],
+                                               "model string, trial int, train_rows long, fit_seconds double")
+    few = Window.partitionBy(F.lit(0))  # one row a trial
+    whole = {m: F.max(F.when(F.col("trial") == 0, F.col(m))).over(few) for m in metrics}
+    return measured.join(notes, "model").select(
+        F.lit(candidate.name).alias("model"), "trial", "train_rows", "fit_seconds",
+        *[(F.col(m) - whole[m]).alias(f"delta_{m}") for m in metrics]).where("trial > 0")
 
 
 def score_all(fitted: dict, frame: DataFrame, keep: Sequence[str] = (), label: str = "label") -> DataFrame:

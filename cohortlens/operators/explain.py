@@ -1,6 +1,6 @@
 """Local explanations for many rows at once.
 
-Each explained row gets synthetic neighbours drawn from a bounded background set; the
+Each explained row gets synthetic neighbours drawn from a background set; the
 fitted model scores them all in one pass; a weighted linear surrogate per row is solved
 from aggregated moments. Rows never gather in one task: moments fold map-side and one
 small vector per explained row reaches the solver.
@@ -13,7 +13,7 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,27 +28,28 @@ def explained_features(spec: FeatureSpec) -> tuple[list[str], list[str]]:
     return list(spec.numeric), [*spec.categories, *cyclic]
 
 
-MAX_BACKGROUND = 10_000
-
-
 def background_profile(background: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """One struct: mean and spread of numerics, the sorted values of each category.
-
-    A background set is small by definition; one beyond ``MAX_BACKGROUND`` rows is refused
-    rather than cut.
-    """
+    """One struct: mean and spread of numerics, and for each category its values with the
+    rows up to and including each. Its width is the vocabulary, whatever the row count."""
     numeric, category = explained_features(spec)
-    parts = []
+    moments = []
     for c in numeric:
-        parts += [F.coalesce(F.avg(c), F.lit(0.0)).alias(f"{c}__mean"),
-                  F.coalesce(F.stddev_pop(c), F.lit(1.0)).alias(f"{c}__std")]
-    for c in category:
-        parts.append(F.sort_array(F.collect_list(F.coalesce(F.col(c), F.lit("Unknown")))).alias(f"{c}__values"))
-    bounded = background.select(*numeric, *category).limit(MAX_BACKGROUND + 1)
-    row = bounded.agg(F.count(F.lit(1)).alias("_rows"), *parts)
-    fields = F.struct(*[c for c in row.columns if c != "_rows"])
-    too_many = F.raise_error(F.lit(f"the background set exceeds {MAX_BACKGROUND} rows"))
-    return row.select(F.when(F.col("_rows") > MAX_BACKGROUND, too_many).otherwise(fields).alias("profile"))
+        moments += [F.coalesce(F.avg(c), F.lit(0.0)).alias(f"{c}__mean"),
+                    F.coalesce(F.stddev_pop(c), F.lit(1.0)).alias(f"{c}__std")]
+    cells = F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.coalesce(F.col(c).cast("string"), F.lit("Unknown")).alias("value")) for c in category])
+    counted = background.select(F.inline(cells)).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+    rising = Window.partitionBy("feature").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    summed = counted.withColumn("upto", F.sum("n").over(rising))
+    lists = [F.sort_array(F.collect_list(F.when(F.col("feature") == c, F.struct("upto", "value")))).alias(f"{c}__values") for c in category]
+    values = summed.agg(*lists)
+    if not moments:
+        return values.select(F.struct(*values.columns).alias("profile"))
+    return values.select(F.struct(*values.columns, background.agg(*moments).select(F.struct("*")).scalar().alias("_moments")).alias("profile"))
+
+
+def _beyond(place: Column):
+    return lambda v: v.getField("upto") > place
 
 
 def neighbours(instances: DataFrame, key: str, background: DataFrame, spec: FeatureSpec, *,
@@ -75,24 +76,25 @@ def neighbours(instances: DataFrame, key: str, background: DataFrame, spec: Feat
 
     cols: dict[str, Column] = {}
     for i, c in enumerate(numeric):
-        mean, std = p.getField(f"{c}__mean"), p.getField(f"{c}__std")
+        mean, std = p.getField("_moments").getField(f"{c}__mean"), p.getField("_moments").getField(f"{c}__std")
         own = F.coalesce(F.col(f"{c}__own"), mean)
         # one normal deviate from two uniforms; the first is kept off zero
         radius = F.sqrt(F.lit(-2.0) * F.log(F.greatest(uniform(2 * i), F.lit(1e-12))))
         normal = radius * F.cos(F.lit(2.0 * math.pi) * uniform(2 * i + 1))
         cols[c] = F.when(first, own).otherwise(mean + std * normal)
     for i, c in enumerate(category):
-        values = p.getField(f"{c}__values")
-        at = (F.floor(uniform(1000 + i) * F.size(values)) + 1).cast("int")
-        cols[c] = F.when(first, F.col(f"{c}__own")).otherwise(F.element_at(values, at))
+        values, kind = p.getField(f"{c}__values"), instances.schema[c].dataType
+        at = F.floor(uniform(1000 + i) * F.element_at(values, -1).getField("upto"))
+        drawn_value = F.element_at(F.filter(values, _beyond(at)), 1).getField("value")
+        cols[c] = F.when(first, F.col(f"{c}__own")).otherwise(drawn_value.cast(kind))
     drawn = fanned.withColumns(cols)
 
     inputs: dict[str, Column] = {}
     for c in numeric:
-        std = p.getField(f"{c}__std")
+        mean, std = p.getField("_moments").getField(f"{c}__mean"), p.getField("_moments").getField(f"{c}__std")
         scale = F.when(std > 0, std).otherwise(F.lit(1.0))
-        inputs[f"x_{c}"] = (F.col(c) - p.getField(f"{c}__mean")) / scale
-        own = F.coalesce(F.col(f"{c}__own"), p.getField(f"{c}__mean"))
+        inputs[f"x_{c}"] = (F.col(c) - mean) / scale
+        own = F.coalesce(F.col(f"{c}__own"), mean)
         inputs[f"d_{c}"] = F.pow((F.col(c) - own) / scale, F.lit(2.0))
     for c in category:
         same = F.coalesce((F.col(c) == F.col(f"{c}__own")), F.lit(False)).cast("double")

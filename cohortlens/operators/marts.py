@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.operators.cohort import split_name
-from cohortlens.operators.evaluation import SCORES_PER_SLICE, cumulative_counts
+from cohortlens.operators.evaluation import cumulative_counts
 from cohortlens.sources.shared import pin_small
 from cohortlens.spec import TimeSplit
 
@@ -90,11 +90,11 @@ def top_cells(frame: DataFrame, keys: Sequence[str], count: int, *, label: str =
 
 
 def exact_median(frame: DataFrame, keys: Sequence[str], value: str, *,
-                 per_slice: int = SCORES_PER_SLICE) -> DataFrame:
+                 slices: int | None = None) -> DataFrame:
     """Rows and exact median per group, NULLs left out.
 
     The built-in ``median`` keeps every distinct value of a group in one task. Here
-    values fold to counts, running counts come from the range-sliced sort of the
+    values fold to counts, running counts come from the ranges of the
     evaluation module, and the one or two middle values are picked by rank.
     """
     rows = frame.where(F.col(value).isNotNull()).select(
@@ -107,7 +107,7 @@ def exact_median(frame: DataFrame, keys: Sequence[str], value: str, *,
         return (first <= rank) & (rank < first + size)
 
     low, high = F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)
-    middle = cumulative_counts(rows, keys, per_slice=per_slice).join(totals, list(keys))
+    middle = cumulative_counts(rows, keys, slices=slices).join(totals, list(keys))
     return middle.where(holds(low) | holds(high)).groupBy(*keys).agg(
         F.max("n").alias("n"), ((F.min("score") + F.max("score")) / 2.0).alias("median"))
 

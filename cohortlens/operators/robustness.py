@@ -2,36 +2,61 @@
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.functions import columns as C
+from cohortlens.operators.marts import exact_median
 
 SHIFTED, MASKED = "hour_shifted", "group_masked"
 COMPARED = ("positive_f1", "auc_roc", "auc_pr")
 
 
-def perturb_inputs(frame: DataFrame, draw: Column, *, fraction: float = 0.20, cycle: str = "hour",
-                   period: int = 24, group: str = "grp", sentinel: str = "Unknown") -> DataFrame:
-    """Half the drawn share gets its cyclic value moved on by one, the other half its
-    group hidden. Labels stay. A group already hidden is not counted as changed.
+@dataclasses.dataclass(frozen=True)
+class Change:
+    """Rows whose draw lies in [start, end) get ``value`` in ``column``; the boolean column
+    ``name`` marks those where that is a real change."""
 
-    ``draw`` is a number in [0, 1) per row; a key-hash draw keeps the choice stable.
+    name: str
+    start: float
+    end: float
+    column: str
+    value: Column
+    real: Column | None = None
+
+    def hits(self, draw: Column) -> Column:
+        return (draw >= F.lit(self.start)) & (draw < F.lit(self.end))
+
+
+def shift_and_hide(share: float, cycle: str = "hour", period: int = 24, group: str = "grp", sentinel: str = "Unknown") -> list[Change]:
+    """One half of the share has its cyclic value a step on, the other its group hidden."""
+    middle = share / 2
+    return [
+        Change(SHIFTED, 0.0, middle, cycle, C.shift_cycle(cycle, period)),
+        Change(MASKED, middle, share, group, F.lit(sentinel), F.col(group) != F.lit(sentinel)),
+    ]
+
+
+def perturb(frame: DataFrame, draw: Column, changes: Sequence[Change]) -> DataFrame:
+    """The frame with the changes made and marked, in one projection; labels stay.
+
+    ``draw`` is a number in [0, 1) per row; a key draw keeps the choice stable. The
+    changes must leave some rows alone and may not overlap.
     """
-    if not 0 < fraction < 1:
-        raise ValueError("the perturbed fraction must lie strictly between 0 and 1")
-    half, whole = F.lit(fraction / 2), F.lit(float(fraction))
-    u = F.col("_draw")
-    shift, mask = u < half, (u >= half) & (u < whole)
-    drawn = frame.withColumn("_draw", draw)
-    return drawn.withColumns({
-        SHIFTED: shift,
-        MASKED: mask & (F.col(group) != F.lit(sentinel)),
-        cycle: F.when(shift, C.shift_cycle(cycle, period)).otherwise(F.col(cycle)),
-        group: F.when(mask, F.lit(sentinel)).otherwise(F.col(group)),
-    }).drop("_draw")
+    spans = sorted((c.start, c.end) for c in changes)
+    whole = all(lo < hi for lo, hi in spans) and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    if not spans or not whole or spans[0][0] < 0 or spans[-1][1] >= 1:
+        raise ValueError("changes need disjoint, non-empty shares within [0, 1) that leave rows alone")
+    at = "_draw"
+    made: dict[str, Column] = {}
+    for c in changes:
+        hit = c.hits(F.col(at))
+        made[c.name] = hit if c.real is None else hit & c.real
+        made[c.column] = F.when(hit, c.value).otherwise(made.get(c.column, F.col(c.column)))
+    return frame.withColumn(at, draw).withColumns(made).drop(at)
 
 
 def tallies(perturbed: DataFrame) -> DataFrame:
@@ -74,15 +99,17 @@ def rank_by_impact(deltas: DataFrame, key: str = "model") -> DataFrame:
 
 def delta_summary(trials: DataFrame, key: str = "model", metric: str = "delta_auc_pr",
                   digits: int | None = None) -> DataFrame:
-    """Mean, median and largest absolute change over repeated trials, a handful per model."""
+    """Mean, median and largest absolute change over repeated trials.
+
+    The median is picked by rank, so any number of trials will do.
+    """
     size = F.abs(F.col(metric))
+    middle = exact_median(trials.withColumn("_size", size), [key], "_size").select(key, "median")
 
     def shown(c: Column) -> Column:
         return c if digits is None else F.round(c, digits)
 
-    return trials.groupBy(key).agg(
-        F.count(F.lit(1)).alias("trials"),
-        shown(F.avg(size)).alias("mean_abs_delta"),
-        shown(F.median(size)).alias("median_abs_delta"),
-        shown(F.max(size)).alias("max_abs_delta"),
-    )
+    summed = trials.groupBy(key).agg(F.count(F.lit(1)).alias("trials"), F.avg(size).alias("mean"), F.max(size).alias("largest"))
+    return summed.join(middle, key, "left").select(
+        key, "trials", shown(F.col("mean")).alias("mean_abs_delta"), shown(F.col("median")).alias("median_abs_delta"),
+        shown(F.col("largest")).alias("max_abs_delta"))

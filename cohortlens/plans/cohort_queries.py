@@ -178,17 +178,15 @@ def weight_apply(spark, d):
     return weighted.withColumn("class_weight", F.round("class_weight", 9))
 
 
-@query("sample_hash", """
-SELECT event_id, event_type FROM events
-WHERE (event_id * 7919 + 17) % 1000 / CAST(1000 AS DOUBLE) < 0.25""")
+@query("sample_hash", f"""
+SELECT event_id, event_type FROM events WHERE {V.draw_sql('event_id', 17)} < 0.25""")
 def sample_hash(spark, d):
     events = V.table(spark, d, "events").select("event_id", "event_type")
     return sampling.by_key(events, "event_id", 0.25, 17, hashed=False)
 
 
-@query("sample_background", """
-SELECT event_id, event_type, value FROM events
-ORDER BY (event_id * 7919 + 29) % 1000 / CAST(1000 AS DOUBLE), event_id LIMIT 200""")
+@query("sample_background", f"""
+SELECT event_id, event_type, value FROM events ORDER BY {V.draw_sql('event_id', 29)}, event_id LIMIT 200""")
 def sample_background(spark, d):
     events = V.table(spark, d, "events").select("event_id", "event_type", "value")
     return sampling.background(events, "event_id", 200, 29, hashed=False)
@@ -200,7 +198,7 @@ _CDF = list(itertools.accumulate(math.exp(-1.0) / math.factorial(k) for k in ran
 def _bootstrap_sql(trials: int, seed: int) -> str:
     parts = []
     for t in range(trials):
-        draw = f"((event_id * {2 * t + 1}) * 7919 + {seed + 97 * t}) % 1000 / CAST(1000 AS DOUBLE)"
+        draw = V.draw_sql("event_id", seed + t)
         weight = " + ".join(f"CAST(u >= CAST({c!r} AS DOUBLE) AS BIGINT)" for c in _CDF)
         parts.append(
             f"SELECT {t + 1} AS trial, CAST(sum({weight}) AS BIGINT) AS rows_drawn, "

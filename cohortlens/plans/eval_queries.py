@@ -181,8 +181,8 @@ def eval_auc_evaluator(spark, d):
 @query("eval_auc_sliced", V.MODEL_SCORES_SQL + area_sql("model_scores", "model")
        + "SELECT model, round(auc_roc, 9) AS auc_roc, round(auc_pr, 9) AS auc_pr FROM areas")
 def eval_auc_sliced(spark, d):
-    """The range-sliced path, forced by a small slice size."""
-    areas = E.exact_areas(V.model_scores(spark, d), ["model"], per_slice=5_000)
+    """Both areas over many ranges of scores."""
+    areas = E.exact_areas(V.model_scores(spark, d), ["model"], slices=40)
     return areas.select("model", F.round("auc_roc", 9).alias("auc_roc"), F.round("auc_pr", 9).alias("auc_pr"))
 
 
@@ -253,8 +253,7 @@ def _before_after(spark, d):
     Both sides of a row fan out in place, so one pass measures them together.
     """
     scored = V.model_scores(spark, d).where(F.col("part") == "test")
-    item_key = F.pmod(F.floor(F.col("score") * 1000).cast("bigint") * 7919 + 31, F.lit(1000)) / F.lit(1000.0)
-    moved = F.when(item_key < 0.2, F.col("score") * 0.5).otherwise(F.col("score"))
+    moved = F.when(C.key_draw(F.floor(F.col("score") * 1000).cast("bigint"), 31) < 0.2, F.col("score") * 0.5).otherwise(F.col("score"))
     sides = scored.select("model", "label", F.inline(F.array(
         F.struct(F.lit("base").alias("side"), F.col("score").alias("score")),
         F.struct(F.lit("moved").alias("side"), moved.alias("score")))))
@@ -263,7 +262,7 @@ def _before_after(spark, d):
 
 
 _MOVED = V.MODEL_SCORES_SQL + """
-, src AS (SELECT model, label, score, CASE WHEN (CAST(floor(score * 1000) AS BIGINT) * 7919 + 31) % 1000 / CAST(1000 AS DOUBLE) < 0.2
+, src AS (SELECT model, label, score, CASE WHEN """ + V.draw_sql("CAST(floor(score * 1000) AS BIGINT)", 31) + """ < 0.2
                  THEN score * CAST(0.5 AS DOUBLE) ELSE score END AS moved FROM model_scores WHERE part = 'test'),
 sides AS (SELECT model || '|base' AS mk, label, score FROM src UNION ALL SELECT model || '|pert', label, moved FROM src)
 """ + area_sql("sides", "mk") + f"""

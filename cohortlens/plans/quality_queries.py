@@ -78,12 +78,12 @@ def qc_split_gate(spark, d):
 
 
 _RIDE_TEST = "day_key >= '2024-01-25'"
-RIDE_DRAW = "(event_id * 7919 + 31) % 1000 / CAST(1000 AS DOUBLE)"
+RIDE_DRAW = V.draw_sql("event_id", 31)
 
 
 def perturbed_rides(spark, d):
     """The test rides with a fifth of them perturbed by their key's draw."""
-    return R.perturb_inputs(V.test_rides(spark, d), C.key_draw("event_id", 31))
+    return R.perturb(V.test_rides(spark, d), C.key_draw("event_id", 31), R.shift_and_hide(0.20))
 
 
 @query("qc_cohort_reconcile", V.RIDES_SQL + f"""

@@ -7,8 +7,9 @@ so any stage can be rerun alone and a lost executor only costs a re-read.
 from __future__ import annotations
 
 import dataclasses
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,10 +44,10 @@ class Job:
     schema: T.StructType = presets.TRIP_SCHEMA
     required: tuple[str, ...] = presets.TRIP_REQUIRED
     # Defaults of a full run.
-    seed: int = 314159
+    seed: int = 2026
     folds: int = 3
     parallelism: int = 2
-    tuning_fraction: float = 0.08
+    tuning_fraction: float = 0.08  # share of the training rows, drawn by key, that tuning sees
     bins: int = 150
     minimum_group: int = 1000
     perturbed_fraction: float = 0.20
@@ -54,7 +55,7 @@ class Job:
     explain_samples: int = 500
     price_per_hour: float | None = None
     price_source: str = ""
-    smoke: bool = False
+    grids: Mapping[str, Sequence[Mapping]] | None = None
 
     def at(self, *parts: str) -> str:
         return "/".join([self.work.rstrip("/"), *parts])
@@ -113,15 +114,18 @@ def train(spark: SparkSession, job: Job) -> DataFrame:
     """Tune, refit, save, pick thresholds, score and measure every candidate."""
     parts = cohort.split_frames(staged(spark, job), job.split)
     weighted = cohort.with_pinned_weights(parts["train"], job.features.label, job.features.weight)
-    share = 1.0 if job.smoke else job.tuning_fraction
-    folds = 2 if job.smoke else job.folds
-    tune = sampling.bernoulli(weighted, share, job.seed).withColumn("fold", C.day_fold("pickup_date", folds))
+    keyed = weighted.withColumn("_row", F.xxhash64(*weighted.columns))
+    tune = sampling.by_key(keyed, "_row", job.tuning_fraction, job.seed).drop("_row").withColumn("fold", C.day_fold("pickup_date", job.folds))
+    tune = tune.persist(StorageLevel.MEMORY_AND_DISK)
+    classes = tune.groupBy("fold").agg(F.count_if(F.col(job.features.label) == 1).alias("p"), F.count_if(F.col(job.features.label) != 1).alias("q")).collect()
+    if len(classes) < job.folds or any(not (r.p and r.q) for r in classes):
+        raise ValueError("every tuning fold needs rows of both classes; raise tuning_fraction")
     keep = ["year_month", job.cohort.group, "pickup_date", job.cohort.place, job.cohort.distance]
 
     grids, timings, importances = [], [], []
-    for c in models.candidates(job.features, smoke=job.smoke):
+    for c in models.candidates(job.features, grids=job.grids):
         grid = models.cross_validate(
-            tune, job.features, c, fold="fold", folds=folds, parallelism=1 if job.smoke else job.parallelism, seed=job.seed)
+            tune, job.features, c, fold="fold", folds=job.folds, parallelism=job.parallelism, seed=job.seed)
         best = selection.best_points(grid).first()
         seconds, model = experiments.timed(lambda: models.fit(weighted, job.features, c, c.grid[best.grid_index]))
         models.save(model, job.at("models", c.name))
@@ -130,10 +134,11 @@ def train(spark: SparkSession, job: Job) -> DataFrame:
             scored.write.mode("overwrite").parquet(job.at("predictions", part, f"model={c.name}"))
         grids.append(grid)
         cv_seconds = grid.first().cv_seconds
-        timings.append((c.name, c.family, float(best.metric), cv_seconds, seconds, cv_seconds + seconds, folds))
+        timings.append((c.name, c.family, float(best.metric), cv_seconds, seconds, cv_seconds + seconds, job.folds))
         if hasattr(model.stages[-1], "featureImportances"):
             importances.append(models.tree_importance(spark, model, job.features, c.name))
 
+    tune.unpersist()
     _table(job, "cv_grid", selection.mark_best(conform.union_frames(grids)))
     _table(job, "importance", conform.union_frames(importances))
     times = spark.createDataFrame(
@@ -174,8 +179,8 @@ def assess(spark: SparkSession, job: Job, *, repeats: int = 3, explained_rows: i
     _table(job, "bench_fraction", experiments.fraction_scaling(parts["train"], keys, job.seed))
 
     # a random draw is fixed by writing the perturbed rows once, for all models
-    changed = robustness.perturb_inputs(
-        parts["test"], F.rand(job.seed + 301), fraction=job.perturbed_fraction, cycle="pickup_hour", group=job.cohort.group)
+    changes = robustness.shift_and_hide(job.perturbed_fraction, cycle="pickup_hour", group=job.cohort.group)
+    changed = robustness.perturb(parts["test"], F.rand(job.seed), changes)
     changed.write.mode("overwrite").parquet(job.at("perturbed"))
     changed = dimension.read_staged(spark, job.at("perturbed"))
     same = quality.reconcile_cohorts(parts["test"], changed, job.features.label)
@@ -211,11 +216,12 @@ def assess(spark: SparkSession, job: Job, *, repeats: int = 3, explained_rows: i
         keyed = {n: p.withColumn("row_key", F.xxhash64(*p.columns)) for n, p in parts.items()}
         train_rows = cohort.with_pinned_weights(keyed["train"], job.features.label, job.features.weight)
         limits = {r.model: r.threshold for r in chosen.collect()}
+        best = {r.model: r.grid_index for r in _read(spark, job, "cv_grid").where("is_best").collect()}
         trials = _table(job, "retraining", conform.union_frames([
             experiments.retraining_trials(
-                train_rows, keyed["validation"], "row_key", job.features, c, limits[c.name],
+                train_rows, keyed["validation"], "row_key", job.features, c, limits[c.name], point=c.grid[best[c.name]],
                 share=retraining_share, trials=retraining_trials, seed=job.seed)
-            for c in models.candidates(job.features, smoke=job.smoke)
+            for c in models.candidates(job.features, grids=job.grids)
         ]))
         _table(job, "retraining_summary", robustness.delta_summary(trials))
     return ranked

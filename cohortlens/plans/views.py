@@ -31,6 +31,11 @@ RIDE_FEATURES = FeatureSpec(
 )
 
 
+def draw_sql(key: str, seed: int) -> str:
+    """The draw of ``key_draw`` in SQL."""
+    return f"CAST('0x' || substr(md5(CAST({key} AS VARCHAR) || ':{seed}'), 1, 13) AS BIGINT) / CAST({1 << 52} AS DOUBLE)"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -132,13 +132,13 @@ def test_cost_table_rules(spark):
             marts.cost_table(m, price, source)
 
 
-@pytest.mark.parametrize("per_slice", [10_000, 30])
-def test_exact_median_with_a_hot_value(spark, per_slice):
+@pytest.mark.parametrize("slices", [None, 1, 8])
+def test_exact_median_with_a_hot_value(spark, slices):
     import statistics
 
     rows = [("odd" if i % 3 else "even", 4.0 if i % 3 == 1 else float((i * 37) % 101)) for i in range(301)] + [("odd", None), ("one", 2.5)]
     f = spark.createDataFrame(rows, "g string, v double")
-    got = {r.g: (r.n, r["median"]) for r in marts.exact_median(f, ["g"], "v", per_slice=per_slice).collect()}
+    got = {r.g: (r.n, r["median"]) for r in marts.exact_median(f, ["g"], "v", slices=slices).collect()}
     for g in ("odd", "even", "one"):
         vs = [v for k, v in rows if k == g and v is not None]
         assert got[g] == (len(vs), statistics.median(vs))

@@ -46,9 +46,9 @@ def brute_areas(pairs):
     return roc, pr
 
 
-@pytest.mark.parametrize("per_slice", [E.SCORES_PER_SLICE, 40])
-def test_exact_areas(scored, rows, per_slice):
-    got = {r.model: (r.auc_roc, r.auc_pr) for r in E.exact_areas(scored, ["model"], per_slice=per_slice).collect()}
+@pytest.mark.parametrize("slices", [None, 1, 12])
+def test_exact_areas(scored, rows, slices):
+    got = {r.model: (r.auc_roc, r.auc_pr) for r in E.exact_areas(scored, ["model"], slices=slices).collect()}
     for model in ("a", "b"):
         roc, pr = brute_areas([(y, s) for m, y, s, _ in rows if m == model])
         assert abs(got[model][0] - roc) < 1e-12 and abs(got[model][1] - pr) < 1e-12
@@ -61,10 +61,23 @@ def test_areas_match_the_builtin_evaluator(scored):
     assert abs(ours.auc_pr - E.sampled_auc(one, "areaUnderPR", bins=0)) < 1e-12
 
 
-def test_slices_with_missing_scores(spark):
-    f = spark.createDataFrame([(float(i % 2), i / 100) for i in range(100)] + [(1.0, None), (0.0, None)], "label double, score double")
-    whole, cut = E.exact_areas(f).first(), E.exact_areas(f, per_slice=9).first()
-    assert abs(whole.auc_roc - cut.auc_roc) < 1e-12 and abs(whole.auc_pr - cut.auc_pr) < 1e-12
+@pytest.mark.parametrize("odd", [[None], [float("nan")], [float("inf"), float("-inf")], [None, float("nan"), float("-inf"), float("inf")]])
+def test_odd_scores_have_fixed_places(spark, odd):
+    """NaN above infinity, NULL below minus infinity, the same at any number of ranges."""
+    rows = [(float(i % 2), i / 100) for i in range(100)] + [(y, s) for s in odd for y in (1.0, 0.0, 1.0)]
+    f = spark.createDataFrame(rows, "label double, score double")
+    one, many = E.exact_areas(f, slices=1).first(), E.exact_areas(f, slices=9).first()
+    assert abs(one.auc_roc - many.auc_roc) < 1e-12 and abs(one.auc_pr - many.auc_pr) < 1e-12
+    big = float("1e9")
+    place = {None: -2 * big, float("-inf"): -big, float("inf"): big}
+    plain = [(y, place.get(s, s) if s is None or s == s else 2 * big) for y, s in rows]
+    roc, pr = brute_areas(plain)
+    assert abs(one.auc_roc - roc) < 1e-12 and abs(one.auc_pr - pr) < 1e-12
+
+
+def test_no_scores_at_all(spark):
+    f = spark.createDataFrame([(1.0, None), (0.0, None)], "label double, score double")
+    assert E.exact_areas(f).first().auc_roc == 0.5
 
 
 def test_metric_row(scored, rows):
@@ -95,9 +108,9 @@ def test_curve_points(scored, rows):
 
 def test_curve_refuses_one_class(spark):
     f = spark.createDataFrame([(1.0, 0.1), (1.0, 0.9)], "label double, score double")
-    with pytest.raises(Exception, match="one class"):
+    with pytest.raises(Exception, match="one class is missing"):
         E.curve(f, 10).collect()
-    with pytest.raises(Exception, match="one class"):
+    with pytest.raises(Exception, match="one class is missing"):
         E.metric_rows(f, 0.5).collect()
     with pytest.raises(ValueError):
         E.histogram(f, 1)
@@ -142,9 +155,9 @@ def test_perturbation(spark):
         F.col("id").alias("row_id"), F.when(F.col("id") % 2 == 0, "23").otherwise("8").alias("hour"),
         F.when(F.col("id") % 4 == 0, "Unknown").otherwise("Queens").alias("grp"), (F.col("id") % 2).cast("double").alias("label"))
     draw = lambda seed: R.C.hash_draw("row_id", seed=seed)
-    got = R.perturb_inputs(f, draw(3), fraction=0.4)
-    assert sorted(got.collect()) == sorted(R.perturb_inputs(f.repartition(7), draw(3), fraction=0.4).collect())
-    assert sorted(got.collect()) != sorted(R.perturb_inputs(f, draw(4), fraction=0.4).collect())
+    got = R.perturb(f, draw(3), R.shift_and_hide(0.4))
+    assert sorted(got.collect()) == sorted(R.perturb(f.repartition(7), draw(3), R.shift_and_hide(0.4)).collect())
+    assert sorted(got.collect()) != sorted(R.perturb(f, draw(4), R.shift_and_hide(0.4)).collect())
     rows = {r.row_id: r for r in got.collect()}
     for old in f.collect():
         new = rows[old.row_id]
@@ -156,7 +169,7 @@ def test_perturbation(spark):
     assert t.rows == 400 and t.positives == 200 and 50 < t.hour_shifted + t.group_masked < 160
     for bad in (0, 1):
         with pytest.raises(ValueError):
-            R.perturb_inputs(f, draw(3), fraction=bad)
+            R.perturb(f, draw(3), R.shift_and_hide(bad))
 
 
 def test_ranking_and_selection(spark):
@@ -179,6 +192,9 @@ def test_samples(spark):
     assert back.count() == 50 and sorted(back.collect()) == sorted(sampling.background(f.repartition(6), "id", 50, 1).collect())
     with pytest.raises(ValueError):
         sampling.background(f, "id", 5, 1)
+    wide = sampling.background(spark.range(1_000_000), "id", 200, 29, hashed=False).collect()
+    assert min(r.id for r in wide) < 50_000 and max(r.id for r in wide) > 950_000
+    assert [sum(k * 100_000 <= r.id < (k + 1) * 100_000 for r in wide) > 5 for k in range(10)] == [True] * 10
     trials = sampling.bootstrap_rates(f, "id", 4, 2).collect()
     assert [t.trial for t in trials] == [1, 2, 3, 4]
     assert all(4700 < t.rows_drawn < 5300 and abs(t.rate - .5) < .05 for t in trials)

@@ -9,6 +9,10 @@ from cohortlens import presets
 from cohortlens.plans import stages
 
 
+TINY = {"LogisticRegression": [{"regParam": 0.1}], "RandomForestClassifier": [{"numTrees": 2, "maxDepth": 3}],
+        "MultilayerPerceptronClassifier": [{"maxIter": 3}], "GBTClassifier": [{"maxDepth": 3, "maxIter": 3}]}
+
+
 def _month(spark, folder, month, rows, *, drop=(), rename=None):
     start = dt.datetime(2019, month, 1)
     data = []
@@ -38,7 +42,7 @@ def job(spark, tmp_path_factory):
     _month(spark, folder, 11, 150, rename={"VendorID": "vendorid"})
     lookup = tmp_path_factory.mktemp("dim") / "zones.csv"
     lookup.write_text("LocationID,Borough,Zone\n1,Queens,a\n1,Queens,dup\nx,Nowhere,b\n")
-    made = stages.Job(work=str(tmp_path_factory.mktemp("work")), smoke=True, minimum_group=1,
+    made = stages.Job(work=str(tmp_path_factory.mktemp("work")), grids=TINY, folds=2, parallelism=1, tuning_fraction=1.0, minimum_group=1,
                       background_rows=60, explain_samples=64, perturbed_fraction=0.4)
     stages.ingest(
         spark, made, str(folder), str(lookup), expected=[f"trips-{m:02d}.parquet" for m in (1, 10, 11)],
