@@ -46,8 +46,9 @@ def quality_flags(frame: DataFrame, spec: CohortSpec) -> DataFrame:
     return frame.agg(F.count(F.lit(1)).alias("raw_rows"), *_flag_counts(frame, spec))
 
 
-def quality_table(frame: DataFrame, spec: CohortSpec, period: str) -> DataFrame:
-    """Long table (section, metric, key, value): overall funnel, flags, clean rows per period.
+def quality_table(frame: DataFrame, spec: CohortSpec, period: str, source_bytes: int | None = None) -> DataFrame:
+    """Long table (section, metric, key, value): overall funnel, flags, clean rows per period,
+    and the size of the source where it is given.
 
     Rows are aggregated once per period; the roll-up runs on that small result, so the
     wide input is neither scanned twice nor expanded.
@@ -70,6 +71,9 @@ def quality_table(frame: DataFrame, spec: CohortSpec, period: str) -> DataFrame:
 
     whole = F.lit("all")
     totals = [entry("overall", m, whole) for m in ("raw_rows", "clean_rows")]
+    if source_bytes is not None:
+        totals.append(F.struct(F.lit("overall").alias("section"), F.lit("source_bytes").alias("metric"), whole.alias("key"),
+                               F.lit(source_bytes).cast("long").alias("value")))
     totals += [entry("quality_nonexclusive", m, whole) for m in FLAGS]
     period_key = F.coalesce(F.col(period).cast("string"), F.lit("Unknown"))
     monthly = entry("month", "clean_rows", period_key)
@@ -87,19 +91,19 @@ def _family(data_type: T.DataType) -> str:
     return "numeric" if isinstance(data_type, T.NumericType) else "categorical"
 
 
-def column_profile(frame: DataFrame, columns: Sequence[str] | None = None, *, exact: bool = True) -> DataFrame:
+def column_profile(frame: DataFrame, columns: Sequence[str] | None = None, *, exact: Sequence[str] = ()) -> DataFrame:
     """Missing share, distinct values and type family per column.
 
-    Exact distincts of many columns expand the input once per column before partial
-    aggregation; ``exact=False`` switches to one-pass sketches.
+    Distinct values are one-pass sketches, but for the columns named in ``exact``: each of
+    those expands the input once more before partial aggregation.
     """
     names = list(columns or frame.columns)
     types = {f.name: _family(f.dataType) for f in frame.schema}
-    distinct = F.count_distinct if exact else F.approx_count_distinct
+    distinct = {c: F.count_distinct if c in exact else F.approx_count_distinct for c in names}
     wide = frame.agg(
         F.count(F.lit(1)).alias("rows"),
         *[F.count(F.col(c)).alias(f"filled_{i}") for i, c in enumerate(names)],
-        *[distinct(F.col(c)).alias(f"distinct_{i}") for i, c in enumerate(names)],
+        *[distinct[c](F.col(c)).alias(f"distinct_{i}") for i, c in enumerate(names)],
     )
     rows = F.array(*[
         F.struct(

@@ -18,13 +18,13 @@ S = V.TRIPS
 
 def cohort(spark, d):
     """The staged fact for the trips view, with its key and score kept."""
-    return K.build_cohort(V.trips(spark, d), V.zones(spark, d), S, keep=("trip_key", "score"))
+    return K.build_cohort(V.trips(spark, d, card_only=True), V.zones(spark, d), S, keep=("trip_key", "score"))
 
 
 @query("cohort_filter", V.TRIPS_SQL + """
 SELECT trip_key, pickup_ts, fare_amount, tip_amount, zone_id FROM eligible""")
 def cohort_filter(spark, d):
-    return K.eligible(V.trips(spark, d), S).select(
+    return K.eligible(V.trips(spark, d, card_only=True), S).select(
         "trip_key", "pickup_ts", "fare_amount", "tip_amount", "zone_id")
 
 
@@ -116,15 +116,12 @@ def feat_leakage_report(spark, d):
 
 
 @query("join_dimension", V.TRIPS_SQL + """
-SELECT grp, zone_id, count(*) AS n, round(sum(fare_amount), 2) AS fare
-FROM cohort GROUP BY 1, 2""")
+SELECT trip_key, zone_id, grp, fare_amount FROM cohort""")
 def join_dimension(spark, d):
-    """Facts fold to one row per zone before they meet the dimension: nothing but the
-    aggregate is joined."""
-    per_zone = K.eligible(V.trips(spark, d), S).groupBy("zone_id").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.sum("fare_amount"), 2).alias("fare"))
-    joined = K.join_dimension(per_zone, V.zones(spark, d), "zone_id", "zone_id")
-    return joined.select(C.as_category("grp").alias("grp"), "zone_id", "n", "fare")
+    """Every eligible fact row with its group, unmatched zones included."""
+    facts = K.eligible(V.trips(spark, d, card_only=True), S).select("trip_key", "zone_id", "fare_amount")
+    joined = K.join_dimension(facts, V.zones(spark, d), "zone_id", "zone_id")
+    return joined.select("trip_key", "zone_id", C.as_category("grp").alias("grp"), "fare_amount")
 
 
 _SPLIT_CASE = ("CASE WHEN year_month < '2000-07' THEN 'train' "

@@ -10,7 +10,7 @@ from cohortlens.functions import columns as C
 from cohortlens.plans import views as V
 from cohortlens.plans.cohort_queries import cohort
 from cohortlens.plans.registry import query
-from cohortlens.sources.files import file_inventory
+from cohortlens.sources.files import table_files
 
 _IN_WINDOW = "pickup_ts >= TIMESTAMP '1996-01-01' AND pickup_ts < TIMESTAMP '2002-01-01'"
 _BAD = {
@@ -43,9 +43,9 @@ def qc_long_table(spark, d):
 
 
 _PROFILE = {
-    "pickup_ts": "datetime", "payment_type": "numeric", "fare_amount": "numeric",
-    "trip_distance": "numeric", "vendor": "categorical", "rate_code": "categorical",
-    "zone_id": "numeric",
+    "trip_key": "numeric", "pickup_ts": "datetime", "payment_type": "numeric", "fare_amount": "numeric", "tip_amount": "numeric",
+    "trip_distance": "numeric", "passenger_count": "numeric", "vendor": "categorical", "rate_code": "categorical",
+    "zone_id": "numeric", "year_month": "categorical", "score": "numeric",
 }
 
 
@@ -54,14 +54,14 @@ _PROFILE = {
     f"round(100.0 * (count(*) - count({c})) / CAST(count(*) AS DOUBLE), 6) AS missing_pct, "
     f"count(DISTINCT {c}) AS distinct_values FROM trips" for c, f in _PROFILE.items()))
 def qc_column_profile(spark, d):
-    return Q.column_profile(V.trips(spark, d), list(_PROFILE))
+    return Q.column_profile(V.trips(spark, d), list(_PROFILE), exact=list(_PROFILE))
 
 
 @query("qc_volume_gate", """
 SELECT count(*) AS rows, CAST(11 AS BIGINT) AS columns, count(*) >= 5000 AS enough_rows,
        TRUE AS enough_columns, TRUE AS enough_bytes FROM lineitem""")
 def qc_volume_gate(spark, d):
-    sizes = file_inventory(spark, d, "lineitem.parquet").agg(F.sum("bytes")).first()[0]
+    sizes = table_files(spark, f"{d}/lineitem.parquet").agg(F.sum("bytes")).first()[0]
     return Q.volume_gate(V.table(spark, d, "lineitem"), sizes, min_rows=5000, min_columns=10, min_bytes=10_000)
 
 

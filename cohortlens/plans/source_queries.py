@@ -17,33 +17,48 @@ from cohortlens.sources.shared import freeze, fresh_path
 FACTS = ("customer", "events", "lineitem", "nation", "orders", "part", "region", "supplier")
 
 
-def _inventory(spark, d):
-    return S.file_inventory(spark, d)
+def _counts_sql(tables) -> str:
+    return " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS rows FROM {t}" for t in tables)
 
 
-@query("src_missing_files", "SELECT 'returns.parquet' AS file_name UNION ALL SELECT 'refunds.parquet'")
+def _table_rows(spark, d, tables):
+    """Rows and bytes by table; a table may be a file or a folder of files."""
+    each = [S.table_files(spark, f"{d}/{t}.parquet").agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("files"))
+            .select(F.lit(t).alias("name"), "rows", "bytes", "files") for t in tables]
+    return N.union_frames(each)
+
+
+@query("src_missing_files", f"""
+SELECT e.name, c.rows, c.rows IS NULL AS missing
+FROM (VALUES {', '.join(f"('{t}')" for t in (*FACTS, 'returns', 'refunds'))}) e(name) LEFT JOIN ({_counts_sql(FACTS)}) c USING (name)""")
 def src_missing_files(spark, d):
-    return S.missing_files(_inventory(spark, d), [f"{t}.parquet" for t in (*FACTS, "returns", "refunds")])
+    """Expected tables beside what the files hold; the two that are not there are missing."""
+    found = _table_rows(spark, d, FACTS).select("name", "rows")
+    expected = spark.createDataFrame([(t,) for t in (*FACTS, "returns", "refunds")], "name string")
+    return expected.join(found, "name", "left").withColumn("missing", F.col("rows").isNull())
 
 
-@query("src_file_inventory")
+@query("src_file_inventory", f"SELECT name, rows, TRUE AS has_bytes, TRUE AS has_files FROM ({_counts_sql(FACTS)})")
 def src_file_inventory(spark, d):
-    return _inventory(spark, d).select("file_name", "bytes")
+    got = _table_rows(spark, d, FACTS)
+    return got.select("name", "rows", (F.col("bytes") > 0).alias("has_bytes"), (F.col("files") > 0).alias("has_files"))
 
 
 @query("src_manifest")
 def src_manifest(spark, d):
-    return S.file_manifest(_inventory(spark, d)).drop("path")
+    return S.file_manifest(S.file_inventory(spark, [f"{d}/{t}.parquet" for t in FACTS])).drop("path")
 
 
-@query("src_schema_log")
+@query("src_schema_log", f"""
+SELECT table_name AS name, CAST(count(*) AS INTEGER) AS n_columns, string_agg(column_name, ',' ORDER BY ordinal_position) AS column_names
+FROM (SELECT table_name, column_name, column_index AS ordinal_position FROM duckdb_columns()) WHERE table_name IN ({', '.join(repr(t) for t in FACTS)}) GROUP BY 1""")
 def src_schema_log(spark, d):
-    return N.schema_log(_inventory(spark, d)).drop("path")
-
-
-@query("src_worker_visibility")
-def src_worker_visibility(spark, d):
-    return S.worker_visibility(_inventory(spark, d), spark.sparkContext.defaultParallelism)
+    """Columns of each table in Spark's terms, from the log of its first file."""
+    files = S.file_inventory(spark, [f"{d}/{t}.parquet" for t in FACTS])
+    table = F.regexp_extract("path", r"/(\w+)\.parquet(?:/[^/]*)?$", 1)
+    log = N.schema_log(spark, files).withColumn("name", table)
+    names = F.regexp_replace(F.regexp_replace("schema", r"^struct<|>$", ""), r":[a-z0-9_]+", "")
+    return log.groupBy("name").agg(F.min("n_columns").alias("n_columns"), F.min(names).alias("column_names"))
 
 
 CANON = T.StructType([
@@ -112,25 +127,28 @@ def src_preview(spark, d):
     return D.preview(V.table(spark, d, "events"), ["event_id", "event_type", "value"], ["event_id"])
 
 
-_STAGED = ("trip_key", "label", "grp", "pickup_date", "year_month", "zone_id")
-
-
 @query("sink_partitioned_write", V.TRIPS_SQL + """
 SELECT year_month, count(*) AS n, count(DISTINCT grp) AS groups FROM cohort GROUP BY 1""")
 def sink_partitioned_write(spark, d):
+    """The whole fact, all columns, by period."""
     path = fresh_path(spark, "staged")
-    K.write_partitioned(cohort(spark, d).select(*_STAGED), path, "year_month", ["pickup_date", "zone_id"])
+    K.write_partitioned(cohort(spark, d), path, "year_month", ["pickup_date", "zone_id"])
     staged = D.read_staged(spark, path)
     return staged.groupBy("year_month").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("grp").alias("groups"))
 
 
 @query("src_staged_roundtrip", V.TRIPS_SQL + """
-SELECT trip_key, label, grp, pickup_date, year_month, zone_id FROM cohort WHERE year_month >= '2000-07'""")
+SELECT trip_key, label, grp, vendor, rate_code, CASE WHEN passenger_count BETWEEN 1 AND 5 THEN passenger_count END AS passenger_count,
+       pickup_hour, pickup_dow, pickup_month, round(sin(month(pickup_ts) * 2 * pi() / 12), 9) + CAST(0 AS DOUBLE) AS pickup_month_sin,
+       round(cos(month(pickup_ts) * 2 * pi() / 12), 9) + CAST(0 AS DOUBLE) AS pickup_month_cos, pickup_date, year_month, zone_id,
+       trip_distance, fare_amount, round(tip_amount, 6) AS tip_amount, round(score, 9) AS score
+FROM cohort WHERE year_month >= '2000-07'""")
 def src_staged_roundtrip(spark, d):
-    """Read back with partition pruning on the text period key."""
+    """All columns read back with partition pruning on the text period key."""
     path = fresh_path(spark, "staged")
-    K.write_partitioned(cohort(spark, d).select(*_STAGED), path, "year_month")
-    return D.read_staged(spark, path).where(F.col("year_month") >= "2000-07").select(*_STAGED)
+    K.write_partitioned(cohort(spark, d), path, "year_month")
+    back = D.read_staged(spark, path).where(F.col("year_month") >= "2000-07")
+    return back.withColumns({c: F.round(c, n) for c, n in (("pickup_month_sin", 9), ("pickup_month_cos", 9), ("tip_amount", 6), ("score", 9))})
 
 
 @query("sink_freeze", """

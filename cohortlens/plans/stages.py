@@ -86,13 +86,17 @@ def ingest(spark: SparkSession, job: Job, raw_dir: str, dimension_csv: str, *, e
     """
     listed = files.file_inventory(spark, raw_dir)
     files.require_files(listed, expected)
-    log = _table(job, "schema_log", conform.schema_log(listed))
-    raw = conform.load_periods(spark, listed, job.schema, period_pattern, job.required)
+    log = _table(job, "schema_log", conform.schema_log(spark, listed))
+    size = listed.agg(F.sum("bytes")).first()[0]
+    raw = conform.load_periods(log, job.schema, period_pattern, job.required)
     dim = dimension.read_dimension(
         spark, dimension_csv, key, value, key_as=job.cohort.dim_key, value_as=job.cohort.group)
 
-    counts = _table(job, "quality", quality.quality_table(raw, job.cohort, "source_period"))
-    fact = cohort.build_cohort(raw, dim, job.cohort)
+    # a row counts for the month it was picked up in, whatever file it was filed in
+    monthly = raw.withColumn("year_month", F.date_format(job.cohort.time, "yyyy-MM"))
+    counts = _table(job, "quality", quality.quality_table(monthly, job.cohort, "year_month", size))
+    chosen = conform.load_periods(log, job.schema, period_pattern, job.required, rule=lambda f: cohort.eligibility(f, job.cohort))
+    fact = cohort.build_cohort(chosen, dim, job.cohort)
     sinks.write_partitioned(fact, job.at("staged"), "year_month", ["pickup_date", job.cohort.place])
     fact = staged(spark, job)
 
@@ -101,7 +105,6 @@ def ingest(spark: SparkSession, job: Job, raw_dir: str, dimension_csv: str, *, e
     _table(job, "period_label", marts.rows_by(fact, "year_month", "label"))
 
     rows = counts.where((F.col("section") == "overall") & (F.col("metric") == "raw_rows")).first().value
-    size = listed.agg(F.sum("bytes")).first()[0]
     narrowest = log.agg(F.min("n_columns")).first()[0]
     volume = spark.createDataFrame(
         [(rows, narrowest, size, rows >= min_rows, narrowest >= min_columns, size >= min_bytes)],
@@ -266,7 +269,7 @@ def publish(spark: SparkSession, job: Job) -> list[str]:
         F.struct(F.lit(c).alias("cell"), F.col(c).alias("count")) for c in ("tn", "fp", "fn", "tp")])
     business = marts.group_rates(
         fact, ["year_month", group, "pickup_hour"], minimum=job.minimum_group, rate="high_tip_rate",
-        measures={"mean_fare_usd": F.avg(job.cohort.base)},
+        measures={"mean_fare_usd": marts.mean_money(job.cohort.base)},
     ).withColumnsRenamed({"year_month": "month", group: "borough"}).orderBy("month", "borough", "pickup_hour")
     banded = fact.withColumn("distance_band", C.distance_band(job.cohort.distance))
     # Column order of each published table.

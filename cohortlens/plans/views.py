@@ -51,9 +51,14 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one_row_per_key(pairs, "zone_id", "grp")
 
 
-def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trip-shaped facts: line items with their order's time and customer's zone."""
+def trips(spark: SparkSession, sf_dir: str, card_only: bool = False) -> DataFrame:
+    """Trip-shaped facts: line items with their order's time and customer's zone.
+
+    ``card_only`` states the payment rule on the stored column, so it reaches the scan.
+    """
     item, order, customer = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "customer"))
+    if card_only:
+        item = item.where(F.col("l_linestatus") == "F")
     return (
         item.join(order, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")

@@ -1,8 +1,8 @@
-"""File-level sources: inventory, completeness, integrity, visibility."""
+"""File-level sources: inventory, completeness, integrity."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,9 +19,16 @@ def file_inventory(spark: SparkSession, paths: str | Sequence[str], glob: str =
     )
 
 
-def period_names(template: str, periods: Iterable[int]) -> list[str]:
-    """File names from a template such as ``trips-{period:02d}.parquet``."""
-    return [template.format(period=p) for p in periods]
+def table_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Name, bytes and rows of each Parquet file, files without rows left out.
+
+    No stored column is read: Spark's reader counts rows from the footers, and names come
+    from its file metadata, whatever the schemas of the files.
+    """
+    load = [paths] if isinstance(paths, str) else list(paths)
+    rows = spark.read.schema("`_absent` string").option("pathGlobFilter", "*.parquet").parquet(*load)
+    return rows.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(
+        F.max("_metadata.file_size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
 
 
 def missing_files(inventory: DataFrame, expected: Sequence[str]) -> DataFrame:
@@ -87,29 +94,3 @@ def file_manifest(inventory: DataFrame, tasks: int | None = None) -> DataFrame:
         _digest_files,
         "path string, file_name string, bytes long, sha256 string, is_parquet boolean",
     )
-
-
-def _probe_files(batches):
-    import socket
-
-    for batch in batches:
-        seen = []
-        for uri in batch["path"]:
-            try:
-                with _open_stream(uri) as stream:
-                    stream.read(1)
-                seen.append(True)
-            except OSError:
-                seen.append(False)
-        out = batch[["probe", "file_name"]].copy()
-        out["host"] = socket.gethostname()
-        out["visible"] = seen
-        yield out
-
-
-def worker_visibility(inventory: DataFrame, probes: int) -> DataFrame:
-    """Can executors open the inputs? Each file is opened from ``probes`` tasks."""
-    spread = inventory.select(
-        "path", "file_name", F.explode(F.sequence(F.lit(1), F.lit(probes))).alias("probe")
-    ).repartition(probes, "probe")
-    return spread.mapInPandas(_probe_files, "probe int, file_name string, host string, visible boolean")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -69,10 +70,27 @@ def non_finite_counts(frame: DataFrame) -> DataFrame:
 
 
 def write_json(frame: DataFrame, path: str) -> None:
-    """JSON lines, refused when any number is not finite. The committer publishes the
-    folder only after every task succeeded."""
+    """JSON lines, refused when any number is not finite.
+
+    Written beside the target and moved into place when complete, so a failing write leaves
+    what was there before."""
     found = non_finite_counts(frame).first().asDict()
     bad = {k: v for k, v in found.items() if k != "rows" and v}
     if bad:
         raise ValueError(f"non-finite numbers in {bad}")
-    frame.write.mode("overwrite").json(path)
+    spark = frame.sparkSession
+    paths = spark._jvm.org.apache.hadoop.fs.Path
+    target, fresh, old = (paths(f"{path.rstrip('/')}{tail}") for tail in ("", f".new-{uuid.uuid4().hex}", f".old-{uuid.uuid4().hex}"))
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        frame.write.mode("errorifexists").json(fresh.toString())
+        there = store.exists(target)
+        if there and not store.rename(target, old):
+            raise OSError(f"cannot move {path} aside")
+        if not store.rename(fresh, target):
+            if there:
+                store.rename(old, target)
+            raise OSError(f"cannot publish {path}")
+        store.delete(old, True)
+    finally:
+        store.delete(fresh, True)

@@ -29,12 +29,12 @@ def test_periods_read_per_schema_version(spark, tmp_path):
         os.link(part, tmp_path / f"part-{m:02d}.parquet")
     listed = files.file_inventory(spark, str(tmp_path), "part-0*.parquet").where(~F.col("path").contains("/_p"))
     assert listed.count() == 3
-    got = conform.load_periods(spark, listed, CANON, r"part-(\d+)", required=["Key"])
+    log = conform.schema_log(spark, listed)
+    got = conform.load_periods(log, CANON, r"part-(\d+)", required=["Key"])
     assert {(r.source_period, r["count"]) for r in got.groupBy("source_period").count().collect()} == {(1, 3), (2, 4), (3, 5)}
     assert got._jdf.queryExecution().toString().count("FileScan parquet") == 2  # two versions, three files
-    log = {r.file_name: r for r in conform.schema_log(listed).collect()}
+    log = {r.file_name: r for r in log.collect()}
     assert log["part-01.parquet"].schema == log["part-03.parquet"].schema and log["part-02.parquet"].n_columns == 2
-    assert conform.period_of("part-07.parquet", r"part-(\d+)") == 7
     with pytest.raises(ValueError):
         conform.union_frames([])
 
@@ -57,9 +57,17 @@ def test_manifest_and_missing(spark, tmp_path):
     assert [r.file_name for r in files.missing_files(listed, ["fake.parquet", "gone.parquet"]).collect()] == ["gone.parquet"]
     with pytest.raises(FileNotFoundError, match="gone"):
         files.require_files(listed, ["gone.parquet"])
-    seen = files.worker_visibility(listed, 3).collect()
-    assert len(seen) == 6 and all(r.visible for r in seen)
-    assert files.period_names("trips-{period:02d}.parquet", [1, 12]) == ["trips-01.parquet", "trips-12.parquet"]
+    assert [(r.file_name, r.bytes, r.rows) for r in files.table_files(spark, str(good)).collect()] == [(good.name, good.stat().st_size, 10)]
+
+
+def test_bad_values_become_null_and_rules_reach_the_scan(spark, tmp_path):
+    f = spark.createDataFrame([("1", 2.0), ("x", 3.0)], "Key string, Amount double")
+    assert [r.Key for r in conform.conform(f, CANON).orderBy("Amount").collect()] == [1, None]
+    spark.range(20).selectExpr("id AS key", "id * 1.0 AS amount").coalesce(1).write.parquet(str(tmp_path / "p"))
+    log = conform.schema_log(spark, files.file_inventory(spark, str(tmp_path / "p")))
+    got = conform.load_periods(log, CANON, r"part-(\d+)", rule=lambda frame: F.col("Key") == 7)
+    assert [(r.Key, r.Amount) for r in got.collect()] == [(7, 7.0)]
+    assert "EqualTo(key,7)" in got._jdf.queryExecution().toString()  # stored as bigint, wanted as int
 
 
 def test_dimension_dedupes_and_drops_bad_keys(spark, tmp_path):
@@ -87,6 +95,17 @@ def test_json_refuses_non_finite_numbers(spark, tmp_path):
     assert not (tmp_path / "bad").exists()
 
 
+def test_a_failing_json_write_leaves_what_was_there(spark, tmp_path):
+    sinks.write_json(spark.createDataFrame([(1.0,)], "a double"), str(tmp_path / "doc"))
+    broken = spark.range(3).select(F.when(F.col("id") < 9, F.raise_error(F.lit("boom"))).cast("string").alias("a"))
+    with pytest.raises(Exception, match="boom"):
+        sinks.write_json(broken, str(tmp_path / "doc"))
+    assert [r.a for r in spark.read.schema("a double").json(str(tmp_path / "doc")).collect()] == [1.0]
+    sinks.write_json(spark.createDataFrame([(2.0,)], "a double"), str(tmp_path / "doc"))
+    assert [r.a for r in spark.read.schema("a double").json(str(tmp_path / "doc")).collect()] == [2.0]
+    assert [p.name for p in tmp_path.iterdir()] == ["doc"]
+
+
 def test_freeze_fixes_random_draws(spark):
     f = shared.freeze(spark.range(50).withColumn("u", F.rand()), "t")
     assert f.collect() == f.collect()

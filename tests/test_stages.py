@@ -65,7 +65,8 @@ def test_ingest(spark, job):
     assert table["overall", "raw_rows", "all"] == 470
     assert table["quality_nonexclusive", "wrong_channel", "all"] == 47
     assert table["quality_nonexclusive", "missing_late_code", "all"] == 120
-    assert table["month", "clean_rows", "10"] == 108
+    assert table["month", "clean_rows", "2019-10"] == 108
+    assert table["overall", "source_bytes", "all"] > 1000
     with pytest.raises(FileNotFoundError, match="trips-12"):
         stages.ingest(spark, made, folder, lookup, expected=["trips-12.parquet"], period_pattern=r"(\d+)",
                       key="LocationID", value="Borough")
