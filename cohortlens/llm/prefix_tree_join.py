@@ -29,6 +29,9 @@ HUB_SHARED = 6
 # One document in so many tells which shingles are frequent; it orders, it drops nothing.
 ORDER_SAMPLE, ORDER_HITS = 16, 3
 GROUP = 200
+# Groups beyond which a shared shingle is settled in tiles of its cluster, not pair by pair.
+MANY, TILE = 64, 256
+SHORT = 2048
 _SEEDS = np.random.default_rng(4).integers(1, 1 << 63, (HUB_HASHES, 1), dtype=np.uint64) | np.uint64(1)
 
 
@@ -54,10 +57,11 @@ def prefix_length(n: int, percent: int) -> int:
 class Trie:
     """Sorted sets as paths; a chain without branches is one node holding all its tokens."""
 
-    __slots__ = ("tokens", "children", "ends", "low", "high")
+    __slots__ = ("tokens", "held", "children", "ends", "low", "high")
 
     def __init__(self, tokens: np.ndarray):
         self.tokens, self.children, self.ends = tokens, {}, []
+        self.held = frozenset(tokens.tolist()) if tokens.size <= SHORT else None  # quicker to intersect
         self.low = self.high = 0  # fewest and most tokens from the node's start to a set's end
 
     @classmethod
@@ -88,13 +92,15 @@ class Trie:
 
     def search(self, probe: np.ndarray, percent: int) -> Iterator[tuple[int, int, int]]:
         """(name, size, overlap) of the stored sets that the probe links with."""
+        own = frozenset(probe.tolist())
         stack = [(self, 0, 0, 0)]  # node, tokens above it, overlap so far, place in the probe
         while stack:
             node, depth, overlap, place = stack.pop()
-            if node.tokens.size:
-                at = np.searchsorted(probe, node.tokens)
-                inside = at < probe.size
-                overlap += int(np.count_nonzero(probe[at[inside]] == node.tokens[inside]))
+            if node.held is not None:
+                overlap += len(own & node.held)
+            else:
+                overlap += np.intersect1d(probe, node.tokens, assume_unique=True).size
+            if node.children and node.tokens.size:
                 place = int(np.searchsorted(probe, node.tokens[-1], "right"))
             depth += node.tokens.size
             for name in node.ends:
@@ -118,7 +124,7 @@ def _signatures(percent: int, width: int):
                     rows.append((key, None, 0, None, None))
                     continue
                 name = class_of(tokens)
-                low = np.array([mix(tokens * s).min() for s in _SEEDS[:, 0]])
+                low = (tokens * _SEEDS).min(1)
                 rows.append((key, name, tokens.size, low.tobytes(), _signed(tokens) if name % ORDER_SAMPLE == 0 else None))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, schema.types)], schema=schema)
 
@@ -141,29 +147,32 @@ def _some_sets(width: int, wanted: np.ndarray):
 
 
 def _prefixes(percent: int, width: int, leads: np.ndarray, frequent: np.ndarray):
-    schema = pa.schema([("class", pa.int64()), ("n", pa.int64()), ("prefix", pa.list_(pa.int64()))])
+    schema = pa.schema([("class", pa.int64()), ("n", pa.int64()), ("edge", pa.int64()), ("prefix", pa.list_(pa.int64()))])
 
     def run(batches):
         for batch in batches:
             keep = has_bit(leads, batch.column("key").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
             some = batch.filter(pa.array(keep))
-            names, sizes, starts = [], [], []
+            names, sizes, edges, starts = [], [], [], []
             for tokens in shingle_sets(some.column("text"), width):
                 if tokens.size:
                     late = has_bit(frequent, tokens)
                     p = prefix_length(tokens.size, percent)
                     names.append(class_of(tokens))
                     sizes.append(tokens.size)
-                    starts.append(_signed(np.concatenate([tokens[~late], tokens[late]])[:p]))
+                    first = np.concatenate([tokens[~late], tokens[late]])[:p]
+                    edges.append(int(first[-1] >> np.uint64(2)) | int(p > np.count_nonzero(~late)) << 62)
+                    starts.append(_signed(first))
             flat = pa.array(np.concatenate(starts) if starts else np.zeros(0, np.int64), pa.int64())
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(s) for s in starts)]), pa.int32()), flat)
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), lists], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.array(edges, pa.int64()), lists], schema=schema)
 
-    return run, "class long, n long, prefix array<long>"
+    return run, "class long, n long, edge long, prefix array<long>"
 
 
 def _matching(mixed: np.ndarray):
-    schema = pa.schema([("class", pa.int64()), ("n", pa.int64()), ("token", pa.int64())])
+    names = ["class", "n", "edge"]
+    schema = pa.schema([*((c, pa.int64()) for c in names), ("token", pa.int64())])
 
     def run(batches):
         for batch in batches:
@@ -172,9 +181,9 @@ def _matching(mixed: np.ndarray):
             owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
             keep = has_bit(mixed, flat.view(np.uint64)) if flat.size else np.zeros(0, bool)
             owner = pa.array(owner[keep])
-            yield pa.RecordBatch.from_arrays([batch.column("class").take(owner), batch.column("n").take(owner), pa.array(flat[keep])], schema=schema)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(owner) for c in names), pa.array(flat[keep])], schema=schema)
 
-    return run, "class long, n long, token long"
+    return run, "class long, n long, edge long, token long"
 
 
 def verified(pairs: DataFrame, keyed: DataFrame, classes: DataFrame, percent: int, width: int, scratch: Scratch) -> DataFrame:
@@ -186,7 +195,7 @@ def verified(pairs: DataFrame, keyed: DataFrame, classes: DataFrame, percent: in
     ends = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
     wanted = bit_filter(ends.join(classes, "class").select("lead"), "lead")
     run, schema = _some_sets(width, wanted)
-    sets = scratch.keep(keyed.mapInArrow(run, schema).where("class is not null").dropDuplicates(["class"]).join(ends, "class", "left_semi"), "sets")
+    sets = scratch.keep(keyed.mapInArrow(run, schema).where("class is not null"), "sets")
     counts = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("partners"))
     parted = scratch.keep(pairs.join(counts, "a").select(
         "a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("partners") / GROUP)).cast("int").alias("part")), "parted")
@@ -201,7 +210,73 @@ def verified(pairs: DataFrame, keyed: DataFrame, classes: DataFrame, percent: in
                              "overlap": np.array([x[2] for x in found], np.int64)})
 
     both = stored.union(probes)
-    return both.groupBy("a", "part").applyInPandas(walk, "a long, b long, overlap long")
+    out = scratch.keep(both.groupBy("a", "part").applyInPandas(walk, "a long, b long, overlap long"), "verified")
+    scratch.drop(sets, parted)
+    return out
+
+
+def _shortfall(n: str, m: str, left: str, percent: int) -> str:
+    """SQL: shared prefix tokens that a pair of sizes n and m needs when ``left`` more can follow."""
+    return f"ceil({percent} * ({n} + {m}) / {100 + percent}) - {left}"
+
+
+def _open_pairs(posts: DataFrame, roots: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """(a, b): classes of different groups that share enough of their prefixes to link.
+
+    Up to the end of the prefix that ends first, both prefixes show every shared token;
+    behind it, no more can be shared than that set has left. So the tokens shared must
+    make up the rest of the overlap. First groups are compared, with bounds over the sizes
+    of their members, so a large group is one row a token; then members of those left.
+    """
+    behind = lambda n: f"(ceil({percent} * {n} / 100) - 1)"
+    x, y = roots.alias("x"), roots.alias("y")
+    met = x.join(y, F.col("x.token") == F.col("y.token")).where(
+        f"x.root < y.root and 100 * y.hi >= {percent} * x.lo and 100 * x.hi >= {percent} * y.lo")
+    corner = lambda n, m: _shortfall(n, m, f"greatest({behind(n)}, {behind(m)})", percent)
+    groups = met.groupBy(F.col("x.root").alias("left"), F.col("y.root").alias("right")).agg(
+        F.count(F.lit(1)).alias("shared"), F.min("x.lo").alias("x1"), F.max("x.hi").alias("x2"), F.min("y.lo").alias("y1"), F.max("y.hi").alias("y2"))
+    # the shortfall falls as the larger set grows and the smaller shrinks; 2 covers rounding
+    groups = scratch.keep(groups.where(f"shared >= least({corner('x2', 'y1')}, {corner('x1', 'y2')}) - 2").select("left", "right"), "group-pairs")
+    ours = posts.join(groups, posts["root"] == groups["left"]).select("token", "right", F.col("class").alias("a"), F.col("n").alias("n"), F.col("edge").alias("edge"))
+    theirs = posts.select("token", F.col("root").alias("right"), F.col("class").alias("b"), F.col("n").alias("m"), F.col("edge").alias("other"))
+    both = ours.join(theirs, ["token", "right"]).where(f"100 * least(n, m) >= {percent} * greatest(n, m)")
+    counted = both.groupBy("a", "b", "n", "m", "edge", "other").agg(F.count(F.lit(1)).alias("shared"))
+    left = f"case when edge < other then {behind('n')} when other < edge then {behind('m')} else greatest({behind('n')}, {behind('m')}) end"
+    return counted.where(f"shared >= {_shortfall('n', 'm', left, percent)}").select("a", "b").distinct()
+
+
+def _in_tiles(members: DataFrame, keyed: DataFrame, classes: DataFrame, percent: int, width: int, scratch: Scratch) -> DataFrame:
+    """(a, b): links between members (cluster, class, root) of one cluster and different roots.
+
+    A cluster is cut into blocks of about ``TILE`` sets; each pair of blocks is a tile, in
+    which the sets of one block walk the trie of the other. A set goes to one tile for each
+    block, and of its links to one root a tile reports one: neither rows nor results
+    grow with the pairs.
+    """
+    run, schema = _some_sets(width, bit_filter(members.join(classes, "class").select("lead"), "lead"))
+    sets = scratch.keep(keyed.mapInArrow(run, schema).where("class is not null"), "cluster-sets")
+    sized = members.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("blocks"))
+    placed = members.join(sized, "cluster").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    each = placed.select("cluster", "class", "root", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    tiles = each.select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "class", "root", "block")
+    filled = tiles.join(sets, "class").select("cluster", "i", "j", "class", "root", "block", "tokens")
+
+    def walk(rows: pd.DataFrame) -> pd.DataFrame:
+        i, j = rows["i"].iloc[0], rows["j"].iloc[0]
+        root = dict(zip(rows["class"], rows["root"]))
+        sets = {c: np.frombuffer(t, np.uint64) for c, t in zip(rows["class"], rows["tokens"])}
+        probes, stored = rows["class"][rows["block"] == i], rows["class"][rows["block"] == j]
+        trie = Trie.of([(c, sets[c]) for c in stored])
+        found = {}
+        for c in probes if len(set(root.values())) > 1 else ():
+            for other, _, _ in trie.search(sets[c], percent):
+                if root[other] != root[c]:
+                    found.setdefault((c, root[other]), other)
+        return pd.DataFrame({"a": np.array([c for c, _ in found], np.int64), "b": np.array(list(found.values()), np.int64)})
+
+    out = scratch.keep(filled.groupBy("cluster", "i", "j").applyInPandas(walk, "a long, b long"), "tile-links")
+    scratch.drop(sets)
+    return out
 
 
 def similar_groups(docs: DataFrame, ident: str = "doc_id", text: str = "text", percent: int = 80, width: int = 5) -> DataFrame:
@@ -227,7 +302,7 @@ def similar_groups(docs: DataFrame, ident: str = "doc_id", text: str = "text", p
     stars = each.join(buckets, ["k", "low"]).where("class <> hub").groupBy(F.col("hub").alias("a"), F.col("class").alias("b"), "n").agg(F.count(F.lit(1)).alias("shared"))
     stars = stars.where(F.col("shared") >= HUB_SHARED).join(classes.select(F.col("class").alias("a"), F.col("n").alias("m")), "a")
     stars = scratch.keep(stars.where(f"100 * least(n, m) >= {percent} * greatest(n, m)").select("a", "b"), "stars")
-    near = scratch.keep(verified(stars, keyed, classes, percent, width, scratch).select("a", "b"), "near")
+    near = verified(stars, keyed, classes, percent, width, scratch).select("a", "b")
     joined = scratch.keep(components(near, scratch), "joined")
 
     # every pair that may link and is not joined yet, through the prefixes
@@ -237,23 +312,29 @@ def similar_groups(docs: DataFrame, ident: str = "doc_id", text: str = "text", p
     prefixes = scratch.keep(keyed.mapInArrow(run, schema), "prefixes")
     shared = scratch.keep(prefixes.select(F.explode("prefix").alias("token")).groupBy("token").count().where("count > 1").select("token"), "shared")
     run, schema = _matching(bit_filter(shared, "token"))
-    posts = prefixes.mapInArrow(run, schema).join(shared, "token", "left_semi")
+    posts = prefixes.mapInArrow(run, schema)
     posts = scratch.keep(posts.join(joined, posts["class"] == joined["node"], "left").select(
-        "token", "class", "n", F.coalesce("root", "class").alias("root")), "posts")
-    mixed = posts.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("token")
-    open_ = scratch.keep(posts.join(mixed, "token", "left_semi").distinct(), "open")
-    x, y = open_.alias("x"), open_.alias("y")
-    pairs = x.join(y, F.col("x.token") == F.col("y.token")).where(
-        f"x.root <> y.root and x.class < y.class and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)")
-    pairs = scratch.keep(pairs.select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct(), "pairs")
+        "token", "class", "n", "edge", F.coalesce("root", "class").alias("root")), "posts")
+    roots = scratch.keep(posts.groupBy("token", "root").agg(F.min("n").alias("lo"), F.max("n").alias("hi")), "roots")
+    spread = scratch.keep(roots.groupBy("token").agg(F.count(F.lit(1)).alias("k"), F.min("root").alias("hub")).where("k > 1"), "spread")
+    few, many = spread.where(f"k <= {MANY}").select("token"), spread.where(f"k > {MANY}").select("token", "hub")
+    open_ = scratch.keep(posts.join(few, "token", "left_semi"), "open")
+    pairs = scratch.keep(_open_pairs(open_, scratch.keep(roots.join(few, "token", "left_semi"), "open-roots"), percent, scratch), "pairs")
     rest = verified(pairs, keyed, classes, percent, width, scratch).select("a", "b")
+    # shingles of many groups, which only large families of near copies or short texts have in front
+    crowd = scratch.keep(posts.join(many, "token").select("class", "root", "hub").distinct(), "crowd")
+    clusters = components(crowd.select(F.col("root").alias("a"), F.col("hub").alias("b")), scratch)
+    clusters = clusters.select(F.col("node").alias("group"), F.col("root").alias("cluster"))
+    members = crowd.select("class", F.col("root").alias("group")).distinct().join(clusters, "group")
+    members = scratch.keep(members.select("cluster", "class", F.col("group").alias("root")), "members")
+    rest = rest.union(_in_tiles(members, keyed, classes, percent, width, scratch))
     groups = scratch.keep(components(scratch.keep(near.union(rest), "links"), scratch), "groups")
 
     rooted = classes.select("class", "lead").join(groups, classes["class"] == groups["node"], "left")
     rooted = rooted.select("class", "lead", F.coalesce("root", "class").alias("root"))
     least = rooted.groupBy("root").agg(F.min("lead").alias("least"))
     final = scratch.keep(rooted.join(least, "root").select("class", "least"), "final")
-    scratch.drop(stars, near, joined, prefixes, shared, posts, open_, pairs, buckets)
+    scratch.drop(stars, joined, prefixes, shared, posts, roots, spread, open_, pairs, buckets, crowd, members)
     out = signed.select("key", "class", "n").join(final, "class", "left")
     back = lambda c: F.nullif(c, none)
     return out.select(back(F.col("key")).alias(ident), F.col("n").alias("n_shingles"),
