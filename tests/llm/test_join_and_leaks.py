@@ -59,8 +59,12 @@ def test_groups_on_the_documents(spark, sf):
     assert got == sorted(groups_by_force([tuple(r) for r in docs.collect()]))
 
 
-def test_groups_at_the_border_of_the_bound(spark):
-    """Chains of edits, shared passages and short texts, many pairs close to 0.8."""
+@pytest.mark.parametrize("many, tile", [(prefix_tree_join.MANY, prefix_tree_join.TILE), (1, 5)])
+def test_groups_at_the_border_of_the_bound(spark, monkeypatch, many, tile):
+    """Chains of edits, shared passages and short texts, many pairs close to 0.8; counted
+    pair by pair, and all in tiles."""
+    monkeypatch.setattr(prefix_tree_join, "MANY", many)
+    monkeypatch.setattr(prefix_tree_join, "TILE", tile)
     rng = random.Random(4)
     vocabulary = [f"w{i}" for i in range(60)]
     passage = " ".join(rng.choices(vocabulary, k=30))
