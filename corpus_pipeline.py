@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 from cohortlens.llm import decontaminate, mixing, prefix_tree_join, sharding, string_kernel
 from cohortlens.llm.tables import Scratch, read
 
-LEAST_LANGUAGE_SCORE = 0.5
+# Clean texts that quote another language score from about 0.4 up.
+LEAST_LANGUAGE_SCORE = 0.35
 SHARDS = 40
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects rows without a letter and rows that every one-versus-rest classifier turns down."""
+    """Rejects rows without a letter and rows that every one-versus-rest classifier turns down clearly."""
     judged = string_kernel.identify(docs)
     return judged.where((F.col("lang_pred") != string_kernel.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
 
