@@ -1,22 +1,22 @@
 """Benchmark decontamination: near copies of benchmark items inside documents.
 
-A window of a document, as long as an item, leaks the item when their edit distance is at
-most ``rate`` of the item's length. The CGK random walk turns edit distance into Hamming
-distance: each string is read by a pointer that advances, or stays, by a random bit for the
-step and the character under it; similar strings fall back into step after an edit.
-Repeated bit sampling over the walks is the hash of a locality-sensitive table, with as
-many tables as the wanted recall needs. What meets an item in any table is verified by
-the exact edit distance of the item to its best part of the window.
-
-Only windows that hold a run of ``SEED`` words of an item, where the item has it, are walked.
-An item of n words keeps such a run as long as no more than (n - SEED) / SEED of its words
-are touched: a quarter of a long item, which is more than ``RATE`` of its characters once
-words are replaced. Only typing errors spread over every run of words stay unseen.
+A part of a document leaks an item when their edit distance is at most ``rate`` of the
+item's length. Items and documents are compared in their plain form, and all places are
+places of that form, so signs between words change nothing.
+
+Candidates come from a filter that loses nothing. Cut an item into pieces of ``q`` characters:
+``d`` edits spoil at most ``d`` pieces, so of ``n`` at least ``n - d`` stand unchanged, each
+within ``d`` characters of its place. Pieces of at most ``PIECE`` characters, of which one at
+least must survive, are looked up in all texts; where enough of them meet in line, pieces of
+``FINE`` characters, of which many must survive, are counted; what is left is verified by the
+exact edit distance of the item to its best part of the window.
+
+The CGK random walk turns edit distance into Hamming distance; at this rate walks of unrelated
+text agree nearly as often as those of edited text, so it measures and does not filter.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from dataclasses import dataclass
 
@@ -24,18 +24,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from cohortlens.llm.text import _SPACE, doc_blocks, rolling, utf8, words
-
-SEED = 4
-STRETCH = 3
-WINDOWS = 2048
-RATE, RECALL = 0.15, 0.99
-BITS = 4
+RATE = 0.15
+PIECE, FINE = 6, 4
+LINE = 4  # shorter pieces are taken where fewer would have to meet
+BLOCK = 1 << 20  # characters of whole texts looked up at once
+SHIFTS = 4096  # a window with more possible places is verified at once
 # The least share of the walk that strings at distance RATE agree on; a test measures it.
 AGREE = 0.35
 MOST_ITEMS_BYTES = 64 << 20
-_SPLIT = _SPACE.copy()
-_SPLIT[[b for b in range(128) if not chr(b).isalnum()]] = True
+BREAK = 0xD800  # stands between texts; no text holds it
+_SIGN = np.array([not chr(c).isalnum() for c in range(128)])
+_STEP, _STIR = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+_BITS = 22
 _WALK = np.random.default_rng(77).integers(0, 2, (4096, 256), dtype=np.int8)
 
 
@@ -44,6 +44,21 @@ def plain(text: str | None) -> str:
     return re.sub(r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", " ", (text or "").lower()).strip()
 
 
+def codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def grams(chars: np.ndarray, q: int) -> np.ndarray:
+    """The hash of the q characters from each place on."""
+    out = np.zeros(max(chars.size - q + 1, 0), np.uint64)
+    for k in range(q):
+        out *= _STEP
+        out += chars[k:k + out.size]
+    out ^= out >> np.uint64(29)
+    out *= _STIR
+    return out
+
+
 def walks(strings: list[np.ndarray], steps: int) -> np.ndarray:
     """CGK embedding of byte strings, ``steps`` long; behind its end a string reads 0."""
     n = len(strings)
@@ -60,11 +75,6 @@ def walks(strings: list[np.ndarray], steps: int) -> np.ndarray:
     return out.T
 
 
-def tables_for(recall: float, agree: float, bits: int) -> int:
-    """Tables of ``bits`` samples so that strings agreeing on ``agree`` of the walk meet."""
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - agree ** bits)))
-
-
 def edit_distance_within(pattern: str, text: str) -> tuple[int, int]:
     """(distance, end) of the part of ``text`` nearest to ``pattern``, by bit-parallel columns."""
     m = len(pattern)
@@ -89,93 +99,106 @@ def edit_distance_within(pattern: str, text: str) -> tuple[int, int]:
 @dataclass
 class Items:
     ids: list[int]
-    texts: list[str]
-    raw: list[np.ndarray]
-    seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  # run length: hashes, item, word
-    offsets: list[np.ndarray]  # byte start of each word, and the end
-    picks: np.ndarray  # (tables, bits) places in the walk as shares of its length
-    sampled: list[np.ndarray]  # what each item's walk shows there
-    slack: list[int]  # bytes that edits can add
-
-    def places(self, k: int) -> np.ndarray:
-        return (self.picks * (STRETCH * self.raw[k].size)).astype(np.int64)
+    texts: list[str]  # an item too short for any edit is asked for as whole words
+    edits: np.ndarray
+    sizes: np.ndarray
+    need: np.ndarray  # pieces that must meet in line
+    pieces: dict[int, tuple[np.ndarray, ...]]  # characters of a piece: hashes in order, equal ones from here on, item, place in it
+    fine: list[np.ndarray]  # short hashes of pieces of FINE characters
 
     @classmethod
-    def of(cls, named: list[tuple[int, str]], rate: float, recall: float, seed: int) -> Items:
+    def of(cls, named: list[tuple[int, str]], rate: float) -> Items:
         named = [(i, p) for i, t in sorted(named, key=lambda x: (x[0] is None, x[0])) if i is not None and (p := plain(t))]
-        texts = [p for _, p in named]
-        raw = [np.frombuffer(p.encode(), np.uint8) for p in texts]
-        seeds: dict[int, list] = {}
-        places = []
-        if texts:
-            data, offs = utf8(pa.array(texts))
-            hashes, starts, ends, first = words(data, offs, 0, len(texts), _SPLIT)
-            for k in range(len(texts)):
-                h = hashes[first[k]:first[k + 1]]
-                places.append(np.append(starts[first[k]:first[k + 1]] - offs[k], raw[k].size))
-                width = min(SEED, h.size)  # an item of a few words is its own seed
-                runs = rolling(h, width)
-                seeds.setdefault(width, []).append((runs, np.full(runs.size, k), np.arange(runs.size)))
-        merged = {}
-        for width, parts in seeds.items():
-            runs, item, word = (np.concatenate(x) for x in zip(*parts))
-            order = np.argsort(runs, kind="stable")
-            merged[width] = runs[order], item[order], word[order]
-        picks = np.sort(np.random.default_rng(seed).random((tables_for(recall, AGREE, BITS), BITS)), axis=1)
-        out = cls([i for i, _ in named], texts, raw, merged, places, picks, [], [max(1, int(rate * r.size)) for r in raw])
-        out.sampled = [walks([r], STRETCH * r.size)[0][out.places(k)] for k, r in enumerate(raw)]
-        return out
-
-    def windows(self, hashes: np.ndarray, starts: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """(text, item, byte where the item would begin) for each run shared with an item."""
+        edits = np.array([int(rate * len(p)) for _, p in named], np.int64)
+        texts = [p if d else f" {p} " for (_, p), d in zip(named, edits.tolist())]
+        found: dict[int, list] = {}
+        need, fine = [], []
+        for k, (text, d) in enumerate(zip(texts, edits.tolist())):
+            m, chars = len(text), codes(text)
+            most = max(1, min(PIECE, m // (d + 1)))
+            q = next((q for q in range(most, max(most - 2, FINE - 1), -1) if m // q - d >= LINE), most)
+            h = grams(chars, q)[:m // q * q:q]
+            need.append(max(1, h.size - d))
+            found.setdefault(q, []).append((h, np.full(h.size, k), np.arange(h.size) * q))
+            fine.append(grams(chars, FINE)[:m // FINE * FINE:FINE].astype(np.uint16))
+        pieces = {}
+        for q, parts in found.items():
+            h, item, place = (np.concatenate(x) for x in zip(*parts))
+            order = np.argsort(h, kind="stable")
+            h = h[order]
+            pieces[q] = h, np.searchsorted(h, h, "right") - np.arange(h.size), item[order], place[order]
+        return cls([i for i, _ in named], texts, edits, np.array([len(t) for t in texts], np.int64), np.array(need, np.int64), pieces, fine)
+
+    def windows(self, chars: np.ndarray, breaks: np.ndarray) -> np.ndarray:
+        """(text, item, first and last place where the item could begin), by item and place."""
         found = []
-        for width, (runs, item, word) in self.seeds.items():
-            own = rolling(hashes, width)
-            if not own.size or not runs.size:
+        apart = int(2 * (self.sizes + self.edits).max(initial=0)) + 1
+        for q, (hashes, runs, item, place) in self.pieces.items():
+            own = grams(chars, q)
+            known = np.zeros(1 << _BITS, bool)
+            known[hashes >> np.uint64(64 - _BITS)] = True
+            pos = np.flatnonzero(known[own >> np.uint64(64 - _BITS)])
+            at = np.minimum(np.searchsorted(hashes, own[pos]), hashes.size - 1)
+            same = hashes[at] == own[pos]
+            pos, at = pos[same], at[same]
+            text = np.repeat(np.arange(breaks.size + 1), np.diff(np.concatenate([[0], np.searchsorted(pos, breaks), [pos.size]])))
+            count = runs[at]
+            slot = np.repeat(at, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            # texts are so far apart that no two of them meet
+            key = np.sort((item[slot] << 40) + np.repeat(pos + (text + 1) * apart, count) - place[slot])
+            k = key >> 40
+            far = np.arange(key.size) + self.need[k] - 1
+            meet = np.flatnonzero(far < key.size)
+            meet = meet[key[far[meet]] - key[meet] <= 2 * self.edits[k[meet]]]
+            if not meet.size:
                 continue
-            keep = np.ones(own.size, bool)  # a run must not cross into the next text
-            for back in range(1, width):
-                at = first[1:-1] - back
-                keep[at[(at >= 0) & (at < own.size)]] = False
-            lo, hi = np.searchsorted(runs, own, "left"), np.searchsorted(runs, own, "right")
-            at = np.flatnonzero(keep & (hi > lo))
-            count = (hi - lo)[at]
-            pos = np.repeat(at, count)
-            slot = np.repeat(lo[at], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            doc = np.searchsorted(first, pos, "right") - 1
-            lead = np.array([self.offsets[k][w] for k, w in zip(item[slot], word[slot])], np.int64)
-            found.append(np.stack([doc, item[slot], starts[pos] - lead], 1) if pos.size else np.zeros((0, 3), np.int64))
-        return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
-
-
-def _nearest(sorted_: np.ndarray, value: int) -> int:
-    at = int(np.searchsorted(sorted_, value))
-    return min(sorted_[max(0, at - 1):at + 1].tolist(), key=lambda x: abs(x - value))
-
-
-def leaks_in(items: Items, column: pa.Array, rate: float) -> list[tuple[int, int, int, int]]:
-    """(row, item number, distance, byte where the window begins) of every leak in the column."""
+            k, d = k[meet], self.edits[k[meet]]
+            low, high = key[far[meet]] - d, key[meet] + d
+            first = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (low[1:] > high[:-1] + 1)]))
+            last = np.append(first[1:], k.size) - 1
+            k = k[first]
+            low, high = low[first] - (k << 40), high[last] - (k << 40)
+            text = np.searchsorted(breaks + (np.arange(breaks.size) + 1) * apart, low + d[first])
+            found.append(np.stack([text, k, low - (text + 1) * apart, high - (text + 1) * apart], 1))
+        return np.concatenate(found) if found else np.zeros((0, 4), np.int64)
+
+
+def _blocks_of(texts: list[str]):
+    at = used = 0
+    for k, t in enumerate(texts):
+        used += len(t)
+        if used > BLOCK or k == len(texts) - 1:
+            yield at, texts[at:k + 1]
+            at, used = k + 1, 0
+
+
+def leaks_in(items: Items, column: pa.Array) -> list[tuple[int, int, int, int]]:
+    """(row, item number, distance, byte of the lower-case text where the part begins) of every leak in the column."""
     out = []
-    lowered = pa.array([(t or "").lower() for t in column.to_pylist()], pa.large_string())
-    data, offsets = utf8(lowered)
-    for i, j in doc_blocks(offsets):
-        hashes, starts, _, first = words(data, offsets, i, j, _SPLIT)
-        spans = set()  # (item, row, begin, end); runs of one passage agree on its begin but for edits between them
-        for doc, k, at in items.windows(hashes, starts, first).tolist():
-            begin = _nearest(starts[first[doc]:first[doc + 1]], at)
-            spans.add((k, doc, begin, min(int(offsets[i + doc + 1]), begin + items.raw[k].size + 2 * items.slack[k])))
-        spans = sorted(spans)
-        for at in range(0, len(spans), WINDOWS):
-            part = spans[at:at + WINDOWS]
-            strings = [np.frombuffer(plain(data[s:e].tobytes().decode("utf-8", "ignore")).encode(), np.uint8)[:items.raw[k].size] for k, _, s, e in part]
-            hashed = walks(strings, STRETCH * max(items.raw[k].size for k, *_ in part))
-            for (k, doc, s, e), walk in zip(part, hashed):
-                if not (walk[items.places(k)] == items.sampled[k]).all(1).any():
-                    continue
-                whole = plain(data[max(int(offsets[i + doc]), s - items.slack[k]):e].tobytes().decode("utf-8", "ignore"))
-                distance, _ = edit_distance_within(items.texts[k], whole)
-                if distance <= rate * len(items.texts[k]):
-                    out.append((i + doc, k, distance, int(s - offsets[i + doc])))
+    for row, texts in _blocks_of([(t or "").lower() for t in column.to_pylist()]):
+        raw = codes("".join(f" {t} {chr(BREAK)}" for t in texts))
+        begins = np.cumsum([0] + [len(t) + 3 for t in texts])
+        sign = _SIGN[np.minimum(raw, 127)] & (raw < 128)
+        origin = np.flatnonzero(~sign | np.concatenate([[True], ~sign[:-1]]))
+        chars = np.where(sign[origin], np.uint32(32), raw[origin])
+        breaks = np.flatnonzero(chars == BREAK)
+        short = grams(chars, FINE).astype(np.uint16)
+        for text, k, low, high in items.windows(chars, breaks).tolist():
+            begin, end = (int(breaks[text - 1]) + 1 if text else 0), int(breaks[text])
+            d, m, fine = int(items.edits[k]), int(items.sizes[k]), items.fine[k]
+            if fine.size > d and high - low + 2 * d < SHIFTS:
+                a, b = low - d, high + d + m
+                if a >= 0 and b <= short.size:
+                    shifted = np.ndarray((fine.size, high - low + 2 * d + 1), short.dtype, short, a * short.itemsize, (FINE * short.itemsize, short.itemsize))
+                    if np.count_nonzero((shifted == fine[:, None]).any(1)) < fine.size - d:
+                        continue
+            a = max(begin, low)
+            part = chars[a:min(end, high + m + d)].tobytes().decode("utf-32-le")
+            distance, stop = edit_distance_within(items.texts[k], part)
+            if distance <= d:
+                back, length = edit_distance_within(items.texts[k][::-1], part[:stop][::-1])
+                where = int(origin[a + stop - length] - begins[text]) - 1
+                out.append((row + text, k, distance, len(texts[text][:max(0, where)].encode())))
     return out
 
 
@@ -193,10 +216,12 @@ def _blocks(benchmark: DataFrame, item: str, text: str):
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, ident: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text",
-               rate: float = RATE, recall: float = RECALL, seed: int = 7) -> DataFrame:
+               rate: float = RATE) -> DataFrame:
     """(ident, item_id, distance, start): the best place of each item in each leaking row.
 
-    Texts are compared in lower case with every run of signs and blanks as one space.
+    Texts are compared in lower case with every run of signs and blanks as one space. Every
+    leak is found; an item of so few characters that ``rate`` allows no edit must stand as
+    whole words.
     The benchmark is a stated query set; it is broadcast in blocks of bounded size and
     documents are read where they lie, once a block, without a shuffle. NULL or
     wordless texts and items match nothing; NULL item ids are left out; NULL document ids
@@ -207,14 +232,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, ident: str = "doc_id", tex
     names = [ident, "item_id", "distance", "start"]
     out = None
     for block in _blocks(benchmark, item, item_text):
-        shared = spark.sparkContext.broadcast(Items.of(block, rate, recall, seed))
+        shared = spark.sparkContext.broadcast(Items.of(block, rate))
 
         def run(batches, shared=shared):
             items = shared.value
             for batch in batches:
                 ids = batch.column(0)
                 best: dict[tuple[int, int], tuple[int, int]] = {}
-                for row, k, distance, start in leaks_in(items, batch.column(1), rate):
+                for row, k, distance, start in leaks_in(items, batch.column(1)):
                     best[row, k] = min((distance, start), best.get((row, k), (distance, start)))
                 rows = sorted(best)
                 yield pa.RecordBatch.from_arrays([
@@ -227,17 +252,17 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, ident: str = "doc_id", tex
 
 
 def drop_leaking(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
-                 rate: float = RATE, recall: float = RECALL, seed: int = 7) -> DataFrame:
+                 rate: float = RATE) -> DataFrame:
     """The rows, with all their columns, in which no item leaks; read in place, never shuffled."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     at, out = docs.columns.index(text), docs
     for block in _blocks(benchmark, item, item_text):
-        shared = docs.sparkSession.sparkContext.broadcast(Items.of(block, rate, recall, seed))
+        shared = docs.sparkSession.sparkContext.broadcast(Items.of(block, rate))
 
         def run(batches, shared=shared):
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
-                keep[[row for row, *_ in leaks_in(shared.value, batch.column(at), rate)]] = False
+                keep[[row for row, *_ in leaks_in(shared.value, batch.column(at))]] = False
                 yield batch.filter(pa.array(keep))
 
         out = out.mapInArrow(run, schema)

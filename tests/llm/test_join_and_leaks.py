@@ -172,6 +172,30 @@ def test_walks_of_near_strings_agree():
     assert np.quantile(shares, 0.1) >= decontaminate.AGREE
 
 
+def test_typing_errors_spread_over_all_words_are_found():
+    """Up to RATE of the characters edited at random places: what the distance allows is found, nothing else."""
+    rng = random.Random(12)
+    letters = "etaoinshrdlucmf"
+    items = [(k, " ".join("".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(n))) for k, n in enumerate([3, 7, 9, 16, 25, 41] * 5)]
+    texts, expect = [], set()
+    for row in range(240):
+        k, item = rng.choice(items)
+        passage = list(item)
+        for _ in range(int(rng.choice([0.05, 0.1, 0.15, 0.2]) * len(item))):
+            at = rng.randrange(len(passage))
+            passage[at:at + 1] = rng.choice([[], [rng.choice(letters)], [passage[at], rng.choice(letters)]])
+        before, after = (" ".join("".join(rng.choices(letters, k=5)) for _ in range(20)) for _ in "ab")
+        texts.append(f"{before} {''.join(passage)} {after}")
+        if force_distance(item, decontaminate.plain(texts[-1])) <= decontaminate.RATE * len(item):
+            expect.add((row, k))
+    assert len(expect) > 120
+    found = decontaminate.leaks_in(decontaminate.Items.of(items, decontaminate.RATE), pa.array(texts))
+    assert expect == {(row, k) for row, k, *_ in found}
+    for row, k, distance, start in found:
+        part = decontaminate.plain(texts[row].encode()[start:].decode())
+        assert decontaminate.edit_distance_within(items[k][1], part[:len(items[k][1]) + distance])[0] == distance
+
+
 def test_leak_edges(spark, edges, nothing):
     bench = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta eta theta"), (2, None), (3, ""), (None, "one"), (4, "tie tie tie tie tie tie tie tie tie tie tie tie")],
                                   "item_id long, text string")
