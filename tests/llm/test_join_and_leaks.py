@@ -196,6 +196,15 @@ def test_typing_errors_spread_over_all_words_are_found():
         assert decontaminate.edit_distance_within(items[k][1], part[:len(items[k][1]) + distance])[0] == distance
 
 
+@pytest.mark.parametrize("between", ["### ", "\n      * ", " - - - - - - ", "\t" * 40])
+def test_signs_between_words_change_nothing(spark, between):
+    item = "erble shathe ingtion reed ndorea onenble stesthre adhand lyonre heedth"
+    texts = [f"Some words before. É {between.join(item.split())}{between}and after", f"{between}{between.join(item.split())}", between.join(item.split()[:5])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = decontaminate.find_leaks(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert {(r.doc_id, r.distance, texts[r.doc_id].encode()[r.start:].decode().split(between)[0]) for r in got} == {(0, 0, "erble"), (1, 0, "erble")}
+
+
 def test_leak_edges(spark, edges, nothing):
     bench = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta eta theta"), (2, None), (3, ""), (None, "one"), (4, "tie tie tie tie tie tie tie tie tie tie tie tie")],
                                   "item_id long, text string")
