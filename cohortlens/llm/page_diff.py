@@ -2,9 +2,9 @@
 
 Pages become lines of text, one a block. Lines that a longest common subsequence aligns with
 the neighbour's are template and go. So do lines in elements that declare themselves as
-menus, notices and the like; lines in a declared article are the author's, and stay even
-when a neighbour repeats them (copied articles are common). Where a page declares an
-article, nothing outside it is main text.
+menus, notices and the like. Where a page declares an article, nothing outside it is main
+text, and a line inside goes only when it aligns with the articles of ``SEVERAL`` neighbours
+at least, each with at most half of its lines in common (copied articles are common, and stay).
 """
 
 from __future__ import annotations
@@ -34,6 +34,9 @@ CHROME_NAMES = {"ad", "ads", "advert", "adverts", "advertisement", "advertising"
                 "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget"}
 CHROME_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"}
 
+AROUND = 2  # pages looked at on each side in the order of paths
+SEVERAL = 2
+
 _TOKEN = re.compile(r"<!--|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+|[^>]*)>|<[!?/][^>]*>?")
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.IGNORECASE)
 _BLANK = re.compile(r"\s+")
@@ -159,9 +162,25 @@ def common_lines(a: list[int], b: list[int]) -> list[int]:
     return out[::-1]
 
 
+def inner_lines(lines: list[Line]) -> list[int]:
+    """Places of the lines that a declared article holds."""
+    return [i for i, line in enumerate(lines) if line.article and not line.chrome]
+
+
+def repeated_inside(lines: list[int], inner: list[int], others: list[tuple[list[int], list[int]]]) -> list[int]:
+    """Places of lines of the article that several neighbours, with other articles, repeat."""
+    own, counts = [lines[i] for i in inner], [0] * len(inner)
+    for theirs, within in others:
+        same = common_lines(own, [theirs[j] for j in within])
+        if 2 * len(same) <= min(len(inner), len(within)):
+            for k in same:
+                counts[k] += 1
+    return [i for i, n in zip(inner, counts) if n >= SEVERAL]
+
+
 def main_text(lines: list[Line], shared: set[int]) -> str:
-    declared = any(line.article and not line.chrome for line in lines)
-    return "\n".join(line.text for i, line in enumerate(lines) if not line.chrome and (line.article if declared else i not in shared))
+    declared = bool(inner_lines(lines))
+    return "\n".join(line.text for i, line in enumerate(lines) if not line.chrome and (line.article or not declared) and i not in shared)
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -183,28 +202,38 @@ def shared_lines(pages: DataFrame, scratch: Scratch, key: Column, url: str, html
     Only hashes of lines travel. Pages alike in host, path and lines are one; all are numbered
     in order of host and path, and each looks at the rows before and after it that share its
     host and takes the one whose path begins like its own for longer, the earlier in a tie.
+    A page that declares an article is held against up to ``AROUND`` rows on each side instead.
     """
     host, path = host_and_path(F.col(url))
 
     def hashes(batches):
         for batch in batches:
-            rows = [[line_hash(x.text) for x in lines_of(t)] for t in batch.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(rows, pa.list_(pa.int64()))], names=["page", "host", "path", "lines"])
+            read = [lines_of(t) for t in batch.column(3).to_pylist()]
+            rows = [[line_hash(x.text) for x in lines] for lines in read]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(rows, pa.list_(pa.int64())),
+                                              pa.array([inner_lines(lines) for lines in read], pa.list_(pa.int32()))], names=["page", "host", "path", "lines", "inner"])
 
     read = pages.select(key.alias("page"), host.alias("host"), path.alias("path"), F.col(html).alias("html"))
-    listed = scratch.keep(read.mapInArrow(hashes, "page long, host string, path string, lines array<long>").withColumn("variant", F.xxhash64("host", "path", "lines")), "lines")
-    variants = listed.groupBy("variant").agg(F.first("host").alias("host"), F.first("path").alias("path"), F.first("lines").alias("lines"))
+    listed = read.mapInArrow(hashes, "page long, host string, path string, lines array<long>, inner array<int>")
+    listed = scratch.keep(listed.withColumn("variant", F.xxhash64("host", "path", "lines", "inner")), "lines")
+    variants = listed.groupBy("variant").agg(*[F.first(c).alias(c) for c in ("host", "path", "lines", "inner")])
     numbered, _ = number_rows(variants, [F.col("host"), F.col("path"), F.col("variant")], scratch, "place")
     numbered = scratch.keep(numbered, "ordered-pages")
-    side = lambda by, name: numbered.select((F.col("place") + by).alias("place"), F.col("host").alias(f"{name}_host"), F.col("path").alias(f"{name}_path"), F.col("lines").alias(f"{name}_lines"))
-    met = numbered.join(side(1, "before"), "place", "left").join(side(-1, "after"), "place", "left")
-    near = lambda name: F.when(F.col(f"{name}_host") == F.col("host"), _near(F.col("path"), F.col(f"{name}_path"))).otherwise(-1)
-    met = met.withColumns({"_b": near("before"), "_a": near("after")}).where("_b >= 0 or _a >= 0")
-    pairs = met.select("variant", "lines", F.when(F.col("_b") >= F.col("_a"), F.col("before_lines")).otherwise(F.col("after_lines")).alias("other"))
+    met, sides = numbered, [by for by in range(-AROUND, AROUND + 1) if by]
+    for k, by in enumerate(sides):
+        side = numbered.select((F.col("place") - by).alias("place"), F.col("host").alias(f"host{k}"), F.col("path").alias(f"path{k}"), F.struct("lines", "inner").alias(f"page{k}"))
+        met = met.join(side, "place", "left")
+    near = lambda k: F.when(F.col(f"host{k}") == F.col("host"), _near(F.col("path"), F.col(f"path{k}"))).otherwise(-1)
+    before, after = sides.index(-1), sides.index(1)
+    met = met.withColumns({"_b": near(before), "_a": near(after)}).where("_b >= 0 or _a >= 0")
+    around = F.array(*[F.when(F.col(f"host{k}") == F.col("host"), F.col(f"page{k}")) for k in range(len(sides))])
+    pairs = met.select("variant", "lines", "inner", F.when(F.size("inner") == 0, F.when(F.col("_b") >= F.col("_a"), F.col(f"page{before}.lines")).otherwise(F.col(f"page{after}.lines"))).alias("other"),
+                       F.when(F.size("inner") > 0, F.filter(around, lambda x: x.isNotNull())).alias("others"))
 
     def align(batches):
         for batch in batches:
-            drops = [common_lines(a, b) for a, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            drops = [repeated_inside(a, inner, [(x["lines"], x["inner"]) for x in others]) if inner else common_lines(a, b)
+                     for a, inner, b, others in zip(*(batch.column(k).to_pylist() for k in range(1, 5)))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(drops, pa.list_(pa.int32()))], names=["variant", "drop"])
 
     aligned = pairs.mapInArrow(align, "variant long, drop array<int>").where(F.size("drop") > 0)

@@ -64,6 +64,17 @@ def test_copied_articles_stay(spark):
     assert [(r.text, r.n_chars) for r in got] == [("Copied story", 12)] * 3
 
 
+def test_template_lines_inside_articles_go(spark):
+    """Share lines and notices on several pages with other stories; copies, and a line that one other page has, stay."""
+    def story(k, extra=""):
+        return page(f"<article><p>By the editors</p><p>Story {k} begins</p><p>Story {k} goes on</p>{extra}<p>Story {k} ends</p><p>Tell your friends</p></article>")
+    rows = [(k, f"http://h.example/a/{k}", story(k, "<p>Said twice</p>" if k < 2 else "")) for k in range(6)]
+    rows += [(10 + k, f"http://copies.example/{k}", page("<article><p>One</p><p>Two</p><p>Three</p></article>" + "<p>x</p>" * k)) for k in range(4)]
+    got = {r.page_id: r.text for r in page_diff.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    said = {0: "Said twice\n", 1: "Said twice\n"}
+    assert got == {**{k: f"Story {k} begins\nStory {k} goes on\n{said.get(k, '')}Story {k} ends" for k in range(6)}, **{10 + k: "One\nTwo\nThree" for k in range(4)}}
+
+
 def page_edges(spark):
     rows = [(1, None, page("<article><p>x</p></article>")), (2, "no scheme", None), (3, "http://", ""), (None, "http://A.Example.COM?q", "<p>plain"),
             (4, "http://a.org/b", "<p>" + "long words " * 60_000), (4, "http://a.org/b", "<p>" + "long words " * 60_000), (5, "http://é.net:80/ü#x", "< p > not a tag <"), (None, None, None)]
