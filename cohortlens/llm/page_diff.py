@@ -38,7 +38,7 @@ AROUND = 2  # pages looked at on each side in the order of paths
 SEVERAL = 2
 
 _TOKEN = re.compile(r"<!--|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+|[^>]*)>|<[!?/][^>]*>?")
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"([^\s/>=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _BLANK = re.compile(r"\s+")
 # An end tag that is optional in HTML: the next of these closes the one before.
 _CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "option": {"option"}}
@@ -54,11 +54,15 @@ class Line:
 def _declares(name: str, attributes: str, inside: bool) -> bool:
     if name in CHROME or name == "header" and not inside:
         return True
+    seen: set[str] = set()
     for key, *values in _ATTRIBUTE.findall(attributes) if attributes.strip() else []:
-        value = "".join(values).lower()
-        if key.lower() == "hidden" or key.lower() == "role" and value in CHROME_ROLES:
+        key, value = key.lower(), "".join(values).lower()
+        if key in seen:  # the first of a name counts
+            continue
+        seen.add(key)
+        if key == "hidden" or key == "role" and value in CHROME_ROLES:
             return True
-        if key.lower() in ("class", "id") and CHROME_NAMES.intersection(re.split(r"[^a-z0-9]+", value)) and name not in ("body", "html", "article", "main"):
+        if key in ("class", "id") and CHROME_NAMES.intersection(re.split(r"[^a-z0-9]+", value)) and name not in ("body", "html", "article", "main"):
             return True
     return False
 

@@ -50,6 +50,15 @@ def test_main_text(body, text):
     assert text_of(page(body)) == text
 
 
+@pytest.mark.parametrize("attributes, stays", [
+    ('style="overflow:hidden"', True), ('aria-hidden="false"', True), ('title="the hidden valley"', True), ("data-id='share'", True), ("title=\"class='ad'\"", True),
+    ("data-hidden", True), ('class="story" class="ad"', True), ("hidden", False), ("title=x hidden", False), ('title="a"hidden', False), ("HIDDEN=''", False),
+    ("ID = share", False), ("data-x=1 role='navigation'", False), ("class='box ad-top'", False)])
+def test_attributes_count_by_their_exact_names(attributes, stays):
+    body = f"<article><p>x</p><div {attributes}><p>y</p></div></article>"
+    assert text_of(page(body)) == ("x\ny" if stays else "x")
+
+
 def test_shared_lines_go_where_no_article_is_declared(spark):
     def plain(k):
         return f"<body><p>Template line</p><p>Story {k} begins</p><p>Story {k} ends</p><p>All rights</p></body>"
