@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.llm.page_diff import host_and_path
-from cohortlens.llm.tables import spare_name
+from cohortlens.llm.tables import Scratch, spare_name
 
 # Words that label a host as bad. Others are learned.
 BAD_WORDS = {"adserver", "ads", "bets", "betting", "casino", "cialis", "clickbait", "escort", "gambling", "jackpot", "lottery", "malware",
@@ -31,7 +31,8 @@ SITE_WORDS = {"bargain", "best", "bet", "blog", "bonus", "cheap", "click", "crac
               "web", "wiki", "win", "winner", "world"}
 # Host labels that say nothing about the site.
 PLAIN_LABELS = {"www", "m", "com", "net", "org", "co", "info", "edu", "gov"}
-VOCABULARY = 50_000
+VOCABULARY = 50_000  # words that the splitter knows
+HEAD = 50_000  # words whose weights every task holds; the others are joined
 LONGEST_WORD = 24
 KNOWN_COUNT = 1_000
 
@@ -104,26 +105,29 @@ def features(host: str, path: str, split: Splitter) -> tuple[list[str], bool]:
 
 @dataclass
 class Bayes:
-    """Multinomial naive Bayes with add-one smoothing over the words seen in training."""
+    """Multinomial naive Bayes with add-one smoothing over all words seen in training."""
 
-    words: dict[str, tuple[int, int]]  # good, bad
+    words: dict[str, tuple[int, int]]  # good, bad; of the most frequent words
     urls: tuple[int, int]
+    size: int  # distinct words
+    seen: tuple[int, int]  # all words
 
     def __post_init__(self):
-        size = len(self.words) + 1
-        totals = [sum(c[k] for c in self.words.values()) + size for k in (0, 1)]
+        self.totals = [n + self.size + 1 for n in self.seen]
         self.prior = math.log((self.urls[1] + 1) / (self.urls[0] + 1))
-        self.unseen = math.log(totals[0] / totals[1])
-        self.weight = {w: math.log((b + 1) / totals[1]) - math.log((g + 1) / totals[0]) for w, (g, b) in self.words.items()}
+        self.weight = {w: math.log((b + 1) / self.totals[1]) - math.log((g + 1) / self.totals[0]) for w, (g, b) in self.words.items()}
 
-    def score(self, words: list[str]) -> float:
-        """Log odds that the url is bad; words never seen say nothing."""
-        return self.prior + sum(self.weight.get(w, 0.0) for w in words)
+    def score(self, words: list[str]) -> tuple[float, list[str]]:
+        """Log odds that the url is bad by the words held here, and the other words."""
+        return self.prior + sum(self.weight.get(w, 0.0) for w in words), [w for w in words if w not in self.weight]
 
+    def weigh(self, good: Column, bad: Column) -> Column:
+        return F.log((bad + 1) / F.lit(float(self.totals[1]))) - F.log((good + 1) / F.lit(float(self.totals[0])))
 
-def learn(pages: DataFrame, url: str, html: str, vocabulary: int = VOCABULARY) -> tuple[Splitter, Bayes]:
-    """Word counts over all pages, then word counts by label over all urls; of each, the
-    ``vocabulary`` most frequent reach the driver."""
+
+def learn(pages: DataFrame, url: str, html: str, vocabulary: int = VOCABULARY) -> tuple[Splitter, Bayes, DataFrame]:
+    """Word counts over all pages, of which the ``vocabulary`` most frequent split hosts, then
+    word counts by label over all urls: a table of all, of which ``HEAD`` reach the driver."""
     visible = F.regexp_replace(F.lower(F.col(html)), r"(?s)<script.*?</script>|<style.*?</style>|<[^>]*>|&[#a-z0-9]+;", " ")
     seen = pages.select(F.explode(F.regexp_extract_all(visible, F.lit(r"[a-z]{2,24}"), 0)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     top = seen.where("n > 1").orderBy(F.desc("n"), "word").limit(vocabulary).collect()
@@ -142,10 +146,13 @@ def learn(pages: DataFrame, url: str, html: str, vocabulary: int = VOCABULARY) -
 
     summed = pages.select(host.alias("host"), path.alias("path")).where("host <> ''").mapInArrow(count, "word string, good long, bad long")
     summed = summed.groupBy("word").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
-    rows = summed.orderBy(F.col("word") != "", F.desc(F.col("good") + F.col("bad")), "word").limit(vocabulary + 1).collect()
+    counts = Scratch(pages.sparkSession).keep(summed, "url-words")
+    told = F.col("word") != ""
+    size, good, bad = counts.where(told).agg(F.count(F.lit(1)), F.coalesce(F.sum("good"), F.lit(0)), F.coalesce(F.sum("bad"), F.lit(0))).first()
+    rows = counts.orderBy(told, F.desc(F.col("good") + F.col("bad")), "word").limit(HEAD + 1).collect()
     words = {r["word"]: (r["good"], r["bad"]) for r in rows}
     urls = words.pop("", (0, 0))
-    return splitter, Bayes(words, urls)
+    return splitter, Bayes(words, urls, size, (good, bad)), counts.where(told)
 
 
 def judge_urls(pages: DataFrame, rules: list[Rule], url: str = "url", html: str = "html") -> DataFrame:
@@ -155,19 +162,30 @@ def judge_urls(pages: DataFrame, rules: list[Rule], url: str = "url", html: str
     allowed, with NULL odds. Equal rows are judged alike. Columns with the added names are
     replaced. The html is read only for word counts; without any, words split less well.
     """
-    splitter, bayes = learn(pages, url, html)
+    splitter, bayes, counts = learn(pages, url, html)
     shared = pages.sparkSession.sparkContext.broadcast((splitter, bayes))
     host, path = host_and_path(F.col(url))
     base = pages.drop("host", "path", "rule", "verdict", "bad_odds")
 
-    @F.pandas_udf("double")
-    def odds(hosts: pd.Series, paths: pd.Series) -> pd.Series:
+    @F.pandas_udf("odds double, rare array<string>")
+    def judge(hosts: pd.Series, paths: pd.Series) -> pd.DataFrame:
         split, model = shared.value
-        return hosts.combine(paths, lambda h, p: model.score(features(h, p, split)[0]))
+        return pd.DataFrame([model.score(features(h, p, split)[0]) for h, p in zip(hosts, paths)], columns=["odds", "rare"])
 
     placed = base.withColumns({"host": host, "path": path})
     text, verdict = rule_for(F.col("host"), F.col("path"), rules)
     known = spare_name(base, "_known")
-    scored = placed.withColumn("bad_odds", F.when(F.col("host") != "", odds("host", "path")))
+    found = spare_name(base, "_found")
+    scored = placed.withColumn(found, F.when(F.col("host") != "", judge("host", "path"))).withColumn("bad_odds", F.col(f"{found}.odds"))
+    if bayes.size > len(bayes.words):  # urls with rarer words; no such word is met more often than the HEAD
+        rare = F.coalesce(F.size(f"{found}.rare"), F.lit(0)) > 0
+        urls = scored.where(rare).select(F.col("host").alias("_h"), F.col("path").alias("_p"), F.col(f"{found}.rare").alias("_rare")).dropDuplicates(["_h", "_p"])
+        weights = counts.select("word", bayes.weigh(F.col("good"), F.col("bad")).alias("_weight"))
+        more = urls.select("_h", "_p", F.explode("_rare").alias("word")).join(weights, "word").groupBy("_h", "_p").agg(F.sum("_weight").alias("_more"))
+        columns = scored.columns
+        met = scored.where(rare).join(more, (F.col("host") == F.col("_h")) & (F.col("path") == F.col("_p")), "left")
+        met = met.withColumn("bad_odds", F.col("bad_odds") + F.coalesce("_more", F.lit(0.0))).select(*[f"`{c}`" for c in columns])
+        scored = scored.where(~rare).unionByName(met)
+    scored = scored.drop(found)
     return scored.withColumns({"rule": text, known: verdict}).withColumn(
         "verdict", F.coalesce(F.col(known), F.when(F.col("bad_odds") > 0, F.lit("block")).otherwise(F.lit("allow")))).drop(known)

@@ -146,6 +146,18 @@ def test_rules_and_verdicts(spark, sf):
     assert all((v == "block") == bad for bad, v in open_)
 
 
+def test_rare_words_count_like_frequent_ones(spark, monkeypatch):
+    """Path words fill the head; the listed word of a host still blocks it."""
+    rows = [(k, f"http://good{'abcdef'[k % 6]}.example/same/words/everywhere", "<p>good example</p>") for k in range(60)]
+    rows += [(100 + k, f"http://www.{w}.test/same", "") for k, w in enumerate(["warez", "warez", "poker", "poker", "poker"])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    whole = {r.page_id: (r.verdict, r.bad_odds) for r in url_filter.judge_urls(pages, []).collect()}
+    monkeypatch.setattr(url_filter, "HEAD", 3)
+    got = {r.page_id: (r.verdict, r.bad_odds) for r in url_filter.judge_urls(pages, []).collect()}
+    assert {k: v for k, (v, _) in got.items()} == {k: "block" if k >= 100 else "allow" for k in whole}
+    assert all(got[k][1] == pytest.approx(whole[k][1]) for k in whole) and len(got) == len(rows)
+
+
 def test_url_edges(spark):
     got = url_filter.judge_urls(page_edges(spark), queries.URL_RULES).collect()
     assert len(got) == 8
