@@ -250,8 +250,8 @@ def _in_tiles(members: DataFrame, keyed: DataFrame, classes: DataFrame, percent:
 
     A cluster is cut into blocks of about ``TILE`` sets; each pair of blocks is a tile, in
     which the sets of one block walk the trie of the other. A set goes to one tile for each
-    block, and of its links to one root a tile reports one: neither rows nor results
-    grow with the pairs.
+    block, so m members make about m * m / TILE rows; of its links to one root a tile
+    reports one.
     """
     run, schema = _some_sets(width, bit_filter(members.join(classes, "class").select("lead"), "lead"))
     sets = scratch.keep(keyed.mapInArrow(run, schema).where("class is not null"), "cluster-sets")
