@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import decontaminate, lbl_model, mixing, page_diff, prefix_tree_join, repetition, secret_scan, sharding, simhash_trie, string_kernel, url_filter
+from cohortlens.llm import decontaminate, lbl_model, mixing, page_diff, prefix_tree_join, repetition, secret_scan, sharding, simhash_trie, string_kernel, url_filter, whitening
 from cohortlens.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,9 @@ def op6_lm_score(spark, sf_dir):
 def op12_simhash(spark, sf_dir):
     """Fingerprint of every document and the near-duplicate component it is in."""
     return simhash_trie.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op13_whiten")
+def op13_whiten(spark, sf_dir):
+    """Every usable embedding on 16 whitened principal components."""
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
