@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import decontaminate, lbl_model, mixing, page_diff, prefix_tree_join, repetition, secret_scan, sharding, simhash_trie, string_kernel, url_filter, whitening
+from cohortlens.llm import decontaminate, lbl_model, mixing, page_diff, prefix_tree_join, repetition, secret_scan, sharding, simhash_trie, string_kernel, token_alignment, url_filter, whitening
 from cohortlens.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,9 @@ def op12_simhash(spark, sf_dir):
 def op13_whiten(spark, sf_dir):
     """Every usable embedding on 16 whitened principal components."""
     return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
+@query("op11_token_alignment")
+def op11_token_alignment(spark, sf_dir):
+    """How two public tokenisers cut every document, and how common the linked ids are."""
+    return token_alignment.align(read(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -55,11 +55,11 @@ def fingerprint(text: bytes, width: int) -> int:
     return int.from_bytes(np.packbits(2 * counts > len(first)).tobytes(), "big")
 
 
-def text_slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Pieces of a batch of about ``SLICE_BYTES`` of text, at least one row each."""
+def text_slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Pieces of a batch with about ``most`` bytes of text, at least one row each."""
     upto, i = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64), 0
     while i < batch.num_rows:
-        j = max(i + 1, int(np.searchsorted(upto, (upto[i - 1] if i else 0) + SLICE_BYTES, "right")))
+        j = max(i + 1, int(np.searchsorted(upto, (upto[i - 1] if i else 0) + most, "right")))
         yield batch.slice(i, j - i)
         i = j
 
