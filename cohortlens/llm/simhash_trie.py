@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.tables import Scratch, components
+from cohortlens.llm.tables import Scratch, contract, extend
 
 BITS = 64
 SHINGLE_SEED = 42
@@ -247,7 +247,7 @@ def link_prints(prints: DataFrame, most: int, scratch: Scratch, leaves: int = LE
     own = placed.select("head", (F.col("part") * 65536 + F.col("rot")).alias("cell"), F.lit(0).alias("side"), "value", "print")
     to_hub = placed.where("parts > 1 and bit_count(print ^ hub) <= " + str(most)).select(F.col("print").alias("a"), F.col("hub").alias("b"))
     near = scratch.keep(_cells_to_links(own, most).union(to_hub), "near")
-    roots = scratch.keep(components(near, scratch), "roots")
+    roots = scratch.keep(contract(near, scratch), "roots")
     large = scratch.keep(placed.where("parts > 1").select(*trie, "value", "print"), "large")
     scratch.drop(spread, placed)
     if large.isEmpty():
@@ -273,7 +273,7 @@ def link_prints(prints: DataFrame, most: int, scratch: Scratch, leaves: int = LE
     marked = kinded.join(pool, trie, "left").select(*trie, "value", "print", F.xxhash64(
         "kind", F.pmod(F.xxhash64("print", F.lit(13)), F.coalesce("own_parts", "pool_parts"))).alias("mark"))
     far = scratch.keep(_cells_to_links(marked.join(sides, [*trie, "mark"]), most), "far")
-    out = scratch.keep(components(near.union(far), scratch), "roots")
+    out = scratch.keep(extend(roots, far, scratch), "roots")
     scratch.drop(large, rooted, kinds, pool, every, tiles, near, far, roots)
     return out
 
@@ -296,7 +296,7 @@ def near_duplicates(docs: DataFrame, ident: str = "doc_id", text: str = "text",
     kind = keyed.schema["ident"].dataType.simpleString()
     signed = scratch.keep(keyed.mapInArrow(_fingerprints(width), f"ident {kind}, print long"), "prints")
     leads = scratch.keep(signed.groupBy("print").agg(F.min("ident").alias("lead")), "leads")
-    roots = scratch.keep(link_prints(leads.select("print"), most, scratch), "components")
+    roots = link_prints(leads.select("print"), most, scratch)
     rooted = scratch.keep(leads.join(roots, leads["print"] == roots["node"], "left").select("print", "lead", F.coalesce("root", "print").alias("root")), "rooted")
     least = rooted.groupBy("root").agg(F.min("lead").alias("least"))
     final = scratch.keep(rooted.join(least, "root").select("print", "least"), "final")

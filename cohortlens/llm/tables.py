@@ -151,3 +151,46 @@ def components(edges: DataFrame, scratch: Scratch, rounds: int = 100) -> DataFra
         raise RuntimeError("components did not settle")
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+
+
+def contract(edges: DataFrame, scratch: Scratch, rounds: int = 60) -> DataFrame:
+    """(node, root) for both ends of the edges (a, b), one root a component, whichever it is.
+
+    In each round every node moves to the neighbour whose hash is least, itself included,
+    and edges follow their ends, so about half of the nodes or more go
+    and edges inside one place end. A round is one aggregate with partial sums; ``components``, which
+    also finds the smallest node, takes several.
+    """
+    now = scratch.keep(edges.where("a <> b").select("a", "b"), "edges")
+    moves = []
+    for k in range(rounds):
+        if now.isEmpty():
+            break
+        rank = lambda c: F.xxhash64(c, F.lit(k))  # noqa: B023, E731
+        both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.min(F.struct(rank("b").alias("rank"), F.col("b").alias("to"))).alias("least"))
+        move = scratch.keep(least.select(F.col("a").alias("node"), F.when(F.col("least.rank") < rank("a"), F.col("least.to")).otherwise(F.col("a")).alias("root")), "moves")
+        moves.append(move)
+        x, y = move.alias("x"), move.alias("y")
+        moved = now.join(x, F.col("a") == F.col("x.node")).join(y, F.col("b") == F.col("y.node")).select(F.col("x.root").alias("a"), F.col("y.root").alias("b"))
+        moved = scratch.keep(moved.where("a <> b"), "edges")
+        scratch.drop(now)
+        now = moved
+    else:
+        raise RuntimeError("components did not settle")
+    out = edges.select(F.col("a").alias("node"), F.col("b").alias("root")).where("false") if not moves else moves[0]
+    for move in moves[1:]:
+        later = move.select(F.col("node").alias("_at"), F.col("root").alias("_to"))
+        out = out.join(later, out["root"] == later["_at"], "left").select("node", F.coalesce("_to", "root").alias("root"))
+    return out
+
+
+def extend(roots: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """Roots (node, root) after more links (a, b) between nodes, known or new."""
+    x, y = roots.alias("x"), roots.alias("y")
+    ends = links.join(x, F.col("a") == F.col("x.node"), "left").join(y, F.col("b") == F.col("y.node"), "left").select(
+        F.coalesce("x.root", "a").alias("a"), F.coalesce("y.root", "b").alias("b"))
+    more = scratch.keep(contract(ends, scratch), "more-roots").select(F.col("node").alias("_at"), F.col("root").alias("_to"))
+    known = roots.join(more, roots["root"] == more["_at"], "left").select("node", F.coalesce("_to", "root").alias("root"))
+    fresh = more.join(roots, more["_at"] == roots["node"], "left_anti").select(F.col("_at").alias("node"), F.col("_to").alias("root"))
+    return known.union(fresh)
