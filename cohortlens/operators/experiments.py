@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.functions import columns as C
-from cohortlens.operators import cohort, evaluation, models, sampling
+from cohortlens.operators import cohort, evaluation, models, sampling, tuning
 from cohortlens.operators.marts import group_rates
 from cohortlens.sources.shared import freeze
 from cohortlens.spec import FeatureSpec
@@ -124,42 +124,47 @@ def fit_scaling(train: DataFrame, key: str, spec: FeatureSpec, candidates: Seque
         rows, "model string, sample_fraction double, rows long, fit_seconds double")
 
 
-WHOLE = "all rows"
+def retraining_trials(train: DataFrame, validation: DataFrame, key: str, spec: FeatureSpec, tuned: Sequence[tuning.Tuned], *,
+                      share: float = 1.0, kept: float = 0.9, trials: int = 3, seed: int = 8, least: int = 100, at_once: int = 4) -> DataFrame:
+    """How metrics move when tuned models are refitted on parts of their rows.
 
-
-def retraining_trials(train: DataFrame, validation: DataFrame, key: str, spec: FeatureSpec,
-                      candidate: models.Candidate, threshold: float, *, point=None, share: float = 1.0,
-                      kept: float = 0.9, trials: int = 3, seed: int = 8, least: int = 100) -> DataFrame:
-    """How metrics move when the candidate is refitted on part of its rows.
-
-    A table of trials is drawn first: each training row lists the trials it belongs to, by
-    its key, with trial 0 holding all. It is written once and gated in one aggregate before
-    anything is fitted. All fits then score the same validation rows in one pass, and the
-    differences to trial 0 come from one join. ``point`` is the selected grid point.
+    Which rows a trial holds is drawn by their key and marked in a list; trial 0 holds all.
+    The marked rows are written and gated once. Features are prepared once a trial, for all
+    models: its own rows to fit on and the fixed validation rows to measure with, in one
+    table of a folder a trial. All refits of all trials then run at the same time, all
+    scores are measured at once at each model's own threshold, and differences to trial 0
+    come from one window over a few rows.
     """
     if trials < 2 or not (0 < kept < 1 and 0 < share <= 1):
         raise ValueError("at least two trials, a kept part below 1 and a share in (0, 1] are needed")
+    spark = train.sparkSession
     member = [F.lit(0), *[F.when(C.hash_draw(key, seed=seed + t) < kept, F.lit(t)) for t in range(1, trials + 1)]]
-    chosen = sampling.by_key(train, key, share, seed).withColumn("trials", F.array_compact(F.array(*member)))
-    table = freeze(chosen, "trials")
+    table = freeze(sampling.by_key(train, key, share, seed).withColumn("trials", F.array_compact(F.array(*member))), "trials")
     fixed = freeze(sampling.by_key(validation, key, share, seed), "fixed")
     sizes = {r.trial: r.n for r in table.select(F.explode("trials").alias("trial")).groupBy("trial").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if min(fixed.count(), *(sizes.get(t, 0) for t in range(trials + 1))) < least:
+    checked = fixed.count()
+    if min(checked, *(sizes.get(t, 0) for t in range(trials + 1))) < least:
         raise ValueError(f"fewer than {least} rows in a trial or in validation; raise the share")
 
-    fitted, seconds = {}, {}
-    for t in range(trials + 1):
-        rows = table.where(F.array_contains("trials", t)).drop("trials")
-        name = WHOLE if t == 0 else str(t)
-        seconds[t], fitted[name] = timed(lambda: models.fit(rows, spec, candidate, point))
-    measured = evaluation.metric_rows(score_all(fitted, fixed, label=spec.label), threshold, ["model"])
-    metrics = ("auc_pr", "auc_roc", "positive_f1")
-    notes = train.sparkSession.createDataFrame([(str(t) if t else WHOLE, t, sizes[t], seconds[t]) for t in range(trials + 1)],
-                                               "model string, trial int, train_rows long, fit_seconds double")
-    few = Window.partitionBy(F.lit(0))  # one row a trial
-    whole = {m: F.max(F.when(F.col("trial") == 0, F.col(m))).over(few) for m in metrics}
-    return measured.join(notes, "model").select(
-        F.lit(candidate.name).alias("model"), "trial", "train_rows", "fit_seconds",
+    each = range(trials + 1)
+    own = [table.where(F.array_contains("trials", t)).drop("trials") for t in each]
+    stages = tuning.run_together(spark, [lambda t=t: models.preprocessing(spec).fit(own[t]) for t in each], at_once)
+    to_fit = tuning.stage_parts([tuning.prepared(stages[t], own[t], spec, F.lit(t).alias("part")) for t in each], "trial-rows", sizes[0])
+    to_check = tuning.stage_parts([tuning.prepared(stages[t], fixed, spec, F.lit(t).alias("part")) for t in each], "trial-checks", checked)
+    cells = [(u, t) for u in tuned for t in each]
+    done = tuning.run_together(spark, [
+        lambda u=u, t=t: timed(lambda: u.candidate.with_params(u.point).fit(to_fit.where(F.col("part") == t))) for u, t in cells], at_once)
+
+    by_trial = {t: [(u.candidate.name, model) for (u, v), (_, model) in zip(cells, done) if v == t] for t in each}
+    limits = spark.createDataFrame([(u.candidate.name, float(u.threshold)) for u in tuned], "model string, threshold double")
+    scored = evaluation.attach_thresholds(tuning.score_parts(to_check, by_trial, spec.label), limits, ["model"])
+    measured = evaluation.metric_rows(scored, by=["model", "part"])
+    notes = spark.createDataFrame([(u.candidate.name, t, sizes[t], seconds) for (u, t), (seconds, _) in zip(cells, done)],
+                                  "model string, part int, train_rows long, fit_seconds double")
+    few, metrics = Window.partitionBy("model"), ("auc_pr", "auc_roc", "positive_f1")
+    whole = {m: F.max(F.when(F.col("part") == 0, F.col(m))).over(few) for m in metrics}
+    return measured.join(notes, ["model", "part"]).select(
+        "model", F.col("part").alias("trial"), "train_rows", "fit_seconds", "threshold", *[F.col(m) for m in metrics],
         *[(F.col(m) - whole[m]).alias(f"delta_{m}") for m in metrics]).where("trial > 0")
 
 

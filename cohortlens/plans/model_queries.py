@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+import json
+
 from pyspark.sql import functions as F
 
 from cohortlens.functions import columns as C
-from cohortlens.operators import audit, evaluation, explain, experiments, models, robustness, sampling, selection
+from cohortlens.operators import audit, evaluation, experiments, explain, models, robustness, sampling, scoring, selection, tuning
 from cohortlens.operators.cohort import split_frames
 from cohortlens.plans import views as V
 from cohortlens.plans.registry import query
-from cohortlens.sources.conform import union_frames
 from cohortlens.sources.shared import fresh_path, freeze
 from cohortlens.sources.sinks import write_partitioned
 
@@ -20,7 +20,6 @@ SPEC = V.RIDE_FEATURES
 # Rows that tuning sees in these queries, drawn by key; fits and scores use all rows.
 TUNING_ROWS = 3_000
 FOLDS = 3
-_NAMES = ("LogisticRegression", "RandomForestClassifier", "MultilayerPerceptronClassifier", "GBTClassifier")
 
 
 def _staged(spark, d):
@@ -43,17 +42,18 @@ def _candidates():
 
 
 def _grid_scores(spark, train):
-    """Cross-validated grids of all four families on a key sample, best points marked."""
+    """Cross-validated grids of all four families on a key sample, best points marked.
+
+    Queries that need it share one result, found by the content of the sample."""
     share = min(1.0, TUNING_ROWS / max(train.count(), 1))
     sample = freeze(sampling.by_key(train, "event_id", share, 8).withColumn("fold", C.day_fold("day", FOLDS)), "tuning")
-    tables = [models.cross_validate(sample, SPEC, c, fold="fold", folds=FOLDS) for c in _candidates().values()]
-    return selection.mark_best(union_frames(tables))
+    return selection.mark_best(tuning.shared_grid(sample, SPEC, list(_candidates().values()), fold="fold", folds=FOLDS))
 
 
 def _selected(spark, train):
-    """The grid point that cross-validation picks for each model."""
+    """Each candidate with the grid point that cross-validation picks for it."""
     best = {r.model: r.grid_index for r in _grid_scores(spark, train).where("is_best").collect()}
-    return {n: c.grid[best[n]] for n, c in _candidates().items()}
+    return [(c, c.grid[best[n]]) for n, c in _candidates().items()]
 
 
 @query("ml_impute", V.RIDES_SQL + """
@@ -110,7 +110,23 @@ def ml_scale_stats(spark, d):
     return spark.createDataFrame(rows, "feature string, std double").withColumn("std", F.round("std", 6))
 
 
-@query("ml_preprocess_fit")
+# each one-hot slot is scaled by the deviation of its share among the training rows
+_SCALED_SQL = " UNION ALL ".join(
+    f"""SELECT event_id, 1 / sqrt(n / (n - 1.0) * p * (1 - p)) AS part FROM rides JOIN
+    (SELECT v, n, p FROM (SELECT {c} AS v, count(*) / (SELECT count(*)::DOUBLE FROM train) AS p FROM train GROUP BY 1), (SELECT count(*)::DOUBLE AS n FROM train))
+    ON {c} = v""" for c in ("grp", "hour", "dow", "CASE WHEN vendor IN ('click', 'error', 'purchase', 'signup') THEN vendor ELSE 'unseen' END"))
+
+
+@query("ml_preprocess_fit", V.RIDES_SQL + f"""
+, train AS (SELECT * FROM rides WHERE ts < TIMESTAMP '2024-01-22'),
+m AS (SELECT percentile_disc(0.5) WITHIN GROUP (ORDER BY balance) AS med FROM train),
+s AS (SELECT stddev_samp(coalesce(balance, med)) AS b, stddev_samp(sin(CAST(month_day AS DOUBLE) * 2 * pi() / 31)) AS x,
+      stddev_samp(cos(CAST(month_day AS DOUBLE) * 2 * pi() / 31)) AS y FROM train, m),
+parts AS (SELECT event_id, coalesce(balance, med) / b + sin(CAST(month_day AS DOUBLE) * 2 * pi() / 31) / x + cos(CAST(month_day AS DOUBLE) * 2 * pi() / 31) / y AS part
+      FROM rides, m, s UNION ALL {_SCALED_SQL}),
+sums AS (SELECT event_id, sum(part) AS total FROM parts GROUP BY 1)
+SELECT strftime(ts, '%Y-%m-%d') AS day_key, count(*) AS n, CAST({SPEC.width} AS INTEGER) AS width, round(avg(total), 6) AS mean_sum
+FROM rides JOIN sums USING (event_id) GROUP BY 1""")
 def ml_preprocess_fit(spark, d):
     """Stages fitted on all training rows, then applied to every row."""
     rides = _staged(spark, d)
@@ -122,43 +138,36 @@ def ml_preprocess_fit(spark, d):
 
 
 _TEST_RIDES = "ts >= TIMESTAMP '2024-01-25'"
-_SCORED_SQL = f"""
-SELECT event_id, CAST(value > 50 AS DOUBLE) AS label, strftime(ts, '%Y-%m-%d') AS day_key, {{valid}} AS valid_score
-FROM events WHERE {_TEST_RIDES}"""
-_PROBABILITY_SQL = _SCORED_SQL.format(valid="TRUE")
 
 
-def _scored(spark, d, candidate, point=None):
-    """Test rows with their score, fitted on all training rows; ``valid_score`` is what SQL can
-    know of it: a probability, or for margins a finite number."""
+def _scored(spark, d, candidate):
+    """Test rows with the score of a model fitted on all training rows, at the first point of
+    its grid, and with the score that its table of weights or nodes gives."""
     parts = _splits(spark, d)
-    out = models.score(models.fit(parts["train"], SPEC, candidate, point), parts["test"], ("event_id", "day_key"))
-    finite = F.col("score").isNotNull() & ~F.isnan("score") & (F.abs("score") < float("inf"))
-    valid = finite if candidate.family == "linear_margin" else finite & F.col("score").between(0, 1)
-    return out.select("event_id", "label", "day_key", valid.alias("valid_score"))
+    return scoring.score_with_tables(models.fit(parts["train"], SPEC, candidate), parts["test"], ("event_id", "day_key"))
 
 
-@query("ml_score_lr", _PROBABILITY_SQL)
+@query("ml_score_lr")
 def ml_score_lr(spark, d):
     return _scored(spark, d, _candidates()["LogisticRegression"])
 
 
-@query("ml_score_rf", _PROBABILITY_SQL)
+@query("ml_score_rf")
 def ml_score_rf(spark, d):
     return _scored(spark, d, _candidates()["RandomForestClassifier"])
 
 
-@query("ml_score_mlp", _PROBABILITY_SQL)
+@query("ml_score_mlp")
 def ml_score_mlp(spark, d):
     return _scored(spark, d, _candidates()["MultilayerPerceptronClassifier"])
 
 
-@query("ml_score_gbt", _PROBABILITY_SQL)
+@query("ml_score_gbt")
 def ml_score_gbt(spark, d):
     return _scored(spark, d, _candidates()["GBTClassifier"])
 
 
-@query("ml_score_svc", _PROBABILITY_SQL)
+@query("ml_score_svc")
 def ml_score_svc(spark, d):
     return _scored(spark, d, models.svc_candidate(SPEC))
 
@@ -177,44 +186,34 @@ def ml_save_load(spark, d):
         F.count(F.lit(1)).alias("rows"), F.max(F.abs(F.col("saved_score") - F.col("score"))).alias("largest_gap"))
 
 
-_POINTS = " UNION ALL ".join(
-    f"SELECT '{n}' AS model, {i} AS grid_index" for n in _NAMES for i in range(4))
-
-
-@query("ml_cv_scores", f"SELECT model, CAST(grid_index AS INTEGER) AS grid_index, TRUE AS valid_metric, CAST(1 AS BIGINT) AS best_points FROM ({_POINTS})")
+@query("ml_cv_scores")
 def ml_cv_scores(spark, d):
     """Day-grouped cross-validation of the full grids: four families, three folds."""
     rows = _grid_scores(spark, _splits(spark, d)["train"])
-    best = Window.partitionBy("model")
-    return rows.select("model", "grid_index", F.col("metric").between(0, 1).alias("valid_metric"),
-                       F.sum(F.col("is_best").cast("bigint")).over(best).alias("best_points"))
+    return rows.select("model", "family", "grid_index", "params", "metric", "is_best", "cv_seconds")
 
 
-_MODEL_NAMES = "(VALUES " + ", ".join(f"('{n}')" for n in _NAMES) + ") m(model)"
-_MEASURED_SQL = f"""
-SELECT model, count(*) AS rows, count(*) FILTER (WHERE value > 50) AS positives, TRUE AS valid_areas
-FROM events, {_MODEL_NAMES} WHERE {_TEST_RIDES} GROUP BY model"""
+def _tuned_fits(spark, d):
+    """The selected points fitted on all training rows, once for all queries that need them."""
+    parts = _splits(spark, d)
+    chosen = _selected(spark, parts["train"])
+    return tuning.shared_fits(parts["train"], SPEC, chosen), parts, chosen
 
 
-def _checked(metrics):
-    """What SQL can know of a metric row."""
-    return metrics.select("model", "rows", (F.col("tp") + F.col("fn")).alias("positives"),
-                          (F.col("auc_roc").between(0, 1) & F.col("auc_pr").between(0, 1)).alias("valid_areas"))
+def _thresholds(fitted, parts):
+    return evaluation.select_threshold(experiments.score_all(fitted, parts["validation"]), by=["model"])
 
 
-def _tuned_fits(spark, d):
-    parts = _splits(spark, d)
-    points = _selected(spark, parts["train"])
-    return {n: models.fit(parts["train"], SPEC, c, points[n]) for n, c in _candidates().items()}, parts, points
+def _measured(fitted, frame, chosen):
+    return evaluation.metric_rows(evaluation.attach_thresholds(experiments.score_all(fitted, frame), chosen, ["model"]), by=["model"])
 
 
-@query("ml_refit", _MEASURED_SQL)
+@query("ml_refit")
 def ml_refit(spark, d):
     """Each model's best point, refitted on all training rows, measured on test."""
-    fitted, parts, _ = _tuned_fits(spark, d)
-    chosen = evaluation.select_threshold(experiments.score_all(fitted, parts["validation"]), by=["model"])
-    test = evaluation.attach_thresholds(experiments.score_all(fitted, parts["test"]), chosen, ["model"])
-    return _checked(evaluation.metric_rows(test, by=["model"]))
+    fitted, parts, chosen = _tuned_fits(spark, d)
+    points = spark.createDataFrame([(c.name, json.dumps(dict(p), sort_keys=True)) for c, p in chosen], "model string, params string")
+    return _measured(fitted, parts["test"], _thresholds(fitted, parts)).join(F.broadcast(points), "model")  # a row a model
 
 
 @query("ml_importance")
@@ -227,107 +226,73 @@ def ml_importance(spark, d):
     return tables[0].unionByName(tables[1])
 
 
-def _fit_all(spark, d):
-    parts = _splits(spark, d)
-    return {n: models.fit(parts["train"], SPEC, c) for n, c in _candidates().items()}, parts
-
-
-@query("ml_comparison", _MEASURED_SQL)
+@query("ml_comparison")
 def ml_comparison(spark, d):
     """Four fitted models: thresholds from validation scores, full metric rows on test."""
-    fitted, parts = _fit_all(spark, d)
-    val = experiments.score_all(fitted, parts["validation"])
-    test = experiments.score_all(fitted, parts["test"])
-    chosen = evaluation.select_threshold(val, by=["model"])
-    return _checked(evaluation.metric_rows(evaluation.attach_thresholds(test, chosen, ["model"]), by=["model"]))
+    parts = _splits(spark, d)
+    fitted = tuning.shared_fits(parts["train"], SPEC, [(c, c.grid[0]) for c in _candidates().values()])
+    return _measured(fitted, parts["test"], _thresholds(fitted, parts))
 
 
-@query("robust_run", f"SELECT model, TRUE AS valid_deltas, TRUE AS ranked FROM {_MODEL_NAMES}")
+@query("robust_run")
 def robust_run(spark, d):
     """Every tuned model scores one frozen perturbed test set at its fixed threshold."""
     fitted, parts, _ = _tuned_fits(spark, d)
-    chosen = evaluation.select_threshold(experiments.score_all(fitted, parts["validation"]), by=["model"])
+    chosen = _thresholds(fitted, parts)
     perturbed = freeze(robustness.perturb(parts["test"], C.hash_draw("event_id", seed=17), robustness.shift_and_hide(0.20)), "perturbed")
-    before, after = (
-        evaluation.metric_rows(
-            evaluation.attach_thresholds(experiments.score_all(fitted, f), chosen, ["model"]), by=["model"])
-        for f in (parts["test"], perturbed)
-    )
-    ranked = robustness.rank_by_impact(robustness.metric_deltas(before, after))
-    valid = F.abs("delta_auc_roc").between(0, 1) & F.abs("delta_auc_pr").between(0, 1) & F.abs("delta_positive_f1").between(0, 1)
-    return ranked.select("model", valid.alias("valid_deltas"), F.col("rank").between(1, 4).alias("ranked"))
+    before, after = (_measured(fitted, f, chosen) for f in (parts["test"], perturbed))
+    return robustness.rank_by_impact(robustness.metric_deltas(before, after))
 
 
-@query("robust_retrain", f"SELECT model, CAST(trial AS INTEGER) AS trial, TRUE AS large_enough, TRUE AS valid_deltas FROM {_MODEL_NAMES}, (VALUES (1), (2), (3)) t(trial)")
+@query("robust_retrain")
 def robust_retrain(spark, d):
-    """Each model's selected point, refitted three times on nine tenths of its rows."""
-    parts = _splits(spark, d)
-    points = _selected(spark, parts["train"])
-    trials = union_frames([
-        experiments.retraining_trials(parts["train"], parts["validation"], "event_id", SPEC, c, 0.5, point=points[n])
-        for n, c in _candidates().items()])
-    deltas = [F.abs(F.col(f"delta_{m}")).between(0, 1) for m in ("auc_pr", "auc_roc", "positive_f1")]
-    return trials.select("model", "trial", (F.col("train_rows") >= 100).alias("large_enough"), (deltas[0] & deltas[1] & deltas[2]).alias("valid_deltas"))
+    """Each tuned model refitted three times on nine tenths of its rows, measured at its own threshold."""
+    fitted, parts, chosen = _tuned_fits(spark, d)
+    limits = {r.model: r.threshold for r in _thresholds(fitted, parts).collect()}
+    return experiments.retraining_trials(
+        parts["train"], parts["validation"], "event_id", SPEC, [tuning.Tuned(c, p, limits[c.name]) for c, p in chosen])
 
 
 _EXPLAINED = (*SPEC.numeric, *SPEC.categories, "month_day")
 
 
-@query("explain_local", f"""
-SELECT event_id, unnest([{', '.join(repr(c) for c in _EXPLAINED)}]) AS feature, TRUE AS finite FROM events WHERE {_TEST_RIDES}""")
+@query("explain_local")
 def explain_local(spark, d):
     """Local surrogate weights of every feature for every test row, NULL inputs included."""
     parts = _splits(spark, d)
     model = models.fit(parts["train"], SPEC, _candidates()["LogisticRegression"])
     base = sampling.background(parts["train"].select("event_id", *_EXPLAINED), "event_id", 200, 31)
-    weights = explain.local_weights(model, parts["test"], "event_id", base, SPEC)
-    return weights.select("event_id", "feature", (~F.isnan("local_weight") & (F.abs("local_weight") < float("inf"))).alias("finite"))
+    return explain.local_weights(model, parts["test"], "event_id", base, SPEC)
 
 
-@query("audit_blind_compare", V.RIDES_SQL + f"""
-, g AS (SELECT grp FROM rides WHERE {_TEST_RIDES} AND grp <> 'Unknown' GROUP BY grp HAVING count(*) >= 20)
-SELECT model, (SELECT count(*) FROM g) AS groups, TRUE AS valid_areas FROM (VALUES ('full'), ('blind')) m(model)""")
+@query("audit_blind_compare")
 def audit_blind_compare(spark, d):
     """Full model against one that never sees the group, on the same test rows."""
     parts = _splits(spark, d)
     lr = _candidates()["LogisticRegression"]
     fitted = {"full": models.fit(parts["train"], SPEC, lr), "blind": models.fit(parts["train"], SPEC.without("grp"), lr)}
     test = experiments.score_all(fitted, parts["test"], ["grp"])
-    metrics = evaluation.metric_rows(test, 0.5, ["model"]).select("model", "auc_roc", "auc_pr")
-    groups = audit.parity_ratio(audit.audit_groups(test, 0.5, "grp", minimum=20, by=["model"]), by=["model"])
-    return metrics.join(groups, "model").select("model", "groups", (F.col("auc_roc").between(0, 1) & F.col("auc_pr").between(0, 1)).alias("valid_areas"))
-
-
-_CELLS_SQL = "(SELECT count(*) FROM (SELECT DISTINCT grp, hour FROM rides))"
+    metrics = evaluation.metric_rows(test, 0.5, ["model"]).select("model", "auc_roc", "auc_pr", "positive_f1")
+    return metrics.join(audit.parity_ratio(audit.audit_groups(test, 0.5, "grp", minimum=20, by=["model"]), by=["model"]), "model")
 
 
-@query("bench_shuffle", V.RIDES_SQL + f"SELECT CAST(w AS INTEGER) AS partitions, {_CELLS_SQL} AS group_count, TRUE AS timed FROM (VALUES (16), (4)) v(w)")
+@query("bench_shuffle")
 def bench_shuffle(spark, d):
-    got = experiments.shuffle_widths(V.rides(spark, d), ["grp", "hour"], [16, 4])
-    return got.select("partitions", "group_count", (F.col("median_seconds") > 0).alias("timed"))
+    return experiments.shuffle_widths(V.rides(spark, d), ["grp", "hour"], [16, 4])
 
 
-@query("bench_cache", V.RIDES_SQL + "SELECT count(*) AS rows, CAST(3 AS INTEGER) AS runs, TRUE AS timed FROM rides")
+@query("bench_cache")
 def bench_cache(spark, d):
-    got = experiments.cache_effect(V.rides(spark, d), ["grp", "hour"])
-    return got.select("rows", "runs", ((F.col("median_uncached") > 0) & (F.col("median_cached") > 0) & (F.col("fill_seconds") > 0)).alias("timed"))
+    return experiments.cache_effect(V.rides(spark, d), ["grp", "hour"])
 
 
-@query("bench_fraction", V.RIDES_SQL + """
-SELECT CAST(f AS DOUBLE) AS sample_fraction, TRUE AS near_share, TRUE AS timed FROM (VALUES (0.1), (0.25), (0.5), (1.0)) v(f)""")
+@query("bench_fraction")
 def bench_fraction(spark, d):
-    rides = V.rides(spark, d)
-    got = experiments.fraction_scaling(rides, ["grp", "hour"], 8)
-    n = rides.count()
-    # five standard deviations of a Bernoulli sample
-    near = F.abs(F.col("rows") - F.col("sample_fraction") * n) <= 5 * F.sqrt(n * F.col("sample_fraction") * (1 - F.col("sample_fraction"))) + 1e-9
-    return got.select("sample_fraction", near.alias("near_share"), ((F.col("count_seconds") > 0) & (F.col("group_by_seconds") > 0)).alias("timed"))
+    return experiments.fraction_scaling(V.rides(spark, d), ["grp", "hour"], 8)
 
 
-@query("bench_fit_fraction", f"""
-SELECT model, CAST(f AS DOUBLE) AS sample_fraction, TRUE AS timed FROM {_MODEL_NAMES}, (VALUES (0.1), (0.25), (0.5), (0.75), (1.0)) v(f)""")
+@query("bench_fit_fraction")
 def bench_fit_fraction(spark, d):
     """Fit time of all four models on five shares of the training rows."""
     train = freeze(_splits(spark, d)["train"], "train")
-    got = experiments.fit_scaling(train, "event_id", SPEC, list(_candidates().values()), 8)
-    return got.select("model", "sample_fraction", ((F.col("fit_seconds") > 0) & (F.col("rows") > 0)).alias("timed"))
+    return experiments.fit_scaling(train, "event_id", SPEC, list(_candidates().values()), 8)

@@ -28,6 +28,7 @@ from cohortlens.operators import (
     robustness,
     sampling,
     selection,
+    tuning,
 )
 from cohortlens.sources import conform, dimension, files, sinks
 from cohortlens.spec import CohortSpec, FeatureSpec, TimeSplit
@@ -220,12 +221,10 @@ def assess(spark: SparkSession, job: Job, *, repeats: int = 3, explained_rows: i
         train_rows = cohort.with_pinned_weights(keyed["train"], job.features.label, job.features.weight)
         limits = {r.model: r.threshold for r in chosen.collect()}
         best = {r.model: r.grid_index for r in _read(spark, job, "cv_grid").where("is_best").collect()}
-        trials = _table(job, "retraining", conform.union_frames([
-            experiments.retraining_trials(
-                train_rows, keyed["validation"], "row_key", job.features, c, limits[c.name], point=c.grid[best[c.name]],
-                share=retraining_share, trials=retraining_trials, seed=job.seed)
-            for c in models.candidates(job.features, grids=job.grids)
-        ]))
+        tuned = [tuning.Tuned(c, c.grid[best[c.name]], limits[c.name]) for c in models.candidates(job.features, grids=job.grids)]
+        trials = _table(job, "retraining", experiments.retraining_trials(
+            train_rows, keyed["validation"], "row_key", job.features, tuned,
+            share=retraining_share, trials=retraining_trials, seed=job.seed, at_once=job.parallelism))
         _table(job, "retraining_summary", robustness.delta_summary(trials))
     return ranked
 
