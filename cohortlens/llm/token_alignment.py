@@ -96,12 +96,23 @@ def tokeniser_pair(folder: str, first: str, second: str) -> Pair:
     return Pair(folder, first, second)
 
 
+def _ids_as_text(n: int, between: str, last: str) -> np.ndarray:
+    return np.array([[f"{i}{end}" for i in range(n)] for end in (between, last)], dtype=object)
+
+
+def _spread(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, ... for each run of the given size."""
+    upto = np.concatenate([[0], np.cumsum(sizes)])
+    return np.arange(upto[-1]) + np.repeat(first - upto[:-1], sizes)
+
+
 class Windows:
     """Alignments by window ids: links as pairs, groups as text. Forgets all when full."""
 
     def __init__(self, pair: Pair, most: int = WINDOWS):
         self.pair, self.most = pair, most
-        self.sizes = pair.first.sizes.tolist(), pair.second.sizes.tolist()
+        # an id as text with what follows it: inside a group, and at the end of its side
+        self.text = _ids_as_text(pair.first.sizes.size, ",", "|"), _ids_as_text(pair.second.sizes.size, ",", ";")
         self.forget()
 
     def forget(self) -> None:
@@ -109,30 +120,26 @@ class Windows:
         self.groups: list[str] = []
         self.counts, self.links, self.ends = array.array("q"), array.array("q"), array.array("q", [0])
 
-    def _align(self, a: list[int], b: list[int]) -> int:
-        """Walks both token lists once: a link for each overlap, a group at each shared end."""
-        sizes_a, sizes_b = self.sizes
-        links, groups, i, j, from_a, from_b = self.links, [], 0, 0, 0, 0
-        end_a, end_b = sizes_a[a[0]], sizes_b[b[0]]
-        while True:
-            links.append(a[i] * PAIR + b[j])
-            if end_a == end_b:
-                groups.append(",".join(map(str, a[from_a:i + 1])) + "|" + ",".join(map(str, b[from_b:j + 1])))
-                i, j = i + 1, j + 1
-                if i == len(a):
-                    break
-                from_a, from_b = i, j
-                end_a, end_b = end_a + sizes_a[a[i]], end_b + sizes_b[b[j]]
-            elif end_a < end_b:
-                i += 1
-                end_a += sizes_a[a[i]]
-            else:
-                j += 1
-                end_b += sizes_b[b[j]]
-        self.ends.append(len(links))
-        self.groups.append(";".join(groups))
-        self.counts.append(len(groups))
-        return len(self.groups) - 1
+    def _align(self, a: np.ndarray, b: np.ndarray, sizes_a: np.ndarray, sizes_b: np.ndarray) -> None:
+        """Aligns new windows, which stand in line with so many tokens each."""
+        ends_a, ends_b = np.cumsum(self.pair.first.sizes[a]), np.cumsum(self.pair.second.sizes[b])
+        last_a, last_b = np.cumsum(sizes_a), np.cumsum(sizes_b)
+        cuts, shared = np.union1d(ends_a, ends_b), np.intersect1d(ends_a, ends_b, assume_unique=True)
+        # a link ends at each end of either side, a group at each end of both
+        links = a[np.searchsorted(ends_a, cuts)].astype(np.int64) * PAIR + b[np.searchsorted(ends_b, cuts)]
+        group_a, group_b = np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)
+        tokens = np.empty(a.size + b.size, dtype=object)
+        through_a = np.searchsorted(group_a, np.arange(shared.size), "right")
+        before_b = np.searchsorted(group_b, np.arange(shared.size))
+        tokens[np.arange(a.size) + before_b[group_a]] = self.text[0][(ends_a == shared[group_a]).astype(int), a]
+        tokens[np.arange(b.size) + through_a[group_b]] = self.text[1][(ends_b == shared[group_b]).astype(int), b]
+        tokens, at = tokens.tolist(), np.concatenate([[0], last_a + last_b]).tolist()
+        self.groups += ["".join(tokens[i:j])[:-1] for i, j in zip(at, at[1:])]
+        done = ends_a[last_a - 1]
+        upto = np.searchsorted(cuts, done) + 1
+        self.ends.frombytes((self.ends[-1] + upto).astype(np.int64).tobytes())
+        self.counts.frombytes(np.diff(np.searchsorted(shared, done) + 1, prepend=0).astype(np.int64).tobytes())
+        self.links.frombytes(links.tobytes())
 
     def number(self, a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> np.ndarray:
         """The alignment of each window between the cuts; equal windows are looked up once."""
@@ -151,14 +158,16 @@ class Windows:
         if odd.any():
             same[odd] = first.size + np.arange(int(odd.sum()))
             first = np.concatenate([first, np.flatnonzero(odd)])
-        bytes_a, bytes_b, known, used = a.tobytes(), b.tobytes(), self.known, []
-        for i, k, j, m in zip(*(x.tolist() for x in (cut_a[first], cut_a[first + 1], cut_b[first], cut_b[first + 1]))):
-            ids = (bytes_a[4 * i:4 * k], bytes_b[4 * j:4 * m])
-            at = known.get(ids)
-            if at is None:
-                at = known[ids] = self._align(a[i:k].tolist(), b[j:m].tolist())
-            used.append(at)
-        return np.array(used)[same]
+        bytes_a, bytes_b, known = a.tobytes(), b.tobytes(), self.known
+        places = zip(*((4 * x).tolist() for x in (cut_a[first], cut_a[first + 1], cut_b[first], cut_b[first + 1])))
+        ids = [(bytes_a[i:k], bytes_b[j:m]) for i, k, j, m in places]
+        used, held = np.array([known.setdefault(x, len(known)) for x in ids]), len(self.groups)
+        numbers, place = np.unique(used, return_index=True)
+        fresh = first[place[numbers >= held]]
+        if fresh.size:
+            of_a, of_b = (cut[fresh + 1] - cut[fresh] for cut in (cut_a, cut_b))
+            self._align(a[_spread(cut_a[fresh], of_a)], b[_spread(cut_b[fresh], of_b)], of_a, of_b)
+        return used[same]
 
     def align(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[int, np.ndarray, str]]:
         """(groups, links in order, digest of the groups) of each document's ids.
@@ -175,9 +184,9 @@ class Windows:
         cut_a, cut_b = (np.concatenate([[0], np.searchsorted(ends, anchors) + 1]) for ends in (ends_a, ends_b))
         used = self.number(a, b, cut_a, cut_b)
         ends, counts = np.frombuffer(self.ends, np.int64), np.frombuffer(self.counts, np.int64)
-        low, sizes = ends[used], ends[used + 1] - ends[used]
+        sizes = ends[used + 1] - ends[used]
         upto = np.concatenate([[0], np.cumsum(sizes)])
-        links = np.frombuffer(self.links, np.int64)[np.arange(upto[-1]) + np.repeat(low - upto[:-1], sizes)]
+        links = np.frombuffer(self.links, np.int64)[_spread(ends[used], sizes)]
         of_text = np.searchsorted(cut_a, np.cumsum([0, *(x.size for x, _ in texts)])).tolist()
         grouped, names = np.concatenate([[0], np.cumsum(counts[used])]), used.tolist()
         return [(int(grouped[j] - grouped[i]), links[upto[i]:upto[j]], hashlib.sha256(";".join([self.groups[u] for u in names[i:j]]).encode()).hexdigest())
