@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import contextlib
 import functools
+import math
 import statistics
 import time
 from collections.abc import Callable, Sequence
@@ -50,6 +51,13 @@ def rounds(arms: dict[object, Callable[[], object]], repeats: int) -> dict[objec
     return {name: (seconds[name], results[name]) for name in arms}
 
 
+def paired_ratio(own: Sequence[float], base: Sequence[float]) -> tuple[float, float, float]:
+    """(median, least, largest) of own over base, round by round: rounds share the state of
+    the machine, so their ratios spread less than the seconds do."""
+    ratios = sorted(a / b for a, b in zip(own, base))
+    return statistics.median(ratios), ratios[0], ratios[-1]
+
+
 @contextlib.contextmanager
 def _setting(spark, name: str, value: object):
     held = spark.conf.get(name)
@@ -60,8 +68,14 @@ def _setting(spark, name: str, value: object):
         spark.conf.set(name, held)
 
 
+_RATIO = "ratio double, ratio_low double, ratio_high double"
+
+
 def shuffle_widths(frame: DataFrame, keys: Sequence[str], widths: Sequence[int], repeats: int = 3) -> DataFrame:
-    """The same aggregate at several shuffle widths, which must all give the same cells."""
+    """The same aggregate at several shuffle widths, which must all give the same cells.
+
+    ``ratio`` is a width's time over the first width's, as ``paired_ratio`` has it.
+    """
     spark = frame.sparkSession
 
     def arm(width: int) -> int:
@@ -71,13 +85,18 @@ def shuffle_widths(frame: DataFrame, keys: Sequence[str], widths: Sequence[int],
     measured = rounds({w: functools.partial(arm, w) for w in widths}, repeats)
     if len({cells for _, cells in measured.values()}) > 1:
         raise ValueError("the number of groups depends on the shuffle width")
+    first = measured[widths[0]][0]
     return spark.createDataFrame(
-        [(w, repeats, cells, statistics.median(s)) for w, (s, cells) in measured.items()],
-        "partitions int, runs int, group_count long, median_seconds double")
+        [(w, repeats, cells, statistics.median(s), *paired_ratio(s, first)) for w, (s, cells) in measured.items()],
+        f"partitions int, runs int, group_count long, median_seconds double, {_RATIO}")
 
 
 def cache_effect(frame: DataFrame, keys: Sequence[str], repeats: int = 3) -> DataFrame:
-    """The aggregate from its source and from memory, and what filling the memory costs."""
+    """The aggregate from its source and from memory, and what filling the memory costs.
+
+    ``ratio`` is the time from memory over the time from the source; ``repays_after`` the
+    number of runs after which the fill has paid for itself, NULL if it never does.
+    """
     copy = frame.select("*")  # persisting marks equal plans, so the source is measured first
     (source, cells), = rounds({"source": lambda: _cells(frame, keys)}, repeats).values()
     copy.persist(StorageLevel.MEMORY_AND_DISK)
@@ -88,23 +107,26 @@ def cache_effect(frame: DataFrame, keys: Sequence[str], repeats: int = 3) -> Dat
         copy.unpersist(blocking=True)
     if same != cells:
         raise ValueError("the number of groups depends on the cache")
+    saved = statistics.median(source) - statistics.median(memory)
     return frame.sparkSession.createDataFrame(
-        [(rows, repeats, statistics.median(source), statistics.median(memory), fill, sum(source), fill + sum(memory))],
+        [(rows, repeats, statistics.median(source), statistics.median(memory), fill, sum(source), fill + sum(memory),
+          *paired_ratio(memory, source), math.ceil(fill / saved) if saved > 0 else None)],
         "rows long, runs int, median_uncached double, median_cached double, "
-        "fill_seconds double, total_uncached double, total_cached_with_fill double")
+        f"fill_seconds double, total_uncached double, total_cached_with_fill double, {_RATIO}, repays_after long")
 
 
 def fraction_scaling(frame: DataFrame, keys: Sequence[str], seed: int,
-                     fractions: Sequence[float] = (0.10, 0.25, 0.50, 1.0)) -> DataFrame:
-    """Count and group-by time as the sampled share grows."""
-    rows = []
-    for f in fractions:
-        part = sampling.bernoulli(frame, f, seed)
-        count_seconds, n = timed(part.count)
-        group_seconds, cells = timed(lambda: _cells(part, keys))
-        rows.append((f, n, count_seconds, group_seconds, cells))
+                     fractions: Sequence[float] = (0.10, 0.25, 0.50, 1.0), repeats: int = 3) -> DataFrame:
+    """Count and group-by time as the sampled share grows; ``ratio`` is a share's group-by
+    over that of the smallest share, as ``paired_ratio`` has it."""
+    parts = {f: sampling.bernoulli(frame, f, seed) for f in fractions}
+    counted = rounds({f: p.count for f, p in parts.items()}, repeats)
+    grouped = rounds({f: functools.partial(_cells, p, keys) for f, p in parts.items()}, repeats)
+    first = grouped[min(fractions)][0]
+    rows = [(f, counted[f][1], statistics.median(counted[f][0]), statistics.median(grouped[f][0]), grouped[f][1], repeats, *paired_ratio(grouped[f][0], first))
+            for f in fractions]
     return frame.sparkSession.createDataFrame(
-        rows, "sample_fraction double, rows long, count_seconds double, group_by_seconds double, group_count long")
+        rows, f"sample_fraction double, rows long, count_seconds double, group_by_seconds double, group_count long, runs int, {_RATIO}")
 
 
 def fit_scaling(train: DataFrame, key: str, spec: FeatureSpec, candidates: Sequence[models.Candidate],
@@ -125,7 +147,7 @@ def fit_scaling(train: DataFrame, key: str, spec: FeatureSpec, candidates: Seque
 
 
 def retraining_trials(train: DataFrame, validation: DataFrame, key: str, spec: FeatureSpec, tuned: Sequence[tuning.Tuned], *,
-                      share: float = 1.0, kept: float = 0.9, trials: int = 3, seed: int = 8, least: int = 100, at_once: int = 4) -> DataFrame:
+                      share: float = 1.0, kept: float = 0.9, trials: int = 3, seed: int = 8, least: int = 100, at_once: int = 8) -> DataFrame:
     """How metrics move when tuned models are refitted on parts of their rows.
 
     Which rows a trial holds is drawn by their key and marked in a list; trial 0 holds all.

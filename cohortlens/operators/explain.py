@@ -110,27 +110,39 @@ def neighbours(instances: DataFrame, key: str, background: DataFrame, spec: Feat
     )
 
 
+def _fit(m: np.ndarray, n: int, ridge: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(weights, centred inputs times target, centred inputs squared, target's spread) of moments, a row each."""
+    w, wy, wyy = m[:, 0], m[:, 1], m[:, 2]
+    sx = m[:, 3:3 + n]
+    sxy = m[:, 3 + n:3 + 2 * n]
+    upper = np.triu_indices(n)
+    sxx = np.zeros((len(m), n, n))
+    sxx[:, upper[0], upper[1]] = m[:, 3 + 2 * n:]
+    sxx[:, upper[1], upper[0]] = m[:, 3 + 2 * n:]
+    # centring by weighted means leaves the intercept free of the penalty
+    sxx -= sx[:, :, None] * sx[:, None, :] / w[:, None, None]
+    sxy = sxy - sx * (wy / w)[:, None]
+    beta = np.linalg.solve(sxx + ridge * np.eye(n), sxy[:, :, None])[:, :, 0]
+    return beta, sxy, sxx, wyy - wy * wy / w
+
+
+def _r2(beta: np.ndarray, sxy: np.ndarray, sxx: np.ndarray, total: np.ndarray) -> np.ndarray:
+    left = total - 2 * (beta * sxy).sum(1) + np.einsum("bi,bij,bj->b", beta, sxx, beta)
+    return np.where(total > 1e-12, 1 - left / np.where(total > 1e-12, total, 1), 0.0)
+
+
 def _solver(n: int, ridge: float):
-    """Scalar Pandas UDF: moments of one row -> n weights followed by R squared."""
+    """Scalar Pandas UDF over the moments of both halves of a row's neighbours: n weights,
+    R squared, n differences between the halves' weights, and the R squared that the weights
+    of one half have on the other."""
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def solve(moments: pd.Series) -> pd.Series:
-        m = np.stack(moments.to_numpy())
-        w, wy, wyy = m[:, 0], m[:, 1], m[:, 2]
-        sx = m[:, 3:3 + n]
-        sxy = m[:, 3 + n:3 + 2 * n]
-        upper = np.triu_indices(n)
-        sxx = np.zeros((len(m), n, n))
-        sxx[:, upper[0], upper[1]] = m[:, 3 + 2 * n:]
-        sxx[:, upper[1], upper[0]] = m[:, 3 + 2 * n:]
-        # centring by weighted means leaves the intercept free of the penalty
-        sxx -= sx[:, :, None] * sx[:, None, :] / w[:, None, None]
-        sxy = sxy - sx * (wy / w)[:, None]
-        beta = np.linalg.solve(sxx + ridge * np.eye(n), sxy[:, :, None])[:, :, 0]
-        total = wyy - wy * wy / w
-        left = total - 2 * (beta * sxy).sum(1) + np.einsum("bi,bij,bj->b", beta, sxx, beta)
-        r2 = np.where(total > 1e-12, 1 - left / np.where(total > 1e-12, total, 1), 0.0)
-        return pd.Series(list(np.column_stack([beta, r2])))
+    def solve(first: pd.Series, second: pd.Series) -> pd.Series:
+        one, two = np.stack(first.to_numpy()), np.stack(second.to_numpy())
+        beta, *rest = _fit(one + two, n, ridge)
+        a, b = _fit(one, n, ridge), _fit(two, n, ridge)
+        other = (_r2(a[0], *b[1:]) + _r2(b[0], *a[1:])) / 2
+        return pd.Series(list(np.column_stack([beta, _r2(beta, *rest), np.abs(a[0] - b[0]), other])))
 
     return solve
 
@@ -138,25 +150,37 @@ def _solver(n: int, ridge: float):
 def local_weights(model: PipelineModel, instances: DataFrame, key: str, background: DataFrame,
                   spec: FeatureSpec, *, samples: int = 500, seed: int = 31, ridge: float = 1.0,
                   top: int = 7) -> DataFrame:
-    """(key, feature, local_weight, surrogate_r2): the ``top`` largest weights per row."""
+    """(key, feature, local_weight, surrogate_r2, weight_gap, second_draw_r2): the ``top`` largest weights per row.
+
+    Neighbours are two independent draws, even and odd ones, whose moments add up. Each half
+    is also solved alone: ``weight_gap`` is how far its weights lie apart, and
+    ``second_draw_r2`` how well weights of one draw explain the other. A weight below its
+    gap, or a low second value, is noise of the sample, not of the model.
+    """
+    if samples < 4:
+        raise ValueError("two draws of at least two neighbours are needed")
     numeric, category = explained_features(spec)
     names = [*numeric, *category]
+    n = len(names)
     near = neighbours(instances, key, background, spec, samples=samples, seed=seed)
     ready = models.add_cycle(near, spec).withColumn(spec.label, F.lit(0.0))
-    scored = models.score(model, ready, [key, *[f"x_{c}" for c in names], "kernel"], label=spec.label)
+    scored = models.score(model, ready, [key, "sample_no", *[f"x_{c}" for c in names], "kernel"], label=spec.label)
 
     w, y = F.col("kernel"), F.col("score")
     xs = [F.col(f"x_{c}") for c in names]
     terms = [w, w * y, w * y * y, *[w * x for x in xs], *[w * x * y for x in xs]]
-    terms += [w * xs[i] * xs[j] for i in range(len(xs)) for j in range(i, len(xs))]
+    terms += [w * xs[i] * xs[j] for i in range(n) for j in range(i, n)]
     sums = [F.sum(t).alias(f"m{i}") for i, t in enumerate(terms)]
-    moments = scored.groupBy(key).agg(*sums)
-    packed = moments.select(key, F.array(*[f"m{i}" for i in range(len(terms))]).alias("moments"))
-    solved = packed.select(key, _solver(len(names), ridge)("moments").alias("s"))
+    # rows of one key are in one partition already, so neither grouping shuffles
+    moments = scored.groupBy(key, F.pmod("sample_no", F.lit(2)).alias("half")).agg(*sums)
+    packed = moments.select(key, "half", F.array(*[f"m{i}" for i in range(len(terms))]).alias("moments"))
+    halves = packed.groupBy(key).agg(*[F.max(F.when(F.col("half") == h, F.col("moments"))).alias(f"half_{h}") for h in (0, 1)])
+    solved = halves.select(key, _solver(n, ridge)("half_0", "half_1").alias("s"))
+    s = F.col("s")
     entries = F.array(*[
-        F.struct(F.abs(F.col("s")[i]).alias("size"), F.lit(c).alias("feature"), F.col("s")[i].alias("local_weight"))
+        F.struct(F.abs(s[i]).alias("size"), F.lit(c).alias("feature"), s[i].alias("local_weight"), s[n + 1 + i].alias("weight_gap"))
         for i, c in enumerate(names)
     ])
-    largest = F.slice(F.sort_array(entries, asc=False), 1, min(top, len(names)))
-    return solved.select(key, F.col("s")[len(names)].alias("surrogate_r2"), F.inline(largest)).select(
-        key, "feature", "local_weight", "surrogate_r2")
+    largest = F.slice(F.sort_array(entries, asc=False), 1, min(top, n))
+    return solved.select(key, s[n].alias("surrogate_r2"), s[2 * n + 1].alias("second_draw_r2"), F.inline(largest)).select(
+        key, "feature", "local_weight", "surrogate_r2", "weight_gap", "second_draw_r2")

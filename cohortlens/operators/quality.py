@@ -91,31 +91,71 @@ def _family(data_type: T.DataType) -> str:
     return "numeric" if isinstance(data_type, T.NumericType) else "categorical"
 
 
+def _sketched_counts(frame: DataFrame, names: Sequence[str]) -> DataFrame:
+    """(column_name, rows, filled, distinct_values) with one-pass sketches, one aggregate."""
+    wide = frame.agg(
+        F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(f"filled_{i}") for i, c in enumerate(names)],
+        *[F.approx_count_distinct(c).alias(f"distinct_{i}") for i, c in enumerate(names)])
+    return wide.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col("rows"), F.col(f"filled_{i}").alias("filled"), F.col(f"distinct_{i}").alias("distinct_values"))
+        for i, c in enumerate(names)])))
+
+
+def _exact_counts(frame: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The same with exact distinct values: narrow rows of a column's number and the 64-bit
+    hash of a value are folded in the tasks before anything is shuffled, so each distinct
+    value costs some bytes a task, however wide the frame. Number -1 counts the rows."""
+    def hashed(c: str) -> Column:  # every NaN is one value, and -0.0 is 0.0
+        floating = isinstance(frame.schema[c].dataType, (T.DoubleType, T.FloatType))
+        return F.xxhash64(F.when(F.isnan(c), F.lit(float("nan"))).otherwise(F.col(c) + F.lit(0.0)) if floating else F.col(c))
+
+    every = F.struct(F.lit(-1).alias("place"), F.lit(0).cast("long").alias("value"))
+    cells = F.array(every, *[F.when(F.col(c).isNotNull(), F.struct(F.lit(i).alias("place"), hashed(c).alias("value"))) for i, c in enumerate(names)])
+    folded = frame.select(F.explode(F.array_compact(cells)).alias("cell")).groupBy("cell.place", "cell.value").agg(F.count(F.lit(1)).alias("n"))
+    each = folded.groupBy("place").agg(F.sum("n").alias("filled"), F.count(F.lit(1)).alias("distinct_values"))
+    found = each.agg(F.map_from_entries(F.collect_list(F.struct("place", F.struct("filled", "distinct_values")))).alias("m"))  # a row a column
+    of = lambda i, f: F.coalesce(F.try_element_at("m", F.lit(i)).getField(f), F.lit(0).cast("long"))
+    return found.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), of(-1, "filled").alias("rows"), of(i, "filled").alias("filled"), of(i, "distinct_values").alias("distinct_values"))
+        for i, c in enumerate(names)])))
+
+
 def column_profile(frame: DataFrame, columns: Sequence[str] | None = None, *, exact: Sequence[str] = ()) -> DataFrame:
     """Missing share, distinct values and type family per column.
 
-    Distinct values are one-pass sketches, but for the columns named in ``exact``: each of
-    those expands the input once more before partial aggregation.
+    Distinct values are one-pass sketches, but for the columns named in ``exact``, whose
+    values are folded by their hashes: two values share one about once in 2**64 pairs.
     """
     names = list(columns or frame.columns)
     types = {f.name: _family(f.dataType) for f in frame.schema}
-    distinct = {c: F.count_distinct if c in exact else F.approx_count_distinct for c in names}
-    wide = frame.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count(F.col(c)).alias(f"filled_{i}") for i, c in enumerate(names)],
-        *[distinct[c](F.col(c)).alias(f"distinct_{i}") for i, c in enumerate(names)],
-    )
-    rows = F.array(*[
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.lit(types[c]).alias("family"),
-            F.round(F.lit(100.0) * C.safe_ratio(F.col("rows") - F.col(f"filled_{i}"), F.col("rows")), 6)
-            .alias("missing_pct"),
-            F.col(f"distinct_{i}").alias("distinct_values"),
-        )
-        for i, c in enumerate(names)
-    ])
-    return wide.select(F.inline(rows))
+    exactly, roughly = [c for c in names if c in exact], [c for c in names if c not in exact]
+    parts = [*([_exact_counts(frame, exactly)] if exactly else []), *([_sketched_counts(frame, roughly)] if roughly else [])]
+    counts = parts[0] if len(parts) == 1 else parts[0].union(parts[1])
+    family = F.create_map(*[F.lit(x) for c in names for x in (c, types[c])])
+    return counts.select(
+        "column_name", family[F.col("column_name")].alias("family"),
+        F.round(F.lit(100.0) * C.safe_ratio(F.col("rows") - F.col("filled"), F.col("rows")), 6).alias("missing_pct"), "distinct_values")
+
+
+def column_sketches(frame: DataFrame, columns: Sequence[str], period: str) -> DataFrame:
+    """(period, column_name, rows, filled, sketch): mergeable counts of distinct values.
+
+    One aggregate over the frame. The rows can be kept: when a period is added or read
+    anew only its own rows are made again, and ``merge_sketches`` gives the whole.
+    """
+    as_text = lambda c: F.col(c).cast("string")
+    wide = frame.groupBy(F.col(period).alias("period")).agg(
+        F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(f"filled_{i}") for i, c in enumerate(columns)],
+        *[F.hll_sketch_agg(as_text(c), F.lit(14)).alias(f"sketch_{i}") for i, c in enumerate(columns)])
+    return wide.select("period", F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col("rows"), F.col(f"filled_{i}").alias("filled"), F.col(f"sketch_{i}").alias("sketch")) for i, c in enumerate(columns)])))
+
+
+def merge_sketches(sketches: DataFrame) -> DataFrame:
+    """Missing share and estimated distinct values per column over all periods given."""
+    return sketches.groupBy("column_name").agg(
+        F.sum("rows").alias("rows"), F.round(F.lit(100.0) * C.safe_ratio(F.sum("rows") - F.sum("filled"), F.sum("rows")), 6).alias("missing_pct"),
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct_estimate"))
 
 
 def volume_gate(frame: DataFrame, total_bytes: int, *, min_rows: int, min_columns: int,

@@ -11,6 +11,7 @@ from cohortlens.plans import views as V
 from cohortlens.plans.cohort_queries import cohort
 from cohortlens.plans.registry import query
 from cohortlens.sources.files import table_files
+from cohortlens.sources.shared import freeze
 
 _IN_WINDOW = "pickup_ts >= TIMESTAMP '1996-01-01' AND pickup_ts < TIMESTAMP '2002-01-01'"
 _BAD = {
@@ -57,6 +58,13 @@ def qc_column_profile(spark, d):
     return Q.column_profile(V.trips(spark, d), list(_PROFILE), exact=list(_PROFILE))
 
 
+@query("qc_merged_sketches")
+def qc_merged_sketches(spark, d):
+    """Distinct values of the whole estimated from sketches kept per period."""
+    kept = freeze(Q.column_sketches(V.trips(spark, d), list(_PROFILE), "year_month"), "sketches")
+    return Q.merge_sketches(kept)
+
+
 @query("qc_volume_gate", """
 SELECT count(*) AS rows, CAST(11 AS BIGINT) AS columns, count(*) >= 5000 AS enough_rows,
        TRUE AS enough_columns, TRUE AS enough_bytes FROM lineitem""")

@@ -1,11 +1,18 @@
-"""Named queries and the SQL that checks them."""
+"""Named queries and the SQL that checks them.
+
+Tables that a query writes on its way are removed when it returns, but for those that its
+result still reads.
+"""
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cohortlens.sources.shared import scratch_life
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -15,7 +22,13 @@ def query(name: str, sql: str | None = None):
     def register(fn: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name} registered twice")
-        QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            with scratch_life(spark) as keep:
+                return keep(fn(spark, sf_dir))
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn

@@ -38,27 +38,32 @@ def src_missing_files(spark, d):
     return expected.join(found, "name", "left").withColumn("missing", F.col("rows").isNull())
 
 
-@query("src_file_inventory", f"SELECT name, rows, TRUE AS has_bytes, TRUE AS has_files FROM ({_counts_sql(FACTS)})")
+@query("src_file_inventory")
 def src_file_inventory(spark, d):
-    got = _table_rows(spark, d, FACTS)
-    return got.select("name", "rows", (F.col("bytes") > 0).alias("has_bytes"), (F.col("files") > 0).alias("has_files"))
+    """Rows, bytes and files of each table; SQL over the tables knows nothing of bytes."""
+    return _table_rows(spark, d, FACTS)
 
 
 @query("src_manifest")
 def src_manifest(spark, d):
-    return S.file_manifest(S.file_inventory(spark, [f"{d}/{t}.parquet" for t in FACTS])).drop("path")
+    """Digest of each file; SQL sees tables, not the bytes of their files."""
+    return S.file_manifest(spark, [f"{d}/{t}.parquet" for t in FACTS]).drop("path")
+
+
+# Spark's names of the types that SQL lists
+_TYPES_SQL = "CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'DATE' THEN 'date' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'FLOAT' THEN 'float' ELSE data_type END"
 
 
 @query("src_schema_log", f"""
-SELECT table_name AS name, CAST(count(*) AS INTEGER) AS n_columns, string_agg(column_name, ',' ORDER BY ordinal_position) AS column_names
-FROM (SELECT table_name, column_name, column_index AS ordinal_position FROM duckdb_columns()) WHERE table_name IN ({', '.join(repr(t) for t in FACTS)}) GROUP BY 1""")
+SELECT table_name AS name, CAST(1 AS BIGINT) AS versions, CAST(count(*) AS INTEGER) AS n_columns,
+       'struct<' || string_agg(column_name || ':' || {_TYPES_SQL}, ',' ORDER BY column_index) || '>' AS schema
+FROM duckdb_columns() WHERE table_name IN ({', '.join(repr(t) for t in FACTS)}) GROUP BY 1""")
 def src_schema_log(spark, d):
-    """Columns of each table in Spark's terms, from the log of its first file."""
+    """Schema versions, columns and types of each table, from the log of its files."""
     files = S.file_inventory(spark, [f"{d}/{t}.parquet" for t in FACTS])
     table = F.regexp_extract("path", r"/(\w+)\.parquet(?:/[^/]*)?$", 1)
     log = N.schema_log(spark, files).withColumn("name", table)
-    names = F.regexp_replace(F.regexp_replace("schema", r"^struct<|>$", ""), r":[a-z0-9_]+", "")
-    return log.groupBy("name").agg(F.min("n_columns").alias("n_columns"), F.min(names).alias("column_names"))
+    return log.groupBy("name").agg(F.count_distinct("schema").alias("versions"), F.min("n_columns").alias("n_columns"), F.min("schema").alias("schema"))
 
 
 CANON = T.StructType([

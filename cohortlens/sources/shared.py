@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
@@ -25,8 +26,51 @@ def shared_root(spark: SparkSession) -> str:
     return _local_scratch(spark.sparkContext.applicationId)
 
 
+_LIVES: list[set[str]] = []
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    if _LIVES:
+        _LIVES[-1].add(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def paths_read(frame: DataFrame) -> str:
+    """Where a frame's plan reads, subqueries included, as Spark's explanation says it."""
+    conf = frame.sparkSession.conf
+    held = conf.get("spark.sql.maxMetadataStringLength")
+    conf.set("spark.sql.maxMetadataStringLength", str(1 << 24))
+    try:
+        return frame._jdf.queryExecution().explainString(frame.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    finally:
+        conf.set("spark.sql.maxMetadataStringLength", held)
+
+
+@contextlib.contextmanager
+def scratch_life(spark: SparkSession):
+    """Notes every fresh path made inside. ``keep(frame)`` says that a frame leaves; at the
+    end all noted tables go but those that such a frame still reads."""
+    made: set[str] = set()
+    needed: list[str] = []
+
+    def keep(frame: DataFrame) -> DataFrame:
+        needed.append(paths_read(frame) if made else "")
+        return frame
+
+    _LIVES.append(made)
+    try:
+        yield keep
+    finally:
+        _LIVES.remove(made)
+        for path in made:
+            if not any(path.rpartition("/")[2] in plan for plan in needed):
+                remove(spark, path)
 
 
 def freeze(frame: DataFrame, label: str = "frozen", partition_by: str | None = None) -> DataFrame:

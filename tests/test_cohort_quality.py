@@ -119,6 +119,25 @@ def test_profile_exact_and_sketched(raw):
         assert got["tpep_pickup_datetime"].family == "datetime"
 
 
+def test_exact_profile_is_count_distinct(spark):
+    f = spark.createDataFrame([(1.0, "a", None), (-0.0, "b", None), (0.0, "b", None), (float("nan"), None, None), (float("nan"), "a", None), (None, "", None)], "x double, s string, e int")
+    got = {r.column_name: r for r in quality.column_profile(f, exact=["x", "s", "e"]).collect()}
+    assert {c: r.distinct_values for c, r in got.items()} == {"x": f.select(F.count_distinct("x")).first()[0], "s": 3, "e": 0}
+    assert got["e"].missing_pct == 100 and got["x"].missing_pct == pytest.approx(100 / 6, abs=1e-5)
+    mixed = {r.column_name: r.distinct_values for r in quality.column_profile(f, ["s", "x"], exact=["x"]).collect()}
+    assert mixed == {"s": 3, "x": 3}
+    assert {r.distinct_values for r in quality.column_profile(f.where("false"), exact=["x", "s", "e"]).collect()} == {0}
+    plan = quality.column_profile(f, exact=["x", "s", "e"])._jdf.queryExecution().toString()
+    assert "Expand" not in plan
+
+
+def test_sketches_merge_over_periods(spark):
+    f = spark.range(30_000).select((F.col("id") % 7).cast("string").alias("p"), (F.col("id") % 9000).alias("k"), F.when(F.col("id") % 2 == 0, "x").alias("c"))
+    got = {r.column_name: r for r in quality.merge_sketches(quality.column_sketches(f, ["k", "c"], "p")).collect()}
+    assert abs(got["k"].distinct_estimate - 9000) < 180 and got["c"].distinct_estimate == 1
+    assert got["c"].missing_pct == 50 and got["k"].rows == 30_000
+
+
 def test_cost_table_rules(spark):
     m = spark.createDataFrame(
         [("training", "a", "c", None, None, 36.0), ("cache", "b", "c", None, 5, 3600.0)],

@@ -51,7 +51,12 @@ def test_manifest_and_missing(spark, tmp_path):
     good = next((tmp_path / "t").glob("*.parquet"))
     (tmp_path / "t" / "fake.parquet").write_bytes(b"PAR1 not parquet at all")
     listed = files.file_inventory(spark, str(tmp_path / "t"))
-    got = {r.file_name: r for r in files.file_manifest(listed).collect()}
+    got = {r.file_name: r for r in files.file_manifest(spark, str(tmp_path / "t")).collect()}
+    # beyond the limit of a row the digest is the same, streamed
+    size = (tmp_path / "t" / "fake.parquet").stat().st_size
+    again = {r.file_name: r for r in files.file_manifest(spark, str(tmp_path / "t"), row_bytes=size).collect()}
+    assert {r.read_as for r in got.values()} == {"row"} and (again[good.name].read_as, again["fake.parquet"].read_as) == ("stream", "row")
+    assert {n: r[:5] for n, r in got.items()} == {n: r[:5] for n, r in again.items()}
     assert got[good.name].is_parquet and got[good.name].sha256 == hashlib.sha256(good.read_bytes()).hexdigest()
     assert got[good.name].bytes == good.stat().st_size and not got["fake.parquet"].is_parquet
     assert [r.file_name for r in files.missing_files(listed, ["fake.parquet", "gone.parquet"]).collect()] == ["gone.parquet"]
@@ -158,5 +163,36 @@ def test_hot_period_is_split_over_writers(spark, tmp_path):
 def test_session_settings(spark):
     with pytest.raises(ValueError):
         session.build_session("x", {"executor_instances": 0})
-    got = {r.setting: r.value for r in session.run_configuration(spark).collect()}
-    assert got["spark.sql.shuffle.partitions"] == "4" and got["spark_version"] == spark.version
+    spark.conf.set("spark.hidden.password", "hunter2")
+    got = {r.setting: r for r in session.run_configuration(spark).collect()}
+    spark.conf.unset("spark.hidden.password")
+    assert got["spark.sql.shuffle.partitions"].value == "4" and got["version"].value == spark.version
+    assert got["spark.hidden.password"].value == "(withheld)" and got["spark.hidden.password"].origin == "session"
+
+
+def test_many_files_are_read_at_the_same_time(spark, tmp_path):
+    """The log is complete and in order whatever finishes first."""
+    spark.range(4000).repartition(20).write.parquet(str(tmp_path / "t"))
+    listed = files.file_inventory(spark, str(tmp_path / "t"))
+    logs = [conform.schema_log(spark, listed, at_once=k).collect() for k in (1, 8)]
+    assert logs[0] == logs[1] and len(logs[0]) == 20 and {r.schema for r in logs[0]} == {"struct<id:bigint>"}
+
+
+def test_scratch_tables_have_a_life(spark):
+    """What the result reads stays, in subqueries too; the rest goes, also after an error."""
+    from pathlib import Path
+
+    from cohortlens.sources.shared import freeze, scratch_life, shared_root
+
+    def there():
+        return {p.name.rpartition("-")[0] for p in Path(shared_root(spark)).iterdir() if p.name.startswith("life")}
+
+    with scratch_life(spark) as keep:
+        a, b, c = (freeze(spark.range(k), f"life{k}") for k in (1, 2, 3))
+        assert there() == {"life1", "life2", "life3"}
+        out = keep(a.select("id", c.agg(F.max("id")).scalar().alias("top")))
+    assert there() == {"life1", "life3"} and [tuple(r) for r in out.collect()] == [(0, 2)]
+    with pytest.raises(ZeroDivisionError), scratch_life(spark):
+        freeze(spark.range(4), "life4")
+        1 / 0
+    assert there() == {"life1", "life3"}
