@@ -21,16 +21,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.tables import Scratch, bit_filter, components, has_bit
+from cohortlens.llm.simhash_trie import text_slices
+from cohortlens.llm.tables import Scratch, bit_filter, contract, has_bit
 from cohortlens.llm.text import mix, shingle_sets
 
 HUB_HASHES = 16
 HUB_SHARED = 6
 # One document in so many tells which shingles are frequent; it orders, it drops nothing.
 ORDER_SAMPLE, ORDER_HITS = 16, 3
-GROUP = 200
+GROUP = 64
+SLICE_BYTES = 1 << 20
 # Groups beyond which a shared shingle is settled in tiles of its cluster, not pair by pair.
 MANY, TILE = 64, 256
+# Sets of a cluster that every block of it meets, and probes after which marks are renewed.
+PIVOTS, RENEW = 32, 16
 SHORT = 2048
 _SEEDS = np.random.default_rng(4).integers(1, 1 << 63, (HUB_HASHES, 1), dtype=np.uint64) | np.uint64(1)
 
@@ -57,12 +61,13 @@ def prefix_length(n: int, percent: int) -> int:
 class Trie:
     """Sorted sets as paths; a chain without branches is one node holding all its tokens."""
 
-    __slots__ = ("tokens", "held", "children", "ends", "low", "high")
+    __slots__ = ("tokens", "held", "children", "ends", "low", "high", "kind")
 
     def __init__(self, tokens: np.ndarray):
         self.tokens, self.children, self.ends = tokens, {}, []
         self.held = frozenset(tokens.tolist()) if tokens.size <= SHORT else None  # quicker to intersect
         self.low = self.high = 0  # fewest and most tokens from the node's start to a set's end
+        self.kind = None  # the component of all sets below, if it is one
 
     @classmethod
     def of(cls, named: list[tuple[int, np.ndarray]]) -> Trie:
@@ -90,12 +95,23 @@ class Trie:
         self.low = self.tokens.size + min((x for x, _ in reach), default=0)
         self.high = self.tokens.size + max((x for _, x in reach), default=0)
 
-    def search(self, probe: np.ndarray, percent: int) -> Iterator[tuple[int, int, int]]:
-        """(name, size, overlap) of the stored sets that the probe links with."""
+    def mark(self, component) -> int | None:
+        """Notes at every node the one component of all sets below, asked by name; None if several."""
+        kinds = {component(name) for name in self.ends} | {child.mark(component) for child in self.children.values()}
+        self.kind = kinds.pop() if len(kinds) == 1 else None
+        return self.kind
+
+    def search(self, probe: np.ndarray, percent: int, known=None) -> Iterator[tuple[int, int, int]]:
+        """(name, size, overlap) of the stored sets that the probe links with.
+
+        Subtrees for whose component ``known`` is true are left out.
+        """
         own = frozenset(probe.tolist())
         stack = [(self, 0, 0, 0)]  # node, tokens above it, overlap so far, place in the probe
         while stack:
             node, depth, overlap, place = stack.pop()
+            if known is not None and node.kind is not None and known(node.kind):
+                continue
             if node.held is not None:
                 overlap += len(own & node.held)
             else:
@@ -113,11 +129,17 @@ class Trie:
                     stack.append((child, depth, overlap, place))
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut by the bytes of their texts, so sets of a few texts are held at a time."""
+    for batch in batches:
+        yield from text_slices(batch, "text", SLICE_BYTES)
+
+
 def _signatures(percent: int, width: int):
     schema = pa.schema([("key", pa.int64()), ("class", pa.int64()), ("n", pa.int64()), ("hashes", pa.binary()), ("sample", pa.list_(pa.int64()))])
 
     def run(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             rows = []
             for key, tokens in zip(batch.column("key").to_pylist(), shingle_sets(batch.column("text"), width)):
                 if not tokens.size:
@@ -136,7 +158,7 @@ def _some_sets(width: int, wanted: np.ndarray):
     schema = pa.schema([("class", pa.int64()), ("tokens", pa.binary())])
 
     def run(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             keep = has_bit(wanted, batch.column("key").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
             some = batch.filter(pa.array(keep))
             sets = [x for x in shingle_sets(some.column("text"), width)]
@@ -150,7 +172,7 @@ def _prefixes(percent: int, width: int, leads: np.ndarray, frequent: np.ndarray)
     schema = pa.schema([("class", pa.int64()), ("n", pa.int64()), ("edge", pa.int64()), ("prefix", pa.list_(pa.int64()))])
 
     def run(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             keep = has_bit(leads, batch.column("key").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
             some = batch.filter(pa.array(keep))
             names, sizes, edges, starts = [], [], [], []
@@ -245,37 +267,89 @@ def _open_pairs(posts: DataFrame, roots: DataFrame, percent: int, scratch: Scrat
     return counted.where(f"shared >= {_shortfall('n', 'm', left, percent)}").select("a", "b").distinct()
 
 
+def _joins(probes: list[tuple[int, np.ndarray]], stored: list[tuple[int, np.ndarray]], root: dict[int, int], percent: int) -> list[tuple[int, int]]:
+    """Links between the roots of the sets, as many as join what they join and no more.
+
+    What is joined already is not looked at again: marks in the trie are renewed now and
+    then, and subtrees of the probe's own component are left out.
+    """
+    top = {r: r for r in root.values()}
+
+    def find(r: int) -> int:
+        while top[r] != r:
+            top[r] = r = top[top[r]]
+        return r
+
+    trie, links, left = Trie.of(stored), [], len(top)
+    for k, (name, tokens) in enumerate(probes):
+        if left == 1:
+            break
+        if k % RENEW == 0:
+            trie.mark(lambda c: find(root[c]))
+        own = root[name]
+        for other, _, _ in trie.search(tokens, percent, lambda kind: find(kind) == find(own)):
+            a, b = find(own), find(root[other])
+            if a != b:
+                top[max(a, b)] = min(a, b)
+                links.append((own, root[other]))
+                left -= 1
+    return links
+
+
+def _walk_tile(percent: int):
+    def walk(rows: pd.DataFrame) -> pd.DataFrame:
+        """Sets of side 0 meet each other, those of side 1 meet those of side 2."""
+        root = dict(zip(rows["class"].tolist(), rows["root"].tolist()))
+        named = [(c, np.frombuffer(t, np.uint64)) for c, t in zip(rows["class"].tolist(), rows["tokens"])]
+        side = rows["side"].to_numpy()
+        probes, stored = ([x for x, s in zip(named, side) if s in wanted] for wanted in ((0, 1), (0, 2)))
+        links = _joins(probes, stored, root, percent) if probes and stored else []
+        return pd.DataFrame({"a": np.array([a for a, _ in links], np.int64), "b": np.array([b for _, b in links], np.int64)})
+
+    return walk
+
+
 def _in_tiles(members: DataFrame, keyed: DataFrame, classes: DataFrame, percent: int, width: int, scratch: Scratch) -> DataFrame:
-    """(a, b): links between members (cluster, class, root) of one cluster and different roots.
+    """(a, b): links between the roots of members (cluster, class, root) of one cluster.
 
-    A cluster is cut into blocks of about ``TILE`` sets; each pair of blocks is a tile, in
-    which the sets of one block walk the trie of the other. A set goes to one tile for each
-    block, so m members make about m * m / TILE rows; of its links to one root a tile
-    reports one.
+    A cluster is cut into blocks of about ``TILE`` sets. First each block is joined with
+    itself and with the same ``PIVOTS`` sets of its cluster, so that a dense family is one
+    component after as many rows as it has sets. Then sets of one large component form
+    parts of their own, the others share parts, and only parts that are not of one
+    component meet. Of the links in a tile only a spanning forest leaves it.
     """
     run, schema = _some_sets(width, bit_filter(members.join(classes, "class").select("lead"), "lead"))
     sets = scratch.keep(keyed.mapInArrow(run, schema).where("class is not null"), "cluster-sets")
-    sized = members.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("blocks"))
-    placed = members.join(sized, "cluster").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
-    each = placed.select("cluster", "class", "root", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    tiles = each.select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "class", "root", "block")
-    filled = tiles.join(sets, "class").select("cluster", "i", "j", "class", "root", "block", "tokens")
-
-    def walk(rows: pd.DataFrame) -> pd.DataFrame:
-        i, j = rows["i"].iloc[0], rows["j"].iloc[0]
-        root = dict(zip(rows["class"], rows["root"]))
-        sets = {c: np.frombuffer(t, np.uint64) for c, t in zip(rows["class"], rows["tokens"])}
-        probes, stored = rows["class"][rows["block"] == i], rows["class"][rows["block"] == j]
-        trie = Trie.of([(c, sets[c]) for c in stored])
-        found = {}
-        for c in probes if len(set(root.values())) > 1 else ():
-            for other, _, _ in trie.search(sets[c], percent):
-                if root[other] != root[c]:
-                    found.setdefault((c, root[other]), other)
-        return pd.DataFrame({"a": np.array([c for c, _ in found], np.int64), "b": np.array(list(found.values()), np.int64)})
-
-    out = scratch.keep(filled.groupBy("cluster", "i", "j").applyInPandas(walk, "a long, b long"), "tile-links")
-    scratch.drop(sets)
+    sized = members.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / TILE).alias("blocks"), F.ceil(F.count(F.lit(1)) / PIVOTS).alias("shares"))
+    block = F.pmod(F.xxhash64("class"), F.col("blocks"))
+    placed = members.join(sized, "cluster").select("cluster", "class", "root", "blocks", block.alias("block"), (F.pmod(F.xxhash64("class", F.lit(4)), F.col("shares")) == 0).alias("pivot"))
+    rows = placed.select("cluster", "class", "root", F.explode(F.when(F.col("pivot"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array("block"))).alias("block"))
+    filled = rows.join(sets, "class").withColumn("side", F.lit(0))
+    near = scratch.keep(filled.groupBy("cluster", "block").applyInPandas(_walk_tile(percent), "a long, b long"), "block-links")
+
+    joined = scratch.keep(contract(near, scratch), "block-roots")
+    rooted = members.join(joined, members["root"] == joined["node"], "left").select("cluster", "class", F.coalesce(joined["root"], members["root"]).alias("root"))
+    rooted = scratch.keep(rooted, "rooted")
+    kinds = rooted.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") >= TILE / 4)
+    kinds = scratch.keep(kinds.select("cluster", "root", F.col("root").alias("kind"), F.ceil(F.col("m") / TILE).alias("own_parts")), "kinds")
+    kinded = rooted.join(kinds, ["cluster", "root"], "left")
+    pool = scratch.keep(kinded.where("kind is null").groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / TILE).alias("pool_parts")), "pool")
+    every = kinds.select("cluster", "kind", F.col("own_parts").alias("parts")).union(pool.select("cluster", F.lit(None).cast("long"), "pool_parts"))
+    every = every.select("cluster", "kind", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    every = scratch.keep(every.withColumn("mark", F.xxhash64("kind", "part")), "parts")
+    x, y = every.alias("x"), every.alias("y")
+    # a cluster of one block has met itself in the first step and is left out below
+    meet = x.join(y, "cluster").where("x.mark <= y.mark and (x.kind is null or y.kind is null or x.kind <> y.kind)")
+    tiles = scratch.keep(meet.select("cluster", F.col("x.mark").alias("i"), F.col("y.mark").alias("j")), "tiles")
+    sides = tiles.select("cluster", "i", "j", F.inline(F.when(F.col("i") == F.col("j"), F.array(F.struct(F.col("i").alias("mark"), F.lit(0).alias("side")))).otherwise(
+        F.array(F.struct(F.col("i").alias("mark"), F.lit(1).alias("side")), F.struct(F.col("j").alias("mark"), F.lit(2).alias("side"))))))
+    single = sized.where("blocks = 1").select("cluster")
+    marked = kinded.join(pool, "cluster", "left").join(single, "cluster", "left_anti").select("cluster", "class", "root", F.xxhash64(
+        "kind", F.pmod(F.xxhash64("class", F.lit(5)), F.coalesce("own_parts", "pool_parts"))).alias("mark"))
+    far = marked.join(sides, ["cluster", "mark"]).join(sets, "class")
+    far = scratch.keep(far.groupBy("cluster", "i", "j").applyInPandas(_walk_tile(percent), "a long, b long"), "tile-links")
+    out = scratch.keep(near.union(far), "links")
+    scratch.drop(sets, near, joined, rooted, kinds, pool, every, tiles, far)
     return out
 
 
@@ -303,7 +377,7 @@ def similar_groups(docs: DataFrame, ident: str = "doc_id", text: str = "text", p
     stars = stars.where(F.col("shared") >= HUB_SHARED).join(classes.select(F.col("class").alias("a"), F.col("n").alias("m")), "a")
     stars = scratch.keep(stars.where(f"100 * least(n, m) >= {percent} * greatest(n, m)").select("a", "b"), "stars")
     near = verified(stars, keyed, classes, percent, width, scratch).select("a", "b")
-    joined = scratch.keep(components(near, scratch), "joined")
+    joined = scratch.keep(contract(near, scratch), "joined")
 
     # every pair that may link and is not joined yet, through the prefixes
     hot = signed.select(F.explode("sample").alias("token")).groupBy("token").count().where(F.col("count") >= ORDER_HITS)
@@ -323,12 +397,12 @@ def similar_groups(docs: DataFrame, ident: str = "doc_id", text: str = "text", p
     rest = verified(pairs, keyed, classes, percent, width, scratch).select("a", "b")
     # shingles of many groups, which only large families of near copies or short texts have in front
     crowd = scratch.keep(posts.join(many, "token").select("class", "root", "hub").distinct(), "crowd")
-    clusters = components(crowd.select(F.col("root").alias("a"), F.col("hub").alias("b")), scratch)
+    clusters = contract(crowd.select(F.col("root").alias("a"), F.col("hub").alias("b")), scratch)
     clusters = clusters.select(F.col("node").alias("group"), F.col("root").alias("cluster"))
     members = crowd.select("class", F.col("root").alias("group")).distinct().join(clusters, "group")
     members = scratch.keep(members.select("cluster", "class", F.col("group").alias("root")), "members")
     rest = rest.union(_in_tiles(members, keyed, classes, percent, width, scratch))
-    groups = scratch.keep(components(scratch.keep(near.union(rest), "links"), scratch), "groups")
+    groups = scratch.keep(contract(near.union(rest), scratch), "groups")
 
     rooted = classes.select("class", "lead").join(groups, classes["class"] == groups["node"], "left")
     rooted = rooted.select("class", "lead", F.coalesce("root", "class").alias("root"))

@@ -157,16 +157,16 @@ def contract(edges: DataFrame, scratch: Scratch, rounds: int = 60) -> DataFrame:
     """(node, root) for both ends of the edges (a, b), one root a component, whichever it is.
 
     In each round every node moves to the neighbour whose hash is least, itself included,
-    and edges follow their ends, so about half of the nodes or more go
-    and edges inside one place end. A round is one aggregate with partial sums; ``components``, which
+    and edges follow their ends, so most nodes go and edges inside one place end; a star
+    takes two rounds. A round is one aggregate with partial minima; ``components``, which
     also finds the smallest node, takes several.
     """
     now = scratch.keep(edges.where("a <> b").select("a", "b"), "edges")
     moves = []
-    for k in range(rounds):
+    for _ in range(rounds):
         if now.isEmpty():
             break
-        rank = lambda c: F.xxhash64(c, F.lit(k))  # noqa: B023, E731
+        rank = F.xxhash64
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min(F.struct(rank("b").alias("rank"), F.col("b").alias("to"))).alias("least"))
         move = scratch.keep(least.select(F.col("a").alias("node"), F.when(F.col("least.rank") < rank("a"), F.col("least.to")).otherwise(F.col("a")).alias("root")), "moves")

@@ -90,6 +90,18 @@ def test_trie_finds_what_pairwise_comparison_finds():
         assert set(trie.search(probe, 80)) == expect
 
 
+def test_joins_are_a_spanning_forest():
+    """A dense family leaves one link fewer than it has sets; what is joined already adds none."""
+    rng = np.random.default_rng(8)
+    core = rng.integers(0, 1 << 62, 100, dtype=np.uint64)
+    family = [(k, np.sort(np.concatenate([core[rng.permutation(100)[:95]], rng.integers(0, 1 << 62, 5, dtype=np.uint64)]))) for k in range(60)]
+    far = [(100 + k, np.sort(rng.integers(0, 1 << 62, 50, dtype=np.uint64))) for k in range(20)]
+    sets = family + far
+    links = prefix_tree_join._joins(sets, sets, {k: k for k, _ in sets}, 80)
+    assert len(links) == 59 and {x for link in links for x in link} == {k for k, _ in family}
+    assert prefix_tree_join._joins(sets, sets, {k: 0 if k < 60 else k for k, _ in sets}, 80) == []
+
+
 def test_join_edges(edges, nothing):
     rows = collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in prefix_tree_join.similar_groups(edges).collect())
     assert sum(rows.values()) == len(EDGES)
