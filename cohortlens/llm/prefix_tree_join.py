@@ -25,8 +25,8 @@ from cohortlens.llm.simhash_trie import text_slices
 from cohortlens.llm.tables import Scratch, bit_filter, contract, has_bit
 from cohortlens.llm.text import mix, shingle_sets
 
-HUB_HASHES = 16
-HUB_SHARED = 6
+HUB_HASHES = 8
+HUB_SHARED = 3
 # One document in so many tells which shingles are frequent; it orders, it drops nothing.
 ORDER_SAMPLE, ORDER_HITS = 16, 3
 GROUP = 64
@@ -136,7 +136,7 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _signatures(percent: int, width: int):
-    schema = pa.schema([("key", pa.int64()), ("class", pa.int64()), ("n", pa.int64()), ("hashes", pa.binary()), ("sample", pa.list_(pa.int64()))])
+    schema = pa.schema([("key", pa.int64()), ("class", pa.int64()), ("n", pa.int64()), ("hashes", pa.list_(pa.int64())), ("sample", pa.list_(pa.int64()))])
 
     def run(batches):
         for batch in _slices(batches):
@@ -147,10 +147,10 @@ def _signatures(percent: int, width: int):
                     continue
                 name = class_of(tokens)
                 low = (tokens * _SEEDS).min(1)
-                rows.append((key, name, tokens.size, low.tobytes(), _signed(tokens) if name % ORDER_SAMPLE == 0 else None))
+                rows.append((key, name, tokens.size, _signed(low), _signed(tokens) if name % ORDER_SAMPLE == 0 else None))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, schema.types)], schema=schema)
 
-    return run, "key long, class long, n long, hashes binary, sample array<long>"
+    return run, "key long, class long, n long, hashes array<long>, sample array<long>"
 
 
 def _some_sets(width: int, wanted: np.ndarray):
@@ -371,13 +371,14 @@ def similar_groups(docs: DataFrame, ident: str = "doc_id", text: str = "text", p
         F.min("key").alias("lead"), F.first("n").alias("n"), F.first("hashes").alias("hashes")), "classes")
 
     # hubs: classes that share many of their min-hashes with the smallest class of a bucket
-    each = classes.select("class", "n", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(HUB_HASHES - 1)), lambda k: F.substring("hashes", k * 8 + 1, F.lit(8)))).alias("k", "low"))
+    each = classes.select("class", "n", F.posexplode("hashes").alias("k", "low"))
     buckets = scratch.keep(each.groupBy("k", "low").agg(F.min("class").alias("hub"), F.count(F.lit(1)).alias("members")).where("members > 1").select("k", "low", "hub"), "buckets")
     stars = each.join(buckets, ["k", "low"]).where("class <> hub").groupBy(F.col("hub").alias("a"), F.col("class").alias("b"), "n").agg(F.count(F.lit(1)).alias("shared"))
     stars = stars.where(F.col("shared") >= HUB_SHARED).join(classes.select(F.col("class").alias("a"), F.col("n").alias("m")), "a")
     stars = scratch.keep(stars.where(f"100 * least(n, m) >= {percent} * greatest(n, m)").select("a", "b"), "stars")
     near = verified(stars, keyed, classes, percent, width, scratch).select("a", "b")
     joined = scratch.keep(contract(near, scratch), "joined")
+    scratch.drop(buckets, stars)
 
     # every pair that may link and is not joined yet, through the prefixes
     hot = signed.select(F.explode("sample").alias("token")).groupBy("token").count().where(F.col("count") >= ORDER_HITS)
@@ -389,14 +390,17 @@ def similar_groups(docs: DataFrame, ident: str = "doc_id", text: str = "text", p
     posts = prefixes.mapInArrow(run, schema)
     posts = scratch.keep(posts.join(joined, posts["class"] == joined["node"], "left").select(
         "token", "class", "n", "edge", F.coalesce("root", "class").alias("root")), "posts")
+    scratch.drop(prefixes, shared)
     roots = scratch.keep(posts.groupBy("token", "root").agg(F.min("n").alias("lo"), F.max("n").alias("hi")), "roots")
     spread = scratch.keep(roots.groupBy("token").agg(F.count(F.lit(1)).alias("k"), F.min("root").alias("hub")).where("k > 1"), "spread")
     few, many = spread.where(f"k <= {MANY}").select("token"), spread.where(f"k > {MANY}").select("token", "hub")
     open_ = scratch.keep(posts.join(few, "token", "left_semi"), "open")
     pairs = scratch.keep(_open_pairs(open_, scratch.keep(roots.join(few, "token", "left_semi"), "open-roots"), percent, scratch), "pairs")
     rest = verified(pairs, keyed, classes, percent, width, scratch).select("a", "b")
+    scratch.drop(open_, pairs)
     # shingles of many groups, which only large families of near copies or short texts have in front
     crowd = scratch.keep(posts.join(many, "token").select("class", "root", "hub").distinct(), "crowd")
+    scratch.drop(posts, roots, spread)
     clusters = contract(crowd.select(F.col("root").alias("a"), F.col("hub").alias("b")), scratch)
     clusters = clusters.select(F.col("node").alias("group"), F.col("root").alias("cluster"))
     members = crowd.select("class", F.col("root").alias("group")).distinct().join(clusters, "group")
@@ -408,7 +412,7 @@ def similar_groups(docs: DataFrame, ident: str = "doc_id", text: str = "text", p
     rooted = rooted.select("class", "lead", F.coalesce("root", "class").alias("root"))
     least = rooted.groupBy("root").agg(F.min("lead").alias("least"))
     final = scratch.keep(rooted.join(least, "root").select("class", "least"), "final")
-    scratch.drop(stars, joined, prefixes, shared, posts, roots, spread, open_, pairs, buckets, crowd, members)
+    scratch.drop(joined, crowd, members)
     out = signed.select("key", "class", "n").join(final, "class", "left")
     back = lambda c: F.nullif(c, none)
     return out.select(back(F.col("key")).alias(ident), F.col("n").alias("n_shingles"),
