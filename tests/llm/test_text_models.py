@@ -173,6 +173,26 @@ def test_lm_base_and_gain(spark, sf, monkeypatch):
     out.unpersist()
 
 
+def test_lm_is_the_same_in_any_layout(spark, sf):
+    """Scores do not depend on how documents lie in partitions, beyond the rounding of sums."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    one, two = ({r.doc_id: r.score for r in lbl_model.score_texts(d).collect()} for d in (docs.coalesce(1), docs.repartition(13)))
+    assert max(abs(one[k] - two[k]) / (1 + abs(one[k])) for k in one) < 1e-6
+
+
+def test_lm_head_takes_whole_levels(spark):
+    counts = spark.createDataFrame([(str(k).encode(), k) for k in range(1, 101)], "word binary, n long")
+    got = sorted(r.n for r in lbl_model.most_frequent(counts, 10).collect())
+    assert got and len(got) <= 10 and got == list(range(got[0], 101))
+    assert lbl_model.most_frequent(counts, 1000).count() == 100
+    assert lbl_model.most_frequent(counts.where("false"), 10).count() == 0
+
+
+def test_lm_vocabulary_grows():
+    sizes = [lbl_model.Lexicon({f"w{i}".encode(): 1 for i in range(5000)}, total=n, types=5000, ends=1).singles for n in (1000, 10**8, 10**9, 10**15)]
+    assert sizes == [240, 696, 1499, 2048]
+
+
 def test_lm_edges(edges, nothing):
     got = lbl_model.score_texts(edges)
     assert lm_rows(got) == base_by_hand([(i, t) for i, t, *_ in EDGES])
