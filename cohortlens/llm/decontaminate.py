@@ -23,6 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_type
 
 RATE = 0.15
 PIECE, FINE = 6, 4
@@ -98,7 +99,7 @@ def edit_distance_within(pattern: str, text: str) -> tuple[int, int]:
 
 @dataclass
 class Items:
-    ids: list[int]
+    ids: list
     texts: list[str]  # an item too short for any edit is asked for as whole words
     edits: np.ndarray
     sizes: np.ndarray
@@ -225,11 +226,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, ident: str = "doc_id", tex
     The benchmark is a stated query set; it is broadcast in blocks of bounded size and
     documents are read where they lie, once a block, without a shuffle. NULL or
     wordless texts and items match nothing; NULL item ids are left out; NULL document ids
-    come back as NULL. Equal rows each report. Either table may be empty.
+    come back as NULL; ids of both tables may have any type. Equal rows each report. Very long
+    texts are read whole, in blocks of characters. Either table may be empty.
     """
     spark = docs.sparkSession
-    schema = f"{ident} long, item_id long, distance int, start long"
-    names = [ident, "item_id", "distance", "start"]
+    schema = f"`{ident}` {docs.schema[ident].dataType.simpleString()}, item_id {benchmark.schema[item].dataType.simpleString()}, distance int, start long"
+    names, item_kind = [ident, "item_id", "distance", "start"], to_arrow_type(benchmark.schema[item].dataType)
     out = None
     for block in _blocks(benchmark, item, item_text):
         shared = spark.sparkContext.broadcast(Items.of(block, rate))
@@ -243,7 +245,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, ident: str = "doc_id", tex
                     best[row, k] = min((distance, start), best.get((row, k), (distance, start)))
                 rows = sorted(best)
                 yield pa.RecordBatch.from_arrays([
-                    ids.take(pa.array([r for r, _ in rows], pa.int64())).cast(pa.int64()), pa.array([items.ids[k] for _, k in rows], pa.int64()),
+                    ids.take(pa.array([r for r, _ in rows], pa.int64())), pa.array([items.ids[k] for _, k in rows], item_kind),
                     pa.array([best[x][0] for x in rows], pa.int32()), pa.array([best[x][1] for x in rows], pa.int64())], names=names)
 
         found = docs.select(ident, text).mapInArrow(run, schema)

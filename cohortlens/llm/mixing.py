@@ -84,13 +84,14 @@ def mix_sources(docs: DataFrame, weights: list[float] = (5, 2, 1), share: float
     cuts = met.groupBy(F.col("a.source").alias("source")).agg(F.max(F.struct("key", "ident", "digest")).alias("cut"))
     c = cuts.alias("c")
     plan = scratch.keep(b.join(c, F.col("b.source").eqNullSafe(F.col("c.source")), "left").select("b.*", "c.cut"), "mix-plan")
-    plan = plan.select(*[F.col(x).alias(f"__{x}") for x in plan.columns])
-    joined = keyed.join(plan, F.col(src).eqNullSafe(F.col("__source")), "left")
+    of = {x: spare_name(keyed, f"plan_{x}") for x in plan.columns}
+    plan = plan.select(*[F.col(x).alias(y) for x, y in of.items()])
+    joined = keyed.join(plan, F.col(src).eqNullSafe(F.col(of["source"])), "left")
     own = F.struct(F.col(key).alias("key"), F.col(ident).cast("string").alias("ident"), F.col(digest).alias("digest"))
-    epochs = F.coalesce(F.floor(F.col("__target") / F.nullif(F.col("__source_size"), F.lit(0))), F.lit(0))
-    drawn = F.coalesce((own <= F.col("__cut")), F.lit(False)).cast("long")
+    epochs = F.coalesce(F.floor(F.col(of["target"]) / F.nullif(F.col(of["source_size"]), F.lit(0))), F.lit(0))
+    drawn = F.coalesce((own <= F.col(of["cut"])), F.lit(False)).cast("long")
     return joined.withColumns({
-        "source_size": F.col("__source_size"), "target": F.col("__target"),
+        "source_size": F.col(of["source_size"]), "target": F.col(of["target"]),
         "taken": F.least(epochs + drawn, F.lit(int(most))) * F.col("size"),
     }).drop(key, digest, src, weight, *plan.columns)
 

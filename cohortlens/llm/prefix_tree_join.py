@@ -135,22 +135,22 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from text_slices(batch, "text", SLICE_BYTES)
 
 
-def _signatures(percent: int, width: int):
-    schema = pa.schema([("key", pa.int64()), ("class", pa.int64()), ("n", pa.int64()), ("hashes", pa.list_(pa.int64())), ("sample", pa.list_(pa.int64()))])
+def _signatures(width: int, kind: str):
+    types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
 
     def run(batches):
         for batch in _slices(batches):
             rows = []
-            for key, tokens in zip(batch.column("key").to_pylist(), shingle_sets(batch.column("text"), width)):
+            for tokens in shingle_sets(batch.column("text"), width):
                 if not tokens.size:
-                    rows.append((key, None, 0, None, None))
+                    rows.append((None, 0, None, None))
                     continue
                 name = class_of(tokens)
-                low = (tokens * _SEEDS).min(1)
-                rows.append((key, name, tokens.size, _signed(low), _signed(tokens) if name % ORDER_SAMPLE == 0 else None))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, schema.types)], schema=schema)
+                rows.append((name, tokens.size, _signed((tokens * _SEEDS).min(1)), _signed(tokens) if name % ORDER_SAMPLE == 0 else None))
+            yield pa.RecordBatch.from_arrays([batch.column("ident"), batch.column("key"), *(pa.array(c, t) for c, t in zip(zip(*rows), types))],
+                                             names=["ident", "key", "class", "n", "hashes", "sample"])
 
-    return run, "key long, class long, n long, hashes array<long>, sample array<long>"
+    return run, f"ident {kind}, key long, class long, n long, hashes array<long>, sample array<long>"
 
 
 def _some_sets(width: int, wanted: np.ndarray):
@@ -357,18 +357,21 @@ def similar_groups(docs: DataFrame, ident: str = "doc_id", text: str = "text", p
     """(ident, n_shingles, component_id): one row for each document.
 
     ``component_id`` is the smallest id that links reach, the document itself included.
-    NULL, empty or wordless text: no shingles, linked with nothing. NULL ids count as
-    the smallest long and come back as NULL. Rows with one id are looked at one by one and
-    share no link for it. Words are lower-cased in A-Z only. An empty frame stays empty.
+    NULL, empty or wordless text: no shingles, linked with nothing. A NULL id is never the
+    smallest; a component of NULL ids only has a NULL component. Ids may have any type that
+    can be ordered. Rows with one id are looked at one by one and share no link for it. Very
+    long texts are read whole, a few texts at a time. Words are lower-cased in A-Z only.
+    Other columns are not read. An empty frame stays empty.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    none = F.lit(-(1 << 63)).cast("long")
-    keyed = docs.select(F.coalesce(F.col(ident).cast("long"), none).alias("key"), F.col(text).cast("string").alias("text"))
-    run, schema = _signatures(percent, width)
-    signed = scratch.keep(keyed.mapInArrow(run, schema), "signatures")
+    given = docs.select(F.col(f"`{ident}`").alias("ident"), F.col(f"`{text}`").cast("string").alias("text"))
+    given = given.select("ident", F.xxhash64("ident", "text").alias("key"), "text")  # the key only finds rows again
+    keyed = given.select("key", "text")
+    run, schema = _signatures(width, given.schema["ident"].dataType.simpleString())
+    signed = scratch.keep(given.mapInArrow(run, schema), "signatures")
     classes = scratch.keep(signed.where("n > 0").groupBy("class").agg(
-        F.min("key").alias("lead"), F.first("n").alias("n"), F.first("hashes").alias("hashes")), "classes")
+        F.min("key").alias("lead"), F.min("ident").alias("least"), F.first("n").alias("n"), F.first("hashes").alias("hashes")), "classes")
 
     # hubs: classes that share many of their min-hashes with the smallest class of a bucket
     each = classes.select("class", "n", F.posexplode("hashes").alias("k", "low"))
@@ -408,12 +411,11 @@ def similar_groups(docs: DataFrame, ident: str = "doc_id", text: str = "text", p
     rest = rest.union(_in_tiles(members, keyed, classes, percent, width, scratch))
     groups = scratch.keep(contract(near.union(rest), scratch), "groups")
 
-    rooted = classes.select("class", "lead").join(groups, classes["class"] == groups["node"], "left")
-    rooted = rooted.select("class", "lead", F.coalesce("root", "class").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("lead").alias("least"))
-    final = scratch.keep(rooted.join(least, "root").select("class", "least"), "final")
+    rooted = classes.select("class", "least").join(groups, classes["class"] == groups["node"], "left")
+    rooted = rooted.select("class", "least", F.coalesce("root", "class").alias("root"))
+    smallest = rooted.groupBy("root").agg(F.min("least").alias("smallest"))
+    final = scratch.keep(rooted.join(smallest, "root").select("class", "smallest"), "final")
     scratch.drop(joined, crowd, members)
-    out = signed.select("key", "class", "n").join(final, "class", "left")
-    back = lambda c: F.nullif(c, none)
-    return out.select(back(F.col("key")).alias(ident), F.col("n").alias("n_shingles"),
-                      back(F.coalesce("least", "key")).alias("component_id"))
+    out = signed.select("ident", "class", "n").join(final, "class", "left")
+    return out.select(F.col("ident").alias(ident), F.col("n").alias("n_shingles"),
+                      F.when(F.col("n") > 0, F.col("smallest")).otherwise(F.col("ident")).alias("component_id"))

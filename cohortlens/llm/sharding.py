@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.tables import Scratch, number_rows
+from cohortlens.llm.tables import Scratch, number_rows, spare_name
 
 ROUNDS = 6
 
@@ -76,8 +76,9 @@ def shard_rows(frame: DataFrame, keys: list[Column], shards: int, seed: int) ->
     scratch = Scratch(frame.sparkSession)
     base = frame.drop("row_number", "shard", "slot")
     numbered, n = number_rows(base, keys, scratch)
-    placed = numbered.withColumn("_place", permuted(F.col("row_number"), max(n, 1), seed))
+    place = spare_name(numbered, "_place")
+    placed = numbered.withColumn(place, permuted(F.col("row_number"), max(n, 1), seed))
     return placed.withColumns({
-        "shard": F.pmod("_place", F.lit(shards)).cast("int"),
-        "slot": F.expr(f"_place div {shards}"),
-    }).drop("_place")
+        "shard": F.pmod(place, F.lit(shards)).cast("int"),
+        "slot": F.expr(f"`{place}` div {shards}"),
+    }).drop(place)

@@ -70,9 +70,10 @@ def number_rows(frame: DataFrame, keys: list[Column], scratch: Scratch, name: st
     # one row for each partition of the write
     starts = scratch.keep(sizes.select(F.col("_part"), "_rows", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")), "starts")
     n = starts.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
-    starts = starts.select(F.col("_part").alias("__part"), F.col("_start").alias("__start"))
-    out = kept.withColumn("__part", part).join(F.broadcast(starts), "__part")
-    return out.withColumn(name, F.col("__start") + place).drop("__part", "__start", mark), n
+    at, first = spare_name(kept, "part"), spare_name(kept, "start")
+    starts = starts.select(F.col("_part").alias(at), F.col("_start").alias(first))
+    out = kept.withColumn(at, part).join(F.broadcast(starts), at)
+    return out.withColumn(name, F.col(first) + place).drop(at, first, mark), n
 
 
 def running_sums(frame: DataFrame, group: str, order: list[str], value: str, scratch: Scratch, name: str = "upto") -> DataFrame:

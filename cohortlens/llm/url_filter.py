@@ -179,12 +179,13 @@ def judge_urls(pages: DataFrame, rules: list[Rule], url: str = "url", html: str
     scored = placed.withColumn(found, F.when(F.col("host") != "", judge("host", "path"))).withColumn("bad_odds", F.col(f"{found}.odds"))
     if bayes.size > len(bayes.words):  # urls with rarer words; no such word is met more often than the HEAD
         rare = F.coalesce(F.size(f"{found}.rare"), F.lit(0)) > 0
-        urls = scored.where(rare).select(F.col("host").alias("_h"), F.col("path").alias("_p"), F.col(f"{found}.rare").alias("_rare")).dropDuplicates(["_h", "_p"])
+        h, p, more = (spare_name(scored, c) for c in ("_host", "_path", "_more"))
+        urls = scored.where(rare).select(F.col("host").alias(h), F.col("path").alias(p), F.col(f"{found}.rare").alias("_rare")).dropDuplicates([h, p])
         weights = counts.select("word", bayes.weigh(F.col("good"), F.col("bad")).alias("_weight"))
-        more = urls.select("_h", "_p", F.explode("_rare").alias("word")).join(weights, "word").groupBy("_h", "_p").agg(F.sum("_weight").alias("_more"))
+        added = urls.select(h, p, F.explode("_rare").alias("word")).join(weights, "word").groupBy(h, p).agg(F.sum("_weight").alias(more))
         columns = scored.columns
-        met = scored.where(rare).join(more, (F.col("host") == F.col("_h")) & (F.col("path") == F.col("_p")), "left")
-        met = met.withColumn("bad_odds", F.col("bad_odds") + F.coalesce("_more", F.lit(0.0))).select(*[f"`{c}`" for c in columns])
+        met = scored.where(rare).join(added, (F.col("host") == F.col(h)) & (F.col("path") == F.col(p)), "left")
+        met = met.withColumn("bad_odds", F.col("bad_odds") + F.coalesce(more, F.lit(0.0))).select(*[f"`{c}`" for c in columns])
         scored = scored.where(~rare).unionByName(met)
     scored = scored.drop(found)
     return scored.withColumns({"rule": text, known: verdict}).withColumn(

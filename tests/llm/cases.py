@@ -3,7 +3,8 @@
 import re
 
 LONG = " ".join(f"word{i % 977} and" for i in range(60_000))  # about 0.7 MB, longer than most blocks
-CLASH = ["size", "shard", "slot", "score", "lang_pred", "row_number", "key", "class", "n", "token", "_part", "taken", "host", "held_out"]
+CLASH = ["size", "shard", "slot", "score", "lang_pred", "row_number", "key", "class", "n", "token", "_part", "taken", "host", "held_out",
+         "rule", "verdict", "bad_odds", "url", "item_id", "start", "_h", "_p", "_more", "_place", "__part", "__start", "part", "plan_source", "__source", "__target", "__cut", "_id", "_time", "ident", "print", "place"]
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 

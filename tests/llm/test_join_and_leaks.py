@@ -90,6 +90,17 @@ def test_trie_finds_what_pairwise_comparison_finds():
         assert set(trie.search(probe, 80)) == expect
 
 
+def test_ids_of_any_type(spark):
+    text = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([("b", text), ("a", text), (None, text), ("c", None), (None, "alone")], "doc_id string, text string")
+    got = collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in prefix_tree_join.similar_groups(docs).collect())
+    assert got == {("a", 6, "a"): 1, ("b", 6, "a"): 1, (None, 6, "a"): 1, ("c", 0, "c"): 1, (None, 1, None): 1}
+    bench = spark.createDataFrame([("x", text)], "item_id string, text string")
+    found = decontaminate.find_leaks(docs, bench)
+    assert found.schema["item_id"].dataType.simpleString() == "string"
+    assert collections.Counter((r.doc_id, r.item_id) for r in found.collect()) == {("a", "x"): 1, ("b", "x"): 1, (None, "x"): 1}
+
+
 def test_joins_are_a_spanning_forest():
     """A dense family leaves one link fewer than it has sets; what is joined already adds none."""
     rng = np.random.default_rng(8)
@@ -108,7 +119,7 @@ def test_join_edges(edges, nothing):
     assert rows[2, 0, 2] == rows[3, 0, 3] == rows[4, 0, 4] == 1  # no words, no links
     assert rows[5, 1, 5] == rows[6, 1, 5] == 1  # short texts are one shingle
     assert rows[7, 1, 7] == 2  # repeated rows
-    assert rows[None, 4, None] == 1 and rows[1, 4, None] == 1  # the NULL id counts as the smallest
+    assert rows[None, 4, 1] == 1 and rows[1, 4, 1] == 1  # a NULL id is never the smallest
     assert prefix_tree_join.similar_groups(nothing).count() == 0
 
 
