@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.llm import decontaminate, mixing, prefix_tree_join, sharding, string_kernel
-from cohortlens.llm.tables import Scratch, read
+from cohortlens.llm.tables import Scratch, read, spare_name
 
 # Clean texts that quote another language score from about 0.4 up.
 LEAST_LANGUAGE_SCORE = 0.35
@@ -28,14 +28,15 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     NULL id form no group and stay. Of rows alike in id and text one stays; an id that
     leads one group and also stands elsewhere, with another text, stays."""
     groups = Scratch(spark).keep(prefix_tree_join.similar_groups(docs), "groups").where(F.col("doc_id").isNotNull())
-    leads = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    copies = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct().join(leads, "_id", "left_anti")
-    kept = docs.join(copies, F.col("doc_id") == F.col("_id"), "left_anti")
-    repeated = groups.groupBy(F.col("doc_id").alias("_id")).count().where("count > 1").select("_id")
+    one = spare_name(docs, "_id")
+    leads = groups.where("doc_id = component_id").select(F.col("doc_id").alias(one)).distinct()
+    copies = groups.where("doc_id <> component_id").select(F.col("doc_id").alias(one)).distinct().join(leads, one, "left_anti")
+    kept = docs.join(copies, F.col("doc_id") == F.col(one), "left_anti")
+    repeated = groups.groupBy(F.col("doc_id").alias(one)).count().where("count > 1").select(one)
     if repeated.isEmpty():
         return kept
-    once = kept.join(repeated, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(repeated, F.col("doc_id") == F.col("_id"), "left_anti").union(once)
+    once = kept.join(repeated, F.col("doc_id") == F.col(one), "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(repeated, F.col("doc_id") == F.col(one), "left_anti").union(once)
 
 
 def no_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +47,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each time the mix takes the document; rows it never takes go."""
     taken = mixing.mix_sources(docs)
     times = F.when(F.col("size") > 0, F.expr("taken div size")).otherwise(0).cast("int")
-    return taken.withColumn("_time", F.explode(F.array_repeat(F.lit(0), times))).select(*docs.columns)
+    return taken.withColumn(spare_name(taken, "_time"), F.explode(F.array_repeat(F.lit(0), times))).select(*docs.columns)
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
