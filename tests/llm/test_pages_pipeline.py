@@ -174,7 +174,7 @@ def test_url_edges(spark):
 
 def test_every_operator_has_its_query():
     names = [k for k in entry_file.queries() if k.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry_file.queries()
 
 
