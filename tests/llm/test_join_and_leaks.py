@@ -181,18 +181,63 @@ def test_recall_and_precision_on_planted_passages(spark, sf):
     assert kept == {k for k, _ in rows} - {d for d, _ in found}
 
 
-def test_walks_of_near_strings_agree():
+def test_walks_read_what_the_coins_say():
+    text = "the walk of 日本 reads é letters, one after another; x"
+    chars = decontaminate.codes(text)
+    starts = decontaminate.word_starts(chars)
+    assert starts.tolist() == [k for k, c in enumerate(text) if c != " " and (k == 0 or text[k - 1] == " " or ord(c) >= 0x0E00)]
+    read = decontaminate.symbols(chars)
+    for w in range(decontaminate.WALKS):
+        keys, ends = decontaminate.walk(read, starts, w)
+        seen = []
+        for start, end in zip(starts.tolist(), ends.tolist()):
+            place, steps = start, []
+            for k in range(decontaminate.STEPS):
+                steps.append(int(read[min(place, read.size - 1)]))
+                place += int(decontaminate._COINS[w, k, steps[-1]])
+            assert place == end
+            seen.append(steps)
+        for key, sampled in zip(keys, decontaminate._SAMPLED[w]):
+            parts = [tuple(steps[k] for k in sorted(sampled)) for steps in seen]
+            assert len(set(parts)) == len(set(key.tolist())) == len(set(zip(parts, key.tolist())))
+    assert decontaminate.word_starts(decontaminate.codes("")).size == 0
+
+
+def test_an_edit_leaves_most_of_a_walk():
+    """From a word on, a walk over a copy with an edit soon reads the same steps again."""
     rng = np.random.default_rng(3)
-    shares = []
-    for _ in range(80):
-        s = rng.choice(list(b"etaoinshr dlu"), 240).astype(np.uint8)
-        t = s.copy()
-        for at in rng.integers(0, 230, int(decontaminate.RATE * 240)):
-            at = min(at, t.size - 1)
-            t = np.delete(t, at) if rng.random() < 0.5 else np.insert(t, at, 101)
-        a, b = decontaminate.walks([s, t[:240]], 720)
-        shares.append((a == b).mean())
-    assert np.quantile(shares, 0.1) >= decontaminate.AGREE
+    same = 0
+    for _ in range(300):
+        s = rng.choice(list(b"etaoinshrdlu"), 60).astype(np.uint32)
+        t = np.delete(s, 1) if rng.random() < 0.5 else np.insert(s, 1, ord("z"))
+        at = np.zeros(1, np.int64)
+        ends = [decontaminate.walk(decontaminate.symbols(x), at, int(w))[1][0] for w in [rng.integers(decontaminate.WALKS)] for x in (s, t)]
+        same += ends[1] - ends[0] == t.size - s.size  # at the same place of the unchanged rest
+    assert same > 150
+
+
+@pytest.mark.parametrize("rate, least", [(0.05, 1.0), (0.1, 0.999), (0.15, 0.99)])
+def test_recall_of_walks_by_rate_of_edits(rate, least):
+    """Items of STARTS words and more, characters edited at random places; pieces play no part."""
+    rng = random.Random(15)
+    letters = "etaoinshrdlucmf"
+    words_ = ["".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(2000)]
+    items = [(k, " ".join(rng.choices(words_, k=rng.randint(decontaminate.STARTS, 60)))) for k in range(100)]
+    texts, expect = [], set()
+    for k, item in items * 6:
+        passage = list(item)
+        for at in sorted(rng.sample(range(len(passage)), int(rate * len(item))), reverse=True):
+            passage[at:at + 1] = rng.choice([[], [rng.choice(letters)], [passage[at], rng.choice(letters)]])
+        around = " ".join(rng.choices(words_, k=30))
+        texts.append(f"{around} {''.join(passage)} {around}")
+        if decontaminate.edit_distance_within(item, decontaminate.plain(texts[-1]))[0] <= int(decontaminate.RATE * len(item)):
+            expect.add((len(texts) - 1, k))
+    known = decontaminate.Items.of(items, decontaminate.RATE)
+    assert not known.pieces and len(expect) > 500
+    found = {(row, k) for row, k, *_ in decontaminate.leaks_in(known, pa.array(texts))}
+    assert found <= expect and len(found) >= least * len(expect)
+    every = decontaminate.Items.of(items, decontaminate.RATE, every=True)
+    assert {(row, k) for row, k, *_ in decontaminate.leaks_in(every, pa.array(texts))} == expect
 
 
 def test_typing_errors_spread_over_all_words_are_found():
