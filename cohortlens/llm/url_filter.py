@@ -3,8 +3,10 @@
 Host names run words together. A unigram model learned from the pages splits each label
 into its most probable words (Viterbi). Rules decide first, the longest that fits; other
 urls go to a multinomial naive Bayes classifier over the words of host and path. Its
-samples are the urls themselves, labelled bad when their host holds a word of a short list
-that leaves no doubt; so the words found beside those count against other hosts too.
+samples are the urls themselves. At first those are bad whose host holds a word of a short
+list that leaves no doubt; a url that the classifier then calls bad with ``CONFIDENT`` odds
+is a bad sample in the next of ``ROUNDS`` rounds, so that hosts without any listed word are
+known by the words they share with listed ones, and in turn make others known.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ PLAIN_LABELS = {"www", "m", "com", "net", "org", "co", "info", "edu", "gov"}
 VOCABULARY = 50_000  # words that the splitter knows
 HEAD = 50_000  # words whose weights every task holds; the others are joined
 LONGEST_WORD = 24
+ROUNDS = 2  # of counting; the first knows only listed hosts
+CONFIDENT = math.log(9)
 KNOWN_COUNT = 1_000
 
 
@@ -125,34 +129,80 @@ class Bayes:
         return F.log((bad + 1) / F.lit(float(self.totals[1]))) - F.log((good + 1) / F.lit(float(self.totals[0])))
 
 
-def learn(pages: DataFrame, url: str, html: str, vocabulary: int = VOCABULARY) -> tuple[Splitter, Bayes, DataFrame]:
+def most_frequent(counts: DataFrame, order: str, limit: int) -> list:
+    """The rows of a written table with the ``limit`` highest numbers; of those that tie for the
+    last places, the first words. The cut-off comes from how often each number occurs, so the
+    driver receives no more rows than it keeps, and as many numbers as differ."""
+    left, cut = limit, None
+    for row in counts.groupBy(order).count().orderBy(F.desc(order)).toLocalIterator():
+        if row["count"] > left:
+            cut = row[order]
+            break
+        left -= row["count"]
+    if cut is None:
+        return counts.collect()
+    tied = counts.where(F.col(order) == cut).orderBy("word").limit(left).collect() if left else []
+    return counts.where(F.col(order) > cut).collect() + tied
+
+
+def _odds(base: DataFrame, splitter: Splitter, bayes: Bayes, counts: DataFrame) -> DataFrame:
+    """``base``, which has ``host`` and ``path``, with ``bad_odds``, NULL where the host is empty."""
+    shared = base.sparkSession.sparkContext.broadcast((splitter, bayes))
+
+    @F.pandas_udf("odds double, rare array<string>")
+    def judge(hosts: pd.Series, paths: pd.Series) -> pd.DataFrame:
+        split, model = shared.value
+        return pd.DataFrame([model.score(features(h, p, split)[0]) for h, p in zip(hosts, paths)], columns=["odds", "rare"])
+
+    found = spare_name(base, "_found")
+    scored = base.withColumn(found, F.when(F.col("host") != "", judge("host", "path"))).withColumn("bad_odds", F.col(f"{found}.odds"))
+    if bayes.size > len(bayes.words):  # urls with rarer words; no such word is met more often than the HEAD
+        rare = F.coalesce(F.size(f"{found}.rare"), F.lit(0)) > 0
+        h, p, more = (spare_name(scored, c) for c in ("_host", "_path", "_more"))
+        urls = scored.where(rare).select(F.col("host").alias(h), F.col("path").alias(p), F.col(f"{found}.rare").alias("_rare")).dropDuplicates([h, p])
+        weights = counts.select("word", bayes.weigh(F.col("good"), F.col("bad")).alias("_weight"))
+        added = urls.select(h, p, F.explode("_rare").alias("word")).join(weights, "word").groupBy(h, p).agg(F.sum("_weight").alias(more))
+        columns = scored.columns
+        met = scored.where(rare).join(added, (F.col("host") == F.col(h)) & (F.col("path") == F.col(p)), "left")
+        met = met.withColumn("bad_odds", F.col("bad_odds") + F.coalesce(more, F.lit(0.0))).select(*[f"`{c}`" for c in columns])
+        scored = scored.where(~rare).unionByName(met)
+    return scored.drop(found)
+
+
+def learn(pages: DataFrame, url: str, html: str, vocabulary: int = VOCABULARY, rounds: int = ROUNDS) -> tuple[Splitter, Bayes, DataFrame]:
     """Word counts over all pages, of which the ``vocabulary`` most frequent split hosts, then
-    word counts by label over all urls: a table of all, of which ``HEAD`` reach the driver."""
+    word counts by label over all urls, in rounds: a table of all, of which ``HEAD`` reach the driver."""
+    scratch = Scratch(pages.sparkSession)
     visible = F.regexp_replace(F.lower(F.col(html)), r"(?s)<script.*?</script>|<style.*?</style>|<[^>]*>|&[#a-z0-9]+;", " ")
     seen = pages.select(F.explode(F.regexp_extract_all(visible, F.lit(r"[a-z]{2,24}"), 0)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    top = seen.where("n > 1").orderBy(F.desc("n"), "word").limit(vocabulary).collect()
+    top = most_frequent(scratch.keep(seen.where("n > 1"), "page-words"), "n", vocabulary)
     splitter = Splitter({r["word"]: r["n"] for r in top})
     host, path = host_and_path(F.col(url))
+    urls = pages.select(host.alias("host"), path.alias("path")).where("host <> ''")
 
     def count(batches):
         for batch in batches:
             totals: dict[str, list[int]] = {}
-            for h, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for h, p, odds in zip(*(column.to_pylist() for column in batch.columns)):
                 words, bad = features(h, p, splitter)
                 for w in [*words, ""]:
-                    totals.setdefault(w, [0, 0])[bad] += 1
+                    totals.setdefault(w, [0, 0])[bad or odds > CONFIDENT] += 1
             yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.string()), pa.array([c[0] for c in totals.values()], pa.int64()),
                                               pa.array([c[1] for c in totals.values()], pa.int64())], names=["word", "good", "bad"])
 
-    summed = pages.select(host.alias("host"), path.alias("path")).where("host <> ''").mapInArrow(count, "word string, good long, bad long")
-    summed = summed.groupBy("word").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
-    counts = Scratch(pages.sparkSession).keep(summed, "url-words")
-    told = F.col("word") != ""
-    size, good, bad = counts.where(told).agg(F.count(F.lit(1)), F.coalesce(F.sum("good"), F.lit(0)), F.coalesce(F.sum("bad"), F.lit(0))).first()
-    rows = counts.orderBy(told, F.desc(F.col("good") + F.col("bad")), "word").limit(HEAD + 1).collect()
-    words = {r["word"]: (r["good"], r["bad"]) for r in rows}
-    urls = words.pop("", (0, 0))
-    return splitter, Bayes(words, urls, size, (good, bad)), counts.where(told)
+    scored = urls.withColumn("bad_odds", F.lit(0.0))
+    for left in reversed(range(rounds)):
+        summed = scored.select("host", "path", "bad_odds").mapInArrow(count, "word string, good long, bad long")
+        summed = summed.groupBy("word").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+        counts = scratch.keep(summed.withColumn("n", F.col("good") + F.col("bad")), "url-words")
+        told = counts.where("word <> ''")
+        size, good, bad = told.agg(F.count(F.lit(1)), F.coalesce(F.sum("good"), F.lit(0)), F.coalesce(F.sum("bad"), F.lit(0))).first()
+        words = {r["word"]: (r["good"], r["bad"]) for r in most_frequent(told, "n", HEAD)}
+        whole = counts.where("word = ''").first()
+        bayes = Bayes(words, (whole["good"], whole["bad"]) if whole else (0, 0), size, (good, bad))
+        if left:
+            scored = _odds(urls, splitter, bayes, told)
+    return splitter, bayes, told
 
 
 def judge_urls(pages: DataFrame, rules: list[Rule], url: str = "url", html: str = "html") -> DataFrame:
@@ -163,30 +213,10 @@ def judge_urls(pages: DataFrame, rules: list[Rule], url: str = "url", html: str
     replaced. The html is read only for word counts; without any, words split less well.
     """
     splitter, bayes, counts = learn(pages, url, html)
-    shared = pages.sparkSession.sparkContext.broadcast((splitter, bayes))
     host, path = host_and_path(F.col(url))
     base = pages.drop("host", "path", "rule", "verdict", "bad_odds")
-
-    @F.pandas_udf("odds double, rare array<string>")
-    def judge(hosts: pd.Series, paths: pd.Series) -> pd.DataFrame:
-        split, model = shared.value
-        return pd.DataFrame([model.score(features(h, p, split)[0]) for h, p in zip(hosts, paths)], columns=["odds", "rare"])
-
-    placed = base.withColumns({"host": host, "path": path})
-    text, verdict = rule_for(F.col("host"), F.col("path"), rules)
     known = spare_name(base, "_known")
-    found = spare_name(base, "_found")
-    scored = placed.withColumn(found, F.when(F.col("host") != "", judge("host", "path"))).withColumn("bad_odds", F.col(f"{found}.odds"))
-    if bayes.size > len(bayes.words):  # urls with rarer words; no such word is met more often than the HEAD
-        rare = F.coalesce(F.size(f"{found}.rare"), F.lit(0)) > 0
-        h, p, more = (spare_name(scored, c) for c in ("_host", "_path", "_more"))
-        urls = scored.where(rare).select(F.col("host").alias(h), F.col("path").alias(p), F.col(f"{found}.rare").alias("_rare")).dropDuplicates([h, p])
-        weights = counts.select("word", bayes.weigh(F.col("good"), F.col("bad")).alias("_weight"))
-        added = urls.select(h, p, F.explode("_rare").alias("word")).join(weights, "word").groupBy(h, p).agg(F.sum("_weight").alias(more))
-        columns = scored.columns
-        met = scored.where(rare).join(added, (F.col("host") == F.col(h)) & (F.col("path") == F.col(p)), "left")
-        met = met.withColumn("bad_odds", F.col("bad_odds") + F.coalesce(more, F.lit(0.0))).select(*[f"`{c}`" for c in columns])
-        scored = scored.where(~rare).unionByName(met)
-    scored = scored.drop(found)
+    text, verdict = rule_for(F.col("host"), F.col("path"), rules)
+    scored = _odds(base.withColumns({"host": host, "path": path}), splitter, bayes, counts)
     return scored.withColumns({"rule": text, known: verdict}).withColumn(
         "verdict", F.coalesce(F.col(known), F.when(F.col("bad_odds") > 0, F.lit("block")).otherwise(F.lit("allow")))).drop(known)

@@ -1,7 +1,9 @@
+import collections
 import importlib
 import itertools
 import math
 import random
+import re
 
 import pytest
 from cases import EDGES
@@ -158,6 +160,55 @@ def test_rare_words_count_like_frequent_ones(spark, monkeypatch):
     assert all(got[k][1] == pytest.approx(whole[k][1]) for k in whole) and len(got) == len(rows)
 
 
+def planted_urls():
+    """Listed hosts, a family that shares words with them, one that shares words with that family, and plain hosts."""
+    rng = random.Random(4)
+    listed = ["bonus-casino-prize", "megabonuspoker", "prize-slots-win", "winbonusbets", "jackpot-prize-bonus"]
+    family = ["bonus-prize-win", "megabonuswin", "prizewinbonus"]  # no listed word
+    plain = ["gardenmusic", "travelnews", "health-forum", "wikimusic", "store-travel", "newsgames", "homegarden", "market-news"]
+    rows = [(h, f"http://www.{h}{rng.randrange(9)}.example/{rng.choice(['en', 'de'])}/{rng.randrange(999)}.html")
+            for h, n in [(h, 12) for h in listed] + [(h, 3) for h in family] + [(h, 60) for h in plain] for _ in range(n)]
+    rng.shuffle(rows)
+    return [(k, h, u, "<p>bonus prize garden music travel</p>") for k, (h, u) in enumerate(rows)], family, set(plain)
+
+
+def test_bayes_decides_hosts_without_listed_words(spark):
+    rows, family, plain = planted_urls()
+    pages = spark.createDataFrame(rows, "page_id long, kind string, url string, html string")
+    got = url_filter.judge_urls(pages, []).collect()
+    assert {r.kind for r in got if r.verdict == "allow"} == plain
+    assert {r.kind for r in got if r.verdict == "block"}.issuperset(family)
+
+
+def test_odds_by_brute_force(spark):
+    """The rounds of counting, redone in plain Python over the whole table."""
+    rows, *_ = planted_urls()
+    pages = spark.createDataFrame(rows, "page_id long, kind string, url string, html string")
+    got = {r.page_id: r.bad_odds for r in url_filter.judge_urls(pages, []).collect()}
+    words_of_pages = collections.Counter(w for *_, html in rows for w in re.findall("[a-z]{2,}", re.sub("<[^>]*>", " ", html)))
+    splitter = url_filter.Splitter(dict(words_of_pages))
+    samples = {k: url_filter.features(*re.match("http://([^/]*)(.*)", u).groups(), splitter) for k, _, u, _ in rows}
+    odds = dict.fromkeys(samples, 0.0)
+    for _ in range(url_filter.ROUNDS):
+        counts, urls = (collections.Counter(), collections.Counter()), [0, 0]
+        for k, (found, listed) in samples.items():
+            bad = listed or odds[k] > math.log(9)
+            counts[bad].update(found)
+            urls[bad] += 1
+        size = len(counts[0].keys() | counts[1].keys())
+        share = [{w: math.log((c[w] + 1) / (c.total() + size + 1)) for w in counts[0].keys() | counts[1].keys()} for c in counts]
+        odds = {k: math.log((urls[1] + 1) / (urls[0] + 1)) + sum(share[1][w] - share[0][w] for w in found) for k, (found, _) in samples.items()}
+    assert got == pytest.approx(odds)
+
+
+def test_most_frequent_words_with_ties(spark, tmp_path):
+    rows = [("d", 3), ("a", 1), ("c", 3), ("b", 3), ("e", 9), ("f", 1)]
+    table = spark.createDataFrame(rows, "word string, n long")
+    for k in range(8):
+        want = sorted(rows, key=lambda r: (-r[1], r[0]))[:k]
+        assert sorted(tuple(r) for r in url_filter.most_frequent(table, "n", k)) == sorted(want)
+
+
 def test_url_edges(spark):
     got = url_filter.judge_urls(page_edges(spark), queries.URL_RULES).collect()
     assert len(got) == 8
