@@ -175,8 +175,9 @@ def learn(pages: DataFrame, url: str, html: str, vocabulary: int = VOCABULARY, r
     scratch = Scratch(pages.sparkSession)
     visible = F.regexp_replace(F.lower(F.col(html)), r"(?s)<script.*?</script>|<style.*?</style>|<[^>]*>|&[#a-z0-9]+;", " ")
     seen = pages.select(F.explode(F.regexp_extract_all(visible, F.lit(r"[a-z]{2,24}"), 0)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    top = most_frequent(scratch.keep(seen.where("n > 1"), "page-words"), "n", vocabulary)
-    splitter = Splitter({r["word"]: r["n"] for r in top})
+    repeated = scratch.keep(seen.where("n > 1"), "page-words")
+    splitter = Splitter({r["word"]: r["n"] for r in most_frequent(repeated, "n", vocabulary)})
+    scratch.drop(repeated)
     host, path = host_and_path(F.col(url))
     urls = pages.select(host.alias("host"), path.alias("path")).where("host <> ''")
 
@@ -190,11 +191,13 @@ def learn(pages: DataFrame, url: str, html: str, vocabulary: int = VOCABULARY, r
             yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.string()), pa.array([c[0] for c in totals.values()], pa.int64()),
                                               pa.array([c[1] for c in totals.values()], pa.int64())], names=["word", "good", "bad"])
 
-    scored = urls.withColumn("bad_odds", F.lit(0.0))
+    scored, counts = urls.withColumn("bad_odds", F.lit(0.0)), None
     for left in reversed(range(rounds)):
         summed = scored.select("host", "path", "bad_odds").mapInArrow(count, "word string, good long, bad long")
         summed = summed.groupBy("word").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
-        counts = scratch.keep(summed.withColumn("n", F.col("good") + F.col("bad")), "url-words")
+        before, counts = counts, scratch.keep(summed.withColumn("n", F.col("good") + F.col("bad")), "url-words")
+        if before is not None:
+            scratch.drop(before)
         told = counts.where("word <> ''")
         size, good, bad = told.agg(F.count(F.lit(1)), F.coalesce(F.sum("good"), F.lit(0)), F.coalesce(F.sum("bad"), F.lit(0))).first()
         words = {r["word"]: (r["good"], r["bad"]) for r in most_frequent(told, "n", HEAD)}
