@@ -2,8 +2,8 @@
 
 Each explained row gets synthetic neighbours drawn from a background set; the
 fitted model scores them all in one pass; a weighted linear surrogate per row is solved
-from aggregated moments. Rows never gather in one task: moments fold map-side and one
-small vector per explained row reaches the solver.
+from aggregated moments. Rows never gather in one task: moments fold in each Arrow batch
+and one small vector per explained row reaches the solver.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,8 +50,23 @@ def background_profile(background: DataFrame, spec: FeatureSpec) -> DataFrame:
     return values.select(F.struct(*values.columns, background.agg(*moments).select(F.struct("*")).scalar().alias("_moments")).alias("profile"))
 
 
-def _beyond(place: Column):
-    return lambda v: v.getField("upto") > place
+# Background rows up to which a draw looks its value up in a list with an entry a row.
+LISTED = 4096
+
+
+def _value_at(place: Column, values: list, kind: T.DataType) -> Column:
+    """The first value whose running count is above ``place``; NULL without values.
+
+    A short list has an entry a background row, so the compiled code stays small; a long
+    one is halved, one comparison a level.
+    """
+    if values and values[-1]["upto"] <= LISTED:
+        entries = [v["value"] for v, before in zip(values, [0, *(u["upto"] for u in values)]) for _ in range(v["upto"] - before)]
+        return F.element_at(F.lit(entries), (place + 1).cast("int")).cast(kind)
+    if len(values) < 2:
+        return F.lit(values[0]["value"] if values else None).cast(kind)
+    middle = len(values) // 2
+    return F.when(place < F.lit(values[middle - 1]["upto"]), _value_at(place, values[:middle], kind)).otherwise(_value_at(place, values[middle:], kind))
 
 
 def neighbours(instances: DataFrame, key: str, background: DataFrame, spec: FeatureSpec, *,
@@ -58,9 +75,11 @@ def neighbours(instances: DataFrame, key: str, background: DataFrame, spec: Feat
 
     Draws come from hashes of (key, sample number, feature): stable under retries.
     ``x_<feature>`` holds the surrogate input: a standardised numeric, or 1 where a
-    category equals the explained row's.
+    category equals the explained row's. The background's profile is computed first and
+    becomes literals: every draw is then plain arithmetic on the row.
     """
     numeric, category = explained_features(spec)
+    profile = background_profile(background, spec).first()["profile"]
     # Spread the rows while they are narrow: each becomes many, and the grouping by key
     # that follows keeps this partitioning instead of shuffling again.
     tasks = int(instances.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -68,30 +87,31 @@ def neighbours(instances: DataFrame, key: str, background: DataFrame, spec: Feat
     fanned = own_values.repartition(tasks, key).select(
         "*",
         F.explode(F.sequence(F.lit(0), F.lit(samples - 1))).alias("sample_no"),
-    ).withColumn("profile", background_profile(background, spec).scalar())
-    p, first = F.col("profile"), F.col("sample_no") == 0
+    )
+    first = F.col("sample_no") == 0
+    moment = {c: (F.lit(profile["_moments"][f"{c}__mean"]), F.lit(profile["_moments"][f"{c}__std"])) for c in numeric}
+    listed = {c: profile[f"{c}__values"] for c in category}
 
     def uniform(tag: int) -> Column:
         return C.hash_draw(key, "sample_no", seed=seed * 1009 + tag)
 
+    # each place is a column of its own, drawn once and compared often
+    places = {f"{c}__at": F.floor(uniform(1000 + i) * F.lit(listed[c][-1]["upto"] if listed[c] else None)) for i, c in enumerate(category)}
     cols: dict[str, Column] = {}
     for i, c in enumerate(numeric):
-        mean, std = p.getField("_moments").getField(f"{c}__mean"), p.getField("_moments").getField(f"{c}__std")
+        mean, std = moment[c]
         own = F.coalesce(F.col(f"{c}__own"), mean)
         # one normal deviate from two uniforms; the first is kept off zero
         radius = F.sqrt(F.lit(-2.0) * F.log(F.greatest(uniform(2 * i), F.lit(1e-12))))
         normal = radius * F.cos(F.lit(2.0 * math.pi) * uniform(2 * i + 1))
         cols[c] = F.when(first, own).otherwise(mean + std * normal)
-    for i, c in enumerate(category):
-        values, kind = p.getField(f"{c}__values"), instances.schema[c].dataType
-        at = F.floor(uniform(1000 + i) * F.element_at(values, -1).getField("upto"))
-        drawn_value = F.element_at(F.filter(values, _beyond(at)), 1).getField("value")
-        cols[c] = F.when(first, F.col(f"{c}__own")).otherwise(drawn_value.cast(kind))
-    drawn = fanned.withColumns(cols)
+    for c in category:
+        cols[c] = F.when(first, F.col(f"{c}__own")).otherwise(_value_at(F.col(f"{c}__at"), listed[c], instances.schema[c].dataType))
+    drawn = fanned.withColumns(places).withColumns(cols)
 
     inputs: dict[str, Column] = {}
     for c in numeric:
-        mean, std = p.getField("_moments").getField(f"{c}__mean"), p.getField("_moments").getField(f"{c}__std")
+        mean, std = moment[c]
         scale = F.when(std > 0, std).otherwise(F.lit(1.0))
         inputs[f"x_{c}"] = (F.col(c) - mean) / scale
         own = F.coalesce(F.col(f"{c}__own"), mean)
@@ -110,6 +130,32 @@ def neighbours(instances: DataFrame, key: str, background: DataFrame, spec: Feat
     )
 
 
+def _moments(n: int):
+    """Arrow batches of (key, sample_no, kernel, score, n inputs) to a row for each stretch of
+    one key: the moments of its even and of its odd samples. Stretches of a key add up."""
+    upper = np.triu_indices(n)
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, odd = batch.column(0), batch.column(1).to_numpy() % 2 == 1
+            w, y, *xs = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2, 4 + n))
+            x = np.stack(xs)
+            wx = w * x
+            terms = np.concatenate([[w, w * y, w * y * y], wx, wx * y, wx[upper[0]] * x[upper[1]]])
+            here, before = key.slice(1), key.slice(0, batch.num_rows - 1)
+            other = pc.fill_null(pc.not_equal(here, before), True).to_numpy(zero_copy_only=False)
+            other &= ~(here.is_null().to_numpy(zero_copy_only=False) & before.is_null().to_numpy(zero_copy_only=False))
+            starts = np.concatenate([[0], np.flatnonzero(other) + 1])
+            sums = [np.add.reduceat(np.where(half, terms, 0.0), starts, axis=1) for half in (~odd, odd)]
+            yield pa.RecordBatch.from_arrays(
+                [key.take(pa.array(starts)), *[pa.array(m) for half in sums for m in half]],
+                names=["key", *[f"m{i}_{h}" for h in (0, 1) for i in range(len(terms))]])
+
+    return run
+
+
 def _fit(m: np.ndarray, n: int, ridge: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(weights, centred inputs times target, centred inputs squared, target's spread) of moments, a row each."""
     w, wy, wyy = m[:, 0], m[:, 1], m[:, 2]
@@ -166,15 +212,14 @@ def local_weights(model: PipelineModel, instances: DataFrame, key: str, backgrou
     ready = models.add_cycle(near, spec).withColumn(spec.label, F.lit(0.0))
     scored = models.score(model, ready, [key, "sample_no", *[f"x_{c}" for c in names], "kernel"], label=spec.label)
 
-    w, y = F.col("kernel"), F.col("score")
-    xs = [F.col(f"x_{c}") for c in names]
-    terms = [w, w * y, w * y * y, *[w * x for x in xs], *[w * x * y for x in xs]]
-    terms += [w * xs[i] * xs[j] for i in range(n) for j in range(i, n)]
-    sums = [F.sum(t).alias(f"m{i}") for i, t in enumerate(terms)]
-    # rows of one key are in one partition already, so neither grouping shuffles
-    moments = scored.groupBy(key, F.pmod("sample_no", F.lit(2)).alias("half")).agg(*sums)
-    packed = moments.select(key, "half", F.array(*[f"m{i}" for i in range(len(terms))]).alias("moments"))
-    halves = packed.groupBy(key).agg(*[F.max(F.when(F.col("half") == h, F.col("moments"))).alias(f"half_{h}") for h in (0, 1)])
+    # moments fold as arrays in each task; the grouping then sees few rows a key
+    size = 3 + 2 * n + n * (n + 1) // 2
+    columns = [f"m{i}_{h}" for h in (0, 1) for i in range(size)]
+    kind = instances.schema[key].dataType.simpleString()
+    folded = scored.select(F.col(key).alias("key"), "sample_no", "kernel", "score", *[f"x_{c}" for c in names]).mapInArrow(
+        _moments(n), f"key {kind}, " + ", ".join(f"{c} double" for c in columns))
+    summed = folded.groupBy("key").agg(*[F.sum(c).alias(c) for c in columns])
+    halves = summed.select(F.col("key").alias(key), *[F.array(*[f"m{i}_{h}" for i in range(size)]).alias(f"half_{h}") for h in (0, 1)])
     solved = halves.select(key, _solver(n, ridge)("half_0", "half_1").alias("s"))
     s = F.col("s")
     entries = F.array(*[
