@@ -6,10 +6,11 @@ has its smoothed share of the corpus, so every text has a normalised probability
 words of the corpus and one unseen word. The number of words with a class of their own
 grows with the corpus.
 
-Words, and then runs of three classes, are counted over all training documents. Runs are
-drawn by their counts for a fixed number of parts and rounds, by hashes of the run; in each
-round every part takes noise-contrastive steps from the same parameters, which are then
-averaged in the order of the parts. So neither the layout of the documents nor the number
+Words, and then runs of three classes, are counted over all training documents. Every run is
+dealt to parts and rounds as often as it was counted, a small corpus more than once, by hashes
+of the run; the number of parts grows with the corpus. In each round every part takes
+noise-contrastive steps from the same parameters, which are then averaged in the order of the
+parts, a piece of them at a time. So neither the layout of the documents nor the number
 of tasks changes the model.
 """
 
@@ -33,8 +34,14 @@ _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuv
 HEAD = 100_000  # words whose counts every task holds; the others are joined
 # Words with a class of their own: at least, for each cube root of the tokens, and at most.
 LEAST_SINGLES, SINGLES_GROW, MOST_SINGLES = 240, 1.5, 2048
-# Parts that train at the same time and rounds of them, runs drawn for a part of a round, and how often a small corpus is seen.
+# Parts that train at the same time, rounds of them, runs dealt to a part of a round, and how often a small corpus is seen.
 PARTS, ROUNDS, DRAWS, EPOCHS = 16, 4, 1 << 18, 2
+# A corpus with more runs than these parts and rounds hold is seen once: first with up to MOST_DRAWS runs a part, then in more parts.
+MOST_DRAWS = 1 << 20
+# Copies of one run beyond which every slot gets its equal share, and copies dealt in one go.
+EVEN, DEALT = 1 << 16, 1 << 20
+# Pieces of the parameters that are averaged apart, at most.
+PIECES = 256
 SMOOTH = 0.1
 WIDTH = 24
 NOISE = 32
@@ -173,8 +180,9 @@ class LogBilinear:
             getattr(self, name)[...] += rate * gradient / np.sqrt(squares[name])
 
         def learn(u: np.ndarray, v: np.ndarray, w: np.ndarray) -> None:
-            for a in range(0, w.size, BATCH):
-                uu, vv, ww = u[a:a + BATCH], v[a:a + BATCH], w[a:a + BATCH]
+            batch = BATCH * max(1, -(-w.size // DRAWS))  # more runs in a step, not more steps
+            for a in range(0, w.size, batch):
+                uu, vv, ww = u[a:a + batch], v[a:a + batch], w[a:a + batch]
                 x = np.minimum(np.searchsorted(cumulative, rng.random(NOISE) * cumulative[-1]), self.size - 1)
                 l1, l2, r, rx = self.left[vv], self.left[uu], self.right[ww], self.right[x]
                 q = l1 @ self.turn1 + l2 @ self.turn2
@@ -247,33 +255,64 @@ def run_counts(docs: DataFrame, lexicon: Lexicon, text: str) -> DataFrame:
     return docs.select(text).mapInArrow(run, "run long, n long").groupBy("run").agg(F.sum("n").alias("n"))
 
 
+def times_seen(total: int) -> float:
+    """How often training sees each run: ``EPOCHS`` times in a small corpus, never less than once."""
+    return max(1.0, min(EPOCHS, PARTS * ROUNDS * DRAWS / max(total, 1)))
+
+
+def parts_for(total: int) -> int:
+    """Parts of a round, so that each holds about ``MOST_DRAWS`` runs at most."""
+    few = max(1, min(PARTS, -(-total // DRAWS)))
+    return max(few, -(-total // (ROUNDS * MOST_DRAWS)))
+
+
 def _drawn(times: float, slots: int):
-    """Runs drawn ``times`` their counts in all, dealt to slots, by hashes of the run alone."""
+    """Every run ``times`` its count, dealt to slots by hashes of the run alone.
+
+    A run with very many copies gives each slot as many; only the remainder is dealt.
+    """
     def run(batches):
         for batch in batches:
             runs, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             wanted = n * times
             sure = np.floor(wanted)
             k = (sure + (mix(runs.astype(np.uint64)) / 2.0**64 < wanted - sure)).astype(np.int64)
-            each, turn = np.repeat(runs, k), np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
-            slot = (mix(each.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + turn.astype(np.uint64)) % np.uint64(slots)).astype(np.int64)
-            cells, times_each = np.unique(np.stack([slot, each]), axis=1, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(cells[0]), pa.array(cells[1]), pa.array(times_each)], names=["slot", "run", "n"])
+            even = np.where(k > EVEN, k // slots, 0)
+            for at in np.flatnonzero(even):
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(slots)), pa.array(np.full(slots, runs[at])), pa.array(np.full(slots, even[at]))], names=["slot", "run", "n"])
+            k -= even * slots
+            group = np.cumsum(k) // DEALT  # whole runs, about DEALT copies together
+            for some in np.split(np.arange(k.size), np.flatnonzero(np.diff(group)) + 1):
+                own, copies = runs[some], k[some]
+                each, turn = np.repeat(own, copies), np.arange(copies.sum()) - np.repeat(np.cumsum(copies) - copies, copies)
+                slot = (mix(each.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + turn.astype(np.uint64)) % np.uint64(slots)).astype(np.int64)
+                cells, times_each = np.unique(slot << 36 | each, return_counts=True)  # a run is below 2**36
+                yield pa.RecordBatch.from_arrays([pa.array(cells >> 36), pa.array(cells & ((1 << 36) - 1)), pa.array(times_each)], names=["slot", "run", "n"])
 
     return run, "slot long, run long, n long"
 
 
+def _mean(rows: pd.DataFrame) -> pd.DataFrame:
+    """A piece of the parameters, averaged over the parts in their order."""
+    rows = rows.sort_values("slot")
+    total = sum(rows["weight"])
+    mean = sum(np.frombuffer(f, np.float32).astype(np.float64) * (w / total) for f, w in zip(rows["flat"], rows["weight"]))
+    return pd.DataFrame({"piece": [int(rows["piece"].iloc[0])], "flat": [mean.tobytes()]})
+
+
 def train(docs: DataFrame, lexicon: Lexicon, text: str, scratch: Scratch) -> LogBilinear:
     """Rounds of steps in all parts from the same parameters, which are then averaged.
 
-    Every part of every round sees runs drawn from all counts, ``DRAWS`` at most, so none
-    learns from a corner of the corpus and a group stays small however large the corpus is;
-    a small corpus is seen ``EPOCHS`` times in all.
+    Every run of every training document is learned from, as often as it occurs. A run's
+    copies are dealt over all parts and rounds, so no part learns from a corner of the
+    corpus; parts grow in number with the corpus, so a group stays small. The parameters of
+    the parts meet piece by piece: the driver gets one mean, whatever the number of parts.
     """
     spark, c = docs.sparkSession, lexicon.size
     counted = scratch.keep(run_counts(docs, lexicon, text), "run-counts")
-    parts = max(1, min(PARTS, -(-lexicon.total // DRAWS)))
-    run, schema = _drawn(min(EPOCHS, parts * ROUNDS * DRAWS / max(lexicon.total, 1)), parts * ROUNDS)
+    parts = parts_for(lexicon.total)
+    pieces = min(parts, PIECES)
+    run, schema = _drawn(times_seen(lexicon.total), parts * ROUNDS)
     drawn = scratch.keep(counted.mapInArrow(run, schema), "drawn-runs")
     model = LogBilinear(c, lexicon.shares())
     for k in range(ROUNDS):
@@ -284,14 +323,15 @@ def train(docs: DataFrame, lexicon: Lexicon, text: str, scratch: Scratch) -> Log
             runs = np.random.default_rng([6, slot]).permutation(np.repeat(rows["run"].to_numpy(), rows["n"].to_numpy()))
             own = LogBilinear(c, shared.value.noise).load(shared.value.flat())  # noqa: B023
             own.learner(slot, RATE / (1 + slot // parts))(runs // (c * c), runs // c % c, runs % c)
-            return pd.DataFrame({"slot": [slot], "weight": [float(runs.size)], "flat": [own.flat().tobytes()]})
+            cut = np.array_split(own.flat().astype(np.float32), pieces)
+            return pd.DataFrame({"piece": range(pieces), "slot": slot, "weight": float(runs.size), "flat": [x.tobytes() for x in cut]})
 
         own = drawn.where(F.expr(f"slot div {parts}") == k)
-        got = sorted(own.groupBy("slot").applyInPandas(steps, "slot long, weight double, flat binary").collect())  # a row a part
+        met = own.groupBy("slot").applyInPandas(steps, "piece long, slot long, weight double, flat binary")
+        got = sorted(met.groupBy("piece").applyInPandas(_mean, "piece long, flat binary").collect())  # one model's size
         if not got:
             break
-        total = sum(r.weight for r in got)
-        model = LogBilinear(c, lexicon.shares()).load(sum(np.frombuffer(r.flat) * (r.weight / total) for r in got))
+        model = LogBilinear(c, lexicon.shares()).load(np.concatenate([np.frombuffer(r.flat) for r in got]))
     scratch.drop(counted, drawn)
     model.normalise()
     return model

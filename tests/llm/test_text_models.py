@@ -225,3 +225,27 @@ def test_training_learns_a_rule():
     model.normalise()
     u, v, w, _ = lbl_model.contexts(lexicon, cycle[:1])
     assert np.exp(model.log_probabilities(u, v, w))[3:-1].mean() > 0.7
+
+
+def test_every_run_is_learned_from_however_large_the_corpus(monkeypatch):
+    monkeypatch.setattr(lbl_model, "DRAWS", 8)
+    monkeypatch.setattr(lbl_model, "MOST_DRAWS", 32)
+    monkeypatch.setattr(lbl_model, "EVEN", 300)
+    monkeypatch.setattr(lbl_model, "DEALT", 64)
+    counts = {i: 1 + (i * 7) % 5 for i in range(1500)} | {9_000_000: 4_000}
+    total = sum(counts.values())  # far more than 16 * 4 * 8 runs
+    slots = lbl_model.parts_for(total) * lbl_model.ROUNDS
+    run, _ = lbl_model._drawn(lbl_model.times_seen(total), slots)
+    batch = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int64()), pa.array(list(counts.values()), pa.int64())], names=["run", "n"])
+    dealt, held = collections.Counter(), collections.Counter()
+    for b in run([batch]):
+        for slot, r, n in zip(*(c.to_pylist() for c in b.columns)):
+            dealt[r] += n
+            held[slot] += n
+    assert dealt == counts
+    assert set(held) == set(range(slots)) and max(held.values()) < 3 * lbl_model.MOST_DRAWS
+
+
+def test_a_small_corpus_is_seen_as_before():
+    assert [lbl_model.times_seen(t) for t in (1, 10**6, 10**7, 10**9)] == [2, 2, (1 << 24) / 10**7, 1]
+    assert [lbl_model.parts_for(t) for t in (0, 1 << 18, 1 << 20, 1 << 26, 1 << 30)] == [1, 1, 4, 16, 256]
