@@ -31,6 +31,10 @@ RIDE_FEATURES = FeatureSpec(
 )
 
 
+# Customers beyond which the lookup is shuffled instead of sent through the driver.
+LOOKUP_ROWS = 100_000
+
+
 def draw_sql(key: str, seed: int) -> str:
     """The draw of ``key_draw`` in SQL."""
     return f"CAST('0x' || substr(md5(CAST({key} AS VARCHAR) || ':{seed}'), 1, 13) AS BIGINT) / CAST({1 << 52} AS DOUBLE)"
@@ -80,8 +84,14 @@ def trips(spark: SparkSession, sf_dir: str, card_only: bool = False) -> DataFram
 
 
 def rides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ride-shaped facts: events with the customer's zone, hour and day features."""
+    """Ride-shaped facts: events with the customer's zone, hour and day features.
+
+    A table of many customers is joined by shuffle: as a broadcast it would pass through
+    the driver again in every job of a query that runs many.
+    """
     event, customer = table(spark, sf_dir, "events"), table(spark, sf_dir, "customer")
+    if customer.count() > LOOKUP_ROWS:  # from the footers
+        customer = customer.hint("shuffle_hash")
     ts = F.col("ts")
     return (
         event.join(customer, F.col("user_id") == F.col("c_custkey"), "left")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from cohortlens import presets
 from cohortlens.operators import cohort as K
 from cohortlens.operators import marts, quality
+from cohortlens.plans import views
 from cohortlens.spec import TimeSplit
 
 SCHEMA = ("tpep_pickup_datetime timestamp, payment_type int, PULocationID int, fare_amount double, tip_amount double, "
@@ -169,3 +170,19 @@ def test_mean_money_ignores_row_order(spark):
         marts.group_rates(p, ["g"], measures={"m": marts.mean_money("fare")}).first().m
         for p in (f.repartition(2), f.repartition(7), f.orderBy(F.desc("fare")))}
     assert len(means) == 1
+
+
+def test_many_customers_do_not_pass_through_the_driver(spark, tmp_path, monkeypatch):
+    tables = {
+        "events": "SELECT id AS event_id, TIMESTAMP_NTZ '2024-01-05 10:00:00' AS ts, id % 40 AS user_id, 'click' AS event_type, 60.0D AS value FROM range(100)",
+        "customer": "SELECT nullif(id, 7) AS c_custkey, CAST(id % 3 AS INT) AS c_nationkey, 5.0D AS c_acctbal FROM range(30) UNION ALL SELECT 3, 1, 9.0D",
+        "nation": "SELECT CAST(id AS INT) AS n_nationkey, 0 AS n_regionkey FROM range(3)",
+        "region": "SELECT 0 AS r_regionkey, 'ASIA' AS r_name",
+    }
+    for name, text in tables.items():
+        spark.sql(text).write.parquet(f"{tmp_path}/{name}.parquet")
+    few = sorted(map(str, views.rides(spark, str(tmp_path)).collect()))
+    monkeypatch.setattr(views, "LOOKUP_ROWS", 30)
+    many = views.rides(spark, str(tmp_path))
+    assert "ShuffledHashJoin" in many._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, many.collect())) == few and len(few) == 103
