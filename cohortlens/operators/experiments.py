@@ -131,15 +131,20 @@ def fraction_scaling(frame: DataFrame, keys: Sequence[str], seed: int,
 
 def fit_scaling(train: DataFrame, key: str, spec: FeatureSpec, candidates: Sequence[models.Candidate],
                 seed: int, fractions: Sequence[float] = (0.10, 0.25, 0.50, 0.75, 1.0)) -> DataFrame:
-    """Fit time per model and training share."""
+    """Fit time per model and training share.
+
+    The feature stages of a share are the same for all models: they are fitted once, and their
+    seconds count in each model's."""
     rows = []
     for f in fractions:
         part = sampling.by_key(train, key, f, seed).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             n = part.count()
+            before, stages = timed(lambda: models.preprocessing(spec).fit(part))
+            ready = models.spread(models.prepared(stages, part, spec), n, train.sparkSession.sparkContext.defaultParallelism)
             for c in candidates:
-                seconds, _ = timed(lambda: models.fit(part, spec, c))
-                rows.append((c.name, f, n, seconds))
+                seconds, _ = timed(lambda: models.fit_prepared(stages, ready, c))
+                rows.append((c.name, f, n, before + seconds))
         finally:
             part.unpersist()
     return train.sparkSession.createDataFrame(
