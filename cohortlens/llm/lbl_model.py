@@ -16,6 +16,7 @@ of tasks changes the model.
 
 from __future__ import annotations
 
+import collections
 import itertools
 import math
 from dataclasses import dataclass, field
@@ -42,12 +43,14 @@ MOST_DRAWS = 1 << 20
 EVEN, DEALT = 1 << 16, 1 << 20
 # Pieces of the parameters that are averaged apart, at most.
 PIECES = 256
+# Tokens whose probabilities are worked out in one go, so that their vectors stay in the processor's cache.
+SCORED = 1 << 14
 SMOOTH = 0.1
 WIDTH = 24
 NOISE = 32
 BATCH = 1024
 RATE = 0.1
-END, REST = 0, 1
+END, REST = 0, 1  # classes, and places in the list of words
 
 
 def tokens_of(column: pa.Array):
@@ -65,10 +68,7 @@ def word_counts(train: DataFrame, text: str) -> DataFrame:
     """(word, n) over all training rows, summed in the task before the shuffle."""
     def run(batches):
         for batch in batches:
-            totals: dict[bytes, int] = {}
-            for words in tokens_of(batch.column(0)):
-                for w in words:
-                    totals[w] = totals.get(w, 0) + 1
+            totals = collections.Counter(itertools.chain.from_iterable(tokens_of(batch.column(0))))
             yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.binary()), pa.array(list(totals.values()), pa.int64())], names=["word", "n"])
 
     return train.select(text).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -101,6 +101,10 @@ class Lexicon:
     ends: int
     classes: dict[bytes, int] = field(default_factory=dict)
     masses: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    # a head word's place in a list of words that starts with the end and the rest; class and count at each place
+    places: dict[bytes, int] = field(default_factory=dict)
+    class_at: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    count_at: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
     @property
     def singles(self) -> int:
@@ -126,6 +130,9 @@ class Lexicon:
         seen = sum(self.counts.values())
         sizes[REST] = self.total - self.ends - seen + SMOOTH * (max(self.types - len(self.counts) - 1, 0) + 1)
         self.masses = np.array(sizes)
+        self.places = {word: place for place, word in enumerate(self.classes, 2)}
+        self.class_at = np.array([END, REST, *self.classes.values()], np.int64)
+        self.count_at = np.array([self.ends, 0, *(self.counts[word] for word in self.classes)], np.float64)
 
     @property
     def size(self) -> int:
@@ -134,9 +141,8 @@ class Lexicon:
     def shares(self) -> np.ndarray:
         return self.masses / self.masses.sum()
 
-    def ids(self, words: list[bytes]) -> np.ndarray:
-        known = self.classes
-        return np.fromiter((known.get(w, REST) for w in words), np.int64, len(words))
+    def places_of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.places.get, words, itertools.repeat(REST)), np.int64, len(words))
 
 
 class LogBilinear:
@@ -164,15 +170,15 @@ class LogBilinear:
             at += n
         return self
 
-    def _scatter(self, ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        flat = (ids[:, None] * WIDTH + np.arange(WIDTH)).ravel()
-        return np.bincount(flat, rows.ravel(), self.size * WIDTH).reshape(self.size, WIDTH).astype(np.float32)
+    def _scatter(self, cells: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        return np.bincount(cells.ravel(), rows.ravel(), self.size * WIDTH).reshape(self.size, WIDTH).astype(np.float32)
 
     def learner(self, seed: int, rate: float = RATE):
         """A function that takes (u, v, w) arrays and makes Adagrad steps on the NCE loss."""
         rng = np.random.default_rng(seed)
         ahead = np.log(NOISE * self.noise).astype(np.float32)
         cumulative = np.cumsum(self.noise)
+        cells = np.arange(self.size * WIDTH).reshape(self.size, WIDTH)
         squares = {n: np.full(getattr(self, n).shape, 1.0, np.float32) for n, _ in self.SHAPES}
 
         def step(name: str, gradient: np.ndarray) -> None:
@@ -189,11 +195,11 @@ class LogBilinear:
                 target = 1 / (1 + np.exp(np.clip(np.einsum("ij,ij->i", q, r) + self.bias[ww] - ahead[ww], -30, 30)))
                 false = -1 / (1 + np.exp(np.clip(ahead[x] - self.bias[x] - q @ rx.T, -30, 30)))
                 dq = target[:, None] * r + false @ rx
-                right = self._scatter(ww, target[:, None] * q)
+                right = self._scatter(cells[ww], target[:, None] * q)
                 np.add.at(right, x, false.T @ q)
                 bias = np.bincount(ww, target, self.size).astype(np.float32)
                 np.add.at(bias, x, false.sum(0))
-                left = self._scatter(vv, dq @ self.turn1.T) + self._scatter(uu, dq @ self.turn2.T)
+                left = self._scatter(cells[vv], dq @ self.turn1.T) + self._scatter(cells[uu], dq @ self.turn2.T)
                 for name, gradient in (("right", right), ("bias", bias), ("left", left), ("turn1", l1.T @ dq), ("turn2", l2.T @ dq)):
                     step(name, gradient)
 
@@ -210,21 +216,35 @@ class LogBilinear:
             self.logz[u] = np.log(np.exp(s - top).sum(1)) + top[:, 0]
 
     def log_probabilities(self, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> np.ndarray:
-        return np.einsum("ij,ij->i", self.near[v] + self.far[u], self.right[w]) + self.bias[w] - self.logz[u, v]
+        out = np.empty(w.size, np.float32)
+        for a in range(0, w.size, SCORED):
+            uu, vv, ww = u[a:a + SCORED], v[a:a + SCORED], w[a:a + SCORED]
+            out[a:a + SCORED] = np.einsum("ij,ij->i", self.near[vv] + self.far[uu], self.right[ww]) + self.bias[ww] - self.logz[uu, vv]
+        return out
 
 
-def contexts(lexicon: Lexicon, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(u, v, w, text) for every token, ends included; before a text stand two ends."""
+def placed(lexicon: Lexicon, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, at, text): places of all tokens, with two ends before each text and one behind it;
+    where the tokens stand in them, ends behind included; and each token's text.
+
+    A word is looked up once; its class and count are then taken by its place.
+    """
     lengths = np.array([len(t) + 3 for t in texts])
     padded = np.full(int(lengths.sum()), END, np.int64)
     starts = np.cumsum(lengths) - lengths
-    words = lexicon.ids(list(itertools.chain.from_iterable(texts)))
+    words = lexicon.places_of(list(itertools.chain.from_iterable(texts)))
     inner = np.repeat(starts + 2, lengths - 3) + np.arange(words.size) - np.repeat(np.cumsum(lengths - 3) - (lengths - 3), lengths - 3)
     padded[inner] = words
     at = np.ones(padded.size, bool)
     at[starts], at[starts + 1] = False, False
-    at = np.flatnonzero(at)
-    return padded[at - 2], padded[at - 1], padded[at], np.repeat(np.arange(len(texts)), lengths - 2)
+    return padded, np.flatnonzero(at), np.repeat(np.arange(len(texts)), lengths - 2)
+
+
+def contexts(lexicon: Lexicon, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(u, v, w, text) for every token, ends included; before a text stand two ends."""
+    places, at, owner = placed(lexicon, texts)
+    classes = lexicon.class_at[places]
+    return classes[at - 2], classes[at - 1], classes[at], owner
 
 
 def _pieces(column: pa.Array, most: int = 1 << 18):
@@ -366,26 +386,28 @@ def score_texts(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> D
     def run(batches):
         lex, lbl = shared.value
         row = TaskContext.get().partitionId() << 33
-        inside = np.log10(lex.masses)
+        inside, single_at = np.log10(lex.masses), np.log10(lex.count_at + SMOOTH)
         for batch in batches:
             for first, texts in _pieces(batch.column(1)):
-                u, v, w, owner = contexts(lex, texts)
+                places, at, owner = placed(lex, texts)
+                classes, place = lex.class_at[places], places[at]
+                u, v, w = classes[at - 2], classes[at - 1], classes[at]
                 got = np.bincount(owner, lbl.log_probabilities(u, v, w) / math.log(10), len(texts)) if w.size else np.zeros(len(texts))
                 # within bands and the rest: log10 of count and mass; the rest's counts are joined later
-                seen = np.fromiter((lex.counts.get(x, 0) for t in texts for x in [*t, b""]), np.float64, w.size)
-                end = w == END
-                seen[end] = lex.ends
-                rest = w == REST
-                single = np.log10(seen + SMOOTH)
-                got += np.bincount(owner, np.where(rest, 0.0, single) - inside[w], len(texts))
-                known = np.bincount(owner, (seen > 0) & ~rest, len(texts)).astype(np.int64)
-                start = np.bincount(owner, np.where(rest, 0.0, single), len(texts))
-                rare = [[x for x in t if x not in lex.classes] for t in texts]
+                rest = place == REST
+                single = np.where(rest, 0.0, single_at[place])
+                got += np.bincount(owner, single - inside[w], len(texts))
+                known = np.bincount(owner, (lex.count_at[place] > 0) & ~rest, len(texts)).astype(np.int64)
+                start = np.bincount(owner, single, len(texts))
+                words = [x for t in texts for x in (*t, None)]
+                some = np.flatnonzero(rest)
+                ends = np.cumsum(np.bincount(owner[some], minlength=len(texts)))
+                rare = pa.ListArray.from_arrays(pa.array([0, *ends], pa.int32()), pa.array([words[k] for k in some.tolist()], pa.binary()))
                 m = len(texts)
                 part = batch.slice(first, m)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.arange(row, row + m)), part.column(0), part.column(2), pa.array(np.bincount(owner, minlength=m)), pa.array(known),
-                    pa.array(start), pa.array(got), pa.array(rare, pa.list_(pa.binary()))],
+                    pa.array(start), pa.array(got), rare],
                     names=["row", "ident", "held_out", "n_tokens", "known", "start", "got", "rare"])
                 row += m
 

@@ -214,6 +214,23 @@ def test_probabilities_are_normalised_and_contexts_are_right():
     assert lexicon.masses.sum() == pytest.approx(500_000 + 0.1 * 701)
 
 
+def test_a_word_is_looked_up_once(monkeypatch):
+    """Class and count are taken by a word's place; long pieces are scored in parts."""
+    lexicon = lbl_model.Lexicon({f"w{i}".encode(): 1000 - i for i in range(600)}, total=500_000, types=700, ends=50)
+    texts = [[b"w1", b"new", b"w599"], [], [b"w3", b"w1"]]
+    places, at, owner = lbl_model.placed(lexicon, texts)
+    said = [x for t in texts for x in (*t, None)]
+    assert lexicon.class_at[places[at]].tolist() == [lexicon.classes.get(x, lbl_model.REST) if x else lbl_model.END for x in said]
+    assert lexicon.count_at[places[at]].tolist() == [lexicon.counts.get(x, 0) if x else 50 for x in said]
+    assert owner.tolist() == [0, 0, 0, 0, 1, 2, 2, 2]
+    model = lbl_model.LogBilinear(lexicon.size, lexicon.shares())
+    model.normalise()
+    u, v, w, _ = lbl_model.contexts(lexicon, texts)
+    whole = model.log_probabilities(u, v, w)
+    monkeypatch.setattr(lbl_model, "SCORED", 3)
+    assert model.log_probabilities(u, v, w).tolist() == whole.tolist()
+
+
 def test_training_learns_a_rule():
     """Classes that always follow each other become likely."""
     lexicon = lbl_model.Lexicon({b"a": 100, b"b": 100, b"c": 100}, total=400, types=4, ends=100)
