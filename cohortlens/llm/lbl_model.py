@@ -43,6 +43,8 @@ MOST_DRAWS = 1 << 20
 EVEN, DEALT = 1 << 16, 1 << 20
 # Pieces of the parameters that are averaged apart, at most.
 PIECES = 256
+# Distinct runs that a task holds of a batch before it hands their counts on.
+MOST_HELD = 1 << 20
 # Tokens whose probabilities are worked out in one go, so that their vectors stay in the processor's cache.
 SCORED = 1 << 14
 SMOOTH = 0.1
@@ -260,6 +262,15 @@ def _pieces(column: pa.Array, most: int = 1 << 18):
         yield first, held
 
 
+def _added(held: np.ndarray, n: np.ndarray, runs: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two counts of distinct sorted runs as one."""
+    both, counts = np.concatenate([held, runs]), np.concatenate([n, times])
+    order = np.argsort(both, kind="stable")
+    both, counts = both[order], counts[order]
+    first = np.flatnonzero(np.concatenate([np.ones(min(both.size, 1), bool), both[1:] != both[:-1]]))
+    return both[first], np.add.reduceat(counts, first) if first.size else counts
+
+
 def run_counts(docs: DataFrame, lexicon: Lexicon, text: str) -> DataFrame:
     """(run, n): how often three classes follow each other, over all training rows."""
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
@@ -267,10 +278,15 @@ def run_counts(docs: DataFrame, lexicon: Lexicon, text: str) -> DataFrame:
     def run(batches):
         words = shared.value
         for batch in batches:
+            held, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
             for _, texts in _pieces(batch.column(0)):
                 u, v, w, _ = contexts(words, texts)
-                runs, n = np.unique((u * words.size + v) * words.size + w, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(runs), pa.array(n)], names=["run", "n"])
+                runs, times = np.unique((u * words.size + v) * words.size + w, return_counts=True)
+                held, n = _added(held, n, runs, times)
+                if held.size >= MOST_HELD:
+                    yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(n)], names=["run", "n"])
+                    held, n = held[:0], n[:0]
+            yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(n)], names=["run", "n"])
 
     return docs.select(text).mapInArrow(run, "run long, n long").groupBy("run").agg(F.sum("n").alias("n"))
 
@@ -401,8 +417,11 @@ def score_texts(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> D
                 start = np.bincount(owner, single, len(texts))
                 words = [x for t in texts for x in (*t, None)]
                 some = np.flatnonzero(rest)
-                ends = np.cumsum(np.bincount(owner[some], minlength=len(texts)))
-                rare = pa.ListArray.from_arrays(pa.array([0, *ends], pa.int32()), pa.array([words[k] for k in some.tolist()], pa.binary()))
+                # a text's rare words, each with its number in the text
+                times = collections.Counter(zip(owner[some].tolist(), (words[k] for k in some.tolist())))
+                ends = np.cumsum(np.bincount(np.array([o for o, _ in times], np.int64), minlength=len(texts)))
+                pairs = pa.StructArray.from_arrays([pa.array([x for _, x in times], pa.binary()), pa.array(list(times.values()), pa.int64())], names=["word", "k"])
+                rare = pa.ListArray.from_arrays(pa.array([0, *ends], pa.int32()), pairs)
                 m = len(texts)
                 part = batch.slice(first, m)
                 yield pa.RecordBatch.from_arrays([
@@ -411,9 +430,9 @@ def score_texts(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> D
                     names=["row", "ident", "held_out", "n_tokens", "known", "start", "got", "rare"])
                 row += m
 
-    schema = f"row long, ident {kind}, held_out boolean, n_tokens long, known long, start double, got double, rare array<binary>"
+    schema = f"row long, ident {kind}, held_out boolean, n_tokens long, known long, start double, got double, rare array<struct<word:binary,k:bigint>>"
     scored = scratch.keep(base.select("ident", "text", "held_out").mapInArrow(run, schema), "scored")
-    rare = scored.select("row", F.explode("rare").alias("word")).groupBy("row", "word").agg(F.count(F.lit(1)).alias("k"))
+    rare = scored.select("row", F.inline("rare"))
     met = rare.join(counts, "word", "left").groupBy("row").agg(
         F.sum(F.col("k") * F.log10(F.coalesce(F.col("n"), F.lit(0)) + F.lit(SMOOTH))).alias("more"), F.sum(F.when(F.col("n") > 0, F.col("k")).otherwise(0)).alias("more_known"))
     out = scored.select("row", "ident", "held_out", "n_tokens", "known", "start", "got").join(met, "row", "left")

@@ -231,6 +231,15 @@ def test_a_word_is_looked_up_once(monkeypatch):
     assert model.log_probabilities(u, v, w).tolist() == whole.tolist()
 
 
+def test_run_counts_of_pieces_are_added():
+    some = [np.array([3, 3, 9, 1]), np.array([9, 2]), np.zeros(0, np.int64)]
+    held, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for runs in some:
+        held, n = lbl_model._added(held, n, *np.unique(runs, return_counts=True))
+    assert dict(zip(held.tolist(), n.tolist())) == collections.Counter(np.concatenate(some).tolist())
+    assert held.tolist() == sorted(held.tolist())
+
+
 def test_training_learns_a_rule():
     """Classes that always follow each other become likely."""
     lexicon = lbl_model.Lexicon({b"a": 100, b"b": 100, b"c": 100}, total=400, types=4, ends=100)
