@@ -62,6 +62,27 @@ def permuted(number: Column, n: int, seed: int) -> Column:
     return place(number)
 
 
+def _numbered(base: DataFrame, keys: list[Column], scratch: Scratch) -> tuple[DataFrame, int]:
+    """The frame with ``row_number``, and the row count.
+
+    Only keys and two hashes of each row are sorted and written. Whole rows meet their numbers
+    in one shuffle, equal ones as one row that is repeated for each of its numbers, which
+    follow each other. Both hashes and the order are of all columns, NULLs and signed zeros told apart.
+    """
+    own = [F.col(f"`{c}`") for c in base.columns]
+    told = [x for c in own for x in (c.isNull(), c.cast("string"))]
+    one, two, row = (spare_name(base, x) for x in ("_one", "_two", "_row"))
+    hashes = [F.xxhash64(*own).alias(one), F.xxhash64(F.lit(1), *told).alias(two)]
+    sort = [f"_key_{k}" for k in range(len(keys))]
+    narrow = base.select(*[k.alias(name) for k, name in zip(keys, sort)], *hashes)
+    numbered, n = number_rows(narrow, [*[F.col(k) for k in sort], F.col(one)], scratch)
+    spans = numbered.groupBy(one, two).agg(F.min("row_number").alias("_from"), F.max("row_number").alias("_upto"))
+    whole = base.select(*hashes, F.struct(*own).alias(row)).groupBy(one, two).agg(F.first(row).alias(row))
+    lost = F.raise_error(F.lit("the frame gave other rows when it was read again")).cast("long")
+    places = F.sequence(F.coalesce("_from", lost), F.coalesce("_upto", lost))
+    return whole.join(spans, [one, two], "left").select(F.col(f"{row}.*"), F.explode(places).alias("row_number")), n
+
+
 def shard_rows(frame: DataFrame, keys: list[Column], shards: int, seed: int) -> DataFrame:
     """All rows and columns, plus ``row_number``, ``shard`` and ``slot``.
 
@@ -69,13 +90,14 @@ def shard_rows(frame: DataFrame, keys: list[Column], shards: int, seed: int) ->
     p div ``shards``: shard sizes differ by one at most, slots have no gaps, and shard and
     slot of a row number (or the row number of a place, walking back) need no lookup.
     Columns of the frame with these names are replaced. NULL keys sort first; equal rows
-    share out their places; an empty frame stays empty.
+    share out their places; an empty frame stays empty. The frame is read twice and must
+    give the same rows each time.
     """
     if shards < 1:
         raise ValueError("at least one shard is needed")
     scratch = Scratch(frame.sparkSession)
     base = frame.drop("row_number", "shard", "slot")
-    numbered, n = number_rows(base, keys, scratch)
+    numbered, n = _numbered(base, keys, scratch)
     place = spare_name(numbered, "_place")
     placed = numbered.withColumn(place, permuted(F.col("row_number"), max(n, 1), seed))
     return placed.withColumns({

@@ -37,6 +37,21 @@ def test_shards_are_even_gapless_and_independent_of_layout(spark, sf):
     assert {(d, int(p) % 7, int(p) // 7) for d, p in zip(order, place)} == rows[0]
 
 
+def test_whole_rows_are_written_nowhere_and_equal_rows_share_places(spark, monkeypatch):
+    """Rows alike but for a NULL's place, a zero's sign or the text stay apart; copies are counted."""
+    kinds = "doc_id long, text string, lang string, x double"
+    some = [(1, "a", None, 0.0), (1, None, "a", 0.0), (1, "a", None, -0.0), (None, "b", "c", 1.0), *[(2, "t", "u", 2.0)] * 9, (2, "v", "u", 2.0)]
+    kept = []
+    keep = sharding.Scratch.keep
+    monkeypatch.setattr(sharding.Scratch, "keep", lambda self, frame, label: kept.append(frame.columns) or keep(self, frame, label))
+    got = sharding.shard_rows(spark.createDataFrame(some, kinds).repartition(4), [F.col("doc_id")], 3, 2).collect()
+    text = lambda r: repr((r[0], r[1], r[2], r[3]))
+    assert sorted(map(text, got)) == sorted(map(text, some))
+    assert sorted(r.row_number for r in got) == sorted(r.slot * 3 + r.shard for r in got) == list(range(len(some)))
+    assert [r.doc_id for r in sorted(got, key=lambda r: r.row_number)] == [None, 1, 1, 1, *[2] * 10]
+    assert kept and not any("text" in columns for columns in kept)
+
+
 def test_sharding_edges(edges, nothing):
     out = sharding.shard_rows(edges, [F.col("doc_id")], 4, 1)
     got = out.select("shard", "slot", "n").collect()
