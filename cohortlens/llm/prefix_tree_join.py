@@ -373,19 +373,24 @@ def similar_groups(docs: DataFrame, ident: str = "doc_id", text: str = "text", p
     classes = scratch.keep(signed.where("n > 0").groupBy("class").agg(
         F.min("key").alias("lead"), F.min("ident").alias("least"), F.first("n").alias("n"), F.first("hashes").alias("hashes")), "classes")
 
+    # what is needed once is not kept beside the sets: sampled shingles here, min-hashes below
+    frequent = bit_filter(signed.select(F.explode("sample").alias("token")).groupBy("token").count().where(F.col("count") >= ORDER_HITS), "token")
+    held, signed = signed, scratch.keep(signed.select("ident", "class", "n"), "documents")
+    scratch.drop(held)
+
     # hubs: classes that share many of their min-hashes with the smallest class of a bucket
     each = classes.select("class", "n", F.posexplode("hashes").alias("k", "low"))
     buckets = scratch.keep(each.groupBy("k", "low").agg(F.min("class").alias("hub"), F.count(F.lit(1)).alias("members")).where("members > 1").select("k", "low", "hub"), "buckets")
     stars = each.join(buckets, ["k", "low"]).where("class <> hub").groupBy(F.col("hub").alias("a"), F.col("class").alias("b"), "n").agg(F.count(F.lit(1)).alias("shared"))
     stars = stars.where(F.col("shared") >= HUB_SHARED).join(classes.select(F.col("class").alias("a"), F.col("n").alias("m")), "a")
     stars = scratch.keep(stars.where(f"100 * least(n, m) >= {percent} * greatest(n, m)").select("a", "b"), "stars")
+    held, classes = classes, scratch.keep(classes.select("class", "lead", "least"), "class-leads")
+    scratch.drop(held, buckets)
     near = verified(stars, keyed, classes, percent, width, scratch).select("a", "b")
     joined = scratch.keep(contract(near, scratch), "joined")
-    scratch.drop(buckets, stars)
+    scratch.drop(stars)
 
     # every pair that may link and is not joined yet, through the prefixes
-    hot = signed.select(F.explode("sample").alias("token")).groupBy("token").count().where(F.col("count") >= ORDER_HITS)
-    frequent = bit_filter(hot, "token")
     run, schema = _prefixes(percent, width, bit_filter(classes, "lead"), frequent)
     prefixes = scratch.keep(keyed.mapInArrow(run, schema), "prefixes")
     shared = scratch.keep(prefixes.select(F.explode("prefix").alias("token")).groupBy("token").count().where("count > 1").select("token"), "shared")

@@ -289,3 +289,29 @@ def test_prefixes_of_linking_sets_meet(n, m):
     assert 100 * need >= 80 * (n + m - need) and 100 * (need - 1) < 80 * (n + m - need + 1)
     # at most n - need of the first set are missing from the second, so one of so many is shared
     assert n - need < prefix_tree_join.prefix_length(n, 80)
+
+
+def test_min_hashes_and_samples_are_gone_before_sets_are_written(spark, monkeypatch):
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice("abcdefghijklmnop") * 2 for _ in range(40)) for _ in range(12)]
+    docs = spark.createDataFrame([(i, t + " end" * (i % 2)) for i, t in enumerate(t for t in texts for _ in range(2))], "doc_id long, text string")
+    there, beside = {}, []
+    keep, drop = Scratch.keep, Scratch.drop
+
+    def noted(self, frame, label):
+        if label == "sets":
+            beside.append(sorted(c for columns in there.values() for c in columns))
+        out = keep(self, frame, label)
+        there[id(out)] = frame.columns
+        return out
+
+    def dropped(self, *frames):
+        for frame in frames:
+            there.pop(id(frame), None)
+        drop(self, *frames)
+
+    monkeypatch.setattr(Scratch, "keep", noted)
+    monkeypatch.setattr(Scratch, "drop", dropped)
+    got = {r.doc_id: r.component_id for r in prefix_tree_join.similar_groups(docs).collect()}
+    assert got == {i: i - i % 2 for i in range(24)}
+    assert beside and not any({"hashes", "sample"} & set(columns) for columns in beside)
