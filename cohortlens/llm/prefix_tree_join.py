@@ -1,7 +1,7 @@
 """Exact set-similarity join over word shingles with prefix trees.
 
 Two documents link when ``100 * |A and B| >= percent * |A or B|``. Sets are globally ordered:
-by hash, with shingles met in many documents last. Every linked pair shares a shingle among
+by how many documents a sample met them in, then by hash. Every linked pair shares a shingle among
 the first ``n - ceil(n * percent / 100) + 1`` of both, so candidates meet on these prefixes;
 within a candidate group the sets stand in a trie that a probe walks, sharing the overlap
 of common paths and leaving subtrees whose remaining lengths cannot reach the bound.
@@ -13,6 +13,7 @@ a look, and no pairs are listed within a group. The result is exact whatever the
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,19 +23,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.llm.simhash_trie import text_slices
-from cohortlens.llm.tables import Scratch, bit_filter, contract, has_bit
+from cohortlens.llm.tables import Scratch, bit_filter, contract, has_bit, roomy_bits
 from cohortlens.llm.text import mix, shingle_sets
 
 HUB_HASHES = 8
 HUB_SHARED = 3
-# One document in so many tells which shingles are frequent; it orders, it drops nothing.
-ORDER_SAMPLE, ORDER_HITS = 16, 3
+# One document in so many tells how frequent shingles are; it orders, it drops nothing. A level
+# holds those met so often in the sample, and has a filter of so many bits.
+ORDER_SAMPLE = 8
+ORDER_LEVELS = ((2, 1 << 25), (4, 1 << 24), (8, 1 << 24), (32, 1 << 23), (128, 1 << 23))
 GROUP = 64
 SLICE_BYTES = 1 << 20
 # Groups beyond which a shared shingle is settled in tiles of its cluster, not pair by pair.
 MANY, TILE = 64, 256
 # Sets of a cluster that every block of it meets, and probes after which marks are renewed.
 PIVOTS, RENEW = 32, 16
+# Pairs, and tiles, whose sets are shuffled at the same time: some 2 GB of sets of 500 shingles.
+PAIRS_AT_ONCE, TILES_AT_ONCE = 1 << 19, 1 << 10
 SHORT = 2048
 _SEEDS = np.random.default_rng(4).integers(1, 1 << 63, (HUB_HASHES, 1), dtype=np.uint64) | np.uint64(1)
 
@@ -168,7 +173,12 @@ def _some_sets(width: int, wanted: np.ndarray):
     return run, "class long, tokens binary"
 
 
-def _prefixes(percent: int, width: int, leads: np.ndarray, frequent: np.ndarray):
+def frequency_level(tokens: np.ndarray, levels: list[np.ndarray]) -> np.ndarray:
+    """How many of the filters hold each token. What a filter holds by chance only comes later."""
+    return sum((has_bit(f, tokens).astype(np.int64) for f in levels), np.zeros(tokens.size, np.int64))
+
+
+def _prefixes(percent: int, width: int, leads: np.ndarray, levels: list[np.ndarray]):
     schema = pa.schema([("class", pa.int64()), ("n", pa.int64()), ("edge", pa.int64()), ("prefix", pa.list_(pa.int64()))])
 
     def run(batches):
@@ -178,13 +188,12 @@ def _prefixes(percent: int, width: int, leads: np.ndarray, frequent: np.ndarray)
             names, sizes, edges, starts = [], [], [], []
             for tokens in shingle_sets(some.column("text"), width):
                 if tokens.size:
-                    late = has_bit(frequent, tokens)
-                    p = prefix_length(tokens.size, percent)
+                    level = frequency_level(tokens, levels)
+                    order = np.argsort(level, kind="stable")[:prefix_length(tokens.size, percent)]
                     names.append(class_of(tokens))
                     sizes.append(tokens.size)
-                    first = np.concatenate([tokens[~late], tokens[late]])[:p]
-                    edges.append(int(first[-1] >> np.uint64(2)) | int(p > np.count_nonzero(~late)) << 62)
-                    starts.append(_signed(first))
+                    edges.append(int(tokens[order[-1]] >> np.uint64(4)) | int(level[order[-1]]) << 60)
+                    starts.append(_signed(tokens[order]))
             flat = pa.array(np.concatenate(starts) if starts else np.zeros(0, np.int64), pa.int64())
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(s) for s in starts)]), pa.int32()), flat)
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.array(edges, pa.int64()), lists], schema=schema)
@@ -208,11 +217,28 @@ def _matching(mixed: np.ndarray):
     return run, "class long, n long, edge long, token long"
 
 
+def _rounds(frame: DataFrame, keys: list[str], rows: int, at_once: int) -> list[DataFrame]:
+    """The frame's rows dealt by a hash of the keys to frames of about ``at_once`` of its ``rows``."""
+    rounds = max(1, -(-rows // at_once))
+    return [frame.where(F.pmod(F.xxhash64(*keys, F.lit(6)), F.lit(rounds)) == k) for k in range(rounds)] if rounds > 1 else [frame]
+
+
+def _written(frames: Iterator[DataFrame], label: str, scratch: Scratch) -> DataFrame:
+    """All rows, each frame written before the next one runs, so that only its shuffles lie on disk."""
+    parts = [scratch.keep(f, label) for f in frames]
+    if len(parts) == 1:
+        return parts[0]
+    whole = scratch.keep(functools.reduce(DataFrame.union, parts), label)
+    scratch.drop(*parts)
+    return whole
+
+
 def verified(pairs: DataFrame, keyed: DataFrame, classes: DataFrame, percent: int, width: int, scratch: Scratch) -> DataFrame:
     """The pairs (a, b) of classes that link, with their overlap.
 
     Sets are read again for the classes named only. Probes meet tries of about ``GROUP``
-    sets: a probe with many partners is repeated beside each part of them.
+    sets: a probe with many partners is repeated beside each part of them. Sets are
+    shuffled for ``PAIRS_AT_ONCE`` pairs at a time.
     """
     ends = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
     wanted = bit_filter(ends.join(classes, "class").select("lead"), "lead")
@@ -221,8 +247,6 @@ def verified(pairs: DataFrame, keyed: DataFrame, classes: DataFrame, percent: in
     counts = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("partners"))
     parted = scratch.keep(pairs.join(counts, "a").select(
         "a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("partners") / GROUP)).cast("int").alias("part")), "parted")
-    stored = parted.join(sets.withColumnRenamed("class", "b"), "b").select("a", "part", "b", "tokens", F.lit(False).alias("probe"))
-    probes = parted.select("a", "part").distinct().join(sets.withColumnRenamed("class", "a"), "a").select("a", "part", F.lit(0).cast("long").alias("b"), "tokens", F.lit(True).alias("probe"))
 
     def walk(rows: pd.DataFrame) -> pd.DataFrame:
         probe, others = rows[rows["probe"]], rows[~rows["probe"]]
@@ -231,8 +255,12 @@ def verified(pairs: DataFrame, keyed: DataFrame, classes: DataFrame, percent: in
         return pd.DataFrame({"a": np.full(len(found), rows["a"].iloc[0], np.int64), "b": np.array([x[0] for x in found], np.int64),
                              "overlap": np.array([x[2] for x in found], np.int64)})
 
-    both = stored.union(probes)
-    out = scratch.keep(both.groupBy("a", "part").applyInPandas(walk, "a long, b long, overlap long"), "verified")
+    def met(some: DataFrame) -> DataFrame:
+        stored = some.join(sets.withColumnRenamed("class", "b"), "b").select("a", "part", "b", "tokens", F.lit(False).alias("probe"))
+        probes = some.select("a", "part").distinct().join(sets.withColumnRenamed("class", "a"), "a").select("a", "part", F.lit(0).cast("long").alias("b"), "tokens", F.lit(True).alias("probe"))
+        return stored.union(probes).groupBy("a", "part").applyInPandas(walk, "a long, b long, overlap long")
+
+    out = _written(map(met, _rounds(parted, ["a", "part"], parted.count(), PAIRS_AT_ONCE)), "verified", scratch)
     scratch.drop(sets, parted)
     return out
 
@@ -316,7 +344,8 @@ def _in_tiles(members: DataFrame, keyed: DataFrame, classes: DataFrame, percent:
     itself and with the same ``PIVOTS`` sets of its cluster, so that a dense family is one
     component after as many rows as it has sets. Then sets of one large component form
     parts of their own, the others share parts, and only parts that are not of one
-    component meet. Of the links in a tile only a spanning forest leaves it.
+    component meet, ``TILES_AT_ONCE`` tiles at a time. Of the links in a tile only a spanning
+    forest leaves it.
     """
     run, schema = _some_sets(width, bit_filter(members.join(classes, "class").select("lead"), "lead"))
     sets = scratch.keep(keyed.mapInArrow(run, schema).where("class is not null"), "cluster-sets")
@@ -341,13 +370,17 @@ def _in_tiles(members: DataFrame, keyed: DataFrame, classes: DataFrame, percent:
     # a cluster of one block has met itself in the first step and is left out below
     meet = x.join(y, "cluster").where("x.mark <= y.mark and (x.kind is null or y.kind is null or x.kind <> y.kind)")
     tiles = scratch.keep(meet.select("cluster", F.col("x.mark").alias("i"), F.col("y.mark").alias("j")), "tiles")
-    sides = tiles.select("cluster", "i", "j", F.inline(F.when(F.col("i") == F.col("j"), F.array(F.struct(F.col("i").alias("mark"), F.lit(0).alias("side")))).otherwise(
-        F.array(F.struct(F.col("i").alias("mark"), F.lit(1).alias("side")), F.struct(F.col("j").alias("mark"), F.lit(2).alias("side"))))))
     single = sized.where("blocks = 1").select("cluster")
     marked = kinded.join(pool, "cluster", "left").join(single, "cluster", "left_anti").select("cluster", "class", "root", F.xxhash64(
         "kind", F.pmod(F.xxhash64("class", F.lit(5)), F.coalesce("own_parts", "pool_parts"))).alias("mark"))
-    far = marked.join(sides, ["cluster", "mark"]).join(sets, "class")
-    far = scratch.keep(far.groupBy("cluster", "i", "j").applyInPandas(_walk_tile(percent), "a long, b long"), "tile-links")
+
+    def walked(some: DataFrame) -> DataFrame:
+        sides = some.select("cluster", "i", "j", F.inline(F.when(F.col("i") == F.col("j"), F.array(F.struct(F.col("i").alias("mark"), F.lit(0).alias("side")))).otherwise(
+            F.array(F.struct(F.col("i").alias("mark"), F.lit(1).alias("side")), F.struct(F.col("j").alias("mark"), F.lit(2).alias("side"))))))
+        far = marked.join(sides, ["cluster", "mark"]).join(sets, "class")
+        return far.groupBy("cluster", "i", "j").applyInPandas(_walk_tile(percent), "a long, b long")
+
+    far = _written(map(walked, _rounds(tiles, ["cluster", "i", "j"], tiles.count(), TILES_AT_ONCE)), "tile-links", scratch)
     out = scratch.keep(near.union(far), "links")
     scratch.drop(sets, near, joined, rooted, kinds, pool, every, tiles, far)
     return out
@@ -374,9 +407,11 @@ def similar_groups(docs: DataFrame, ident: str = "doc_id", text: str = "text", p
         F.min("key").alias("lead"), F.min("ident").alias("least"), F.first("n").alias("n"), F.first("hashes").alias("hashes")), "classes")
 
     # what is needed once is not kept beside the sets: sampled shingles here, min-hashes below
-    frequent = bit_filter(signed.select(F.explode("sample").alias("token")).groupBy("token").count().where(F.col("count") >= ORDER_HITS), "token")
+    met = signed.select(F.explode("sample").alias("token")).groupBy("token").count()
+    met = scratch.keep(met.where(F.col("count") >= ORDER_LEVELS[0][0]), "met")
+    levels = [bit_filter(met.where(F.col("count") >= hits), "token", bits) for hits, bits in ORDER_LEVELS]
     held, signed = signed, scratch.keep(signed.select("ident", "class", "n"), "documents")
-    scratch.drop(held)
+    scratch.drop(held, met)
 
     # hubs: classes that share many of their min-hashes with the smallest class of a bucket
     each = classes.select("class", "n", F.posexplode("hashes").alias("k", "low"))
@@ -391,10 +426,10 @@ def similar_groups(docs: DataFrame, ident: str = "doc_id", text: str = "text", p
     scratch.drop(stars)
 
     # every pair that may link and is not joined yet, through the prefixes
-    run, schema = _prefixes(percent, width, bit_filter(classes, "lead"), frequent)
+    run, schema = _prefixes(percent, width, bit_filter(classes, "lead"), levels)
     prefixes = scratch.keep(keyed.mapInArrow(run, schema), "prefixes")
     shared = scratch.keep(prefixes.select(F.explode("prefix").alias("token")).groupBy("token").count().where("count > 1").select("token"), "shared")
-    run, schema = _matching(bit_filter(shared, "token"))
+    run, schema = _matching(bit_filter(shared, "token", roomy_bits(shared.count())))
     posts = prefixes.mapInArrow(run, schema)
     posts = scratch.keep(posts.join(joined, posts["class"] == joined["node"], "left").select(
         "token", "class", "n", "edge", F.coalesce("root", "class").alias("root")), "posts")
@@ -403,12 +438,14 @@ def similar_groups(docs: DataFrame, ident: str = "doc_id", text: str = "text", p
     spread = scratch.keep(roots.groupBy("token").agg(F.count(F.lit(1)).alias("k"), F.min("root").alias("hub")).where("k > 1"), "spread")
     few, many = spread.where(f"k <= {MANY}").select("token"), spread.where(f"k > {MANY}").select("token", "hub")
     open_ = scratch.keep(posts.join(few, "token", "left_semi"), "open")
-    pairs = scratch.keep(_open_pairs(open_, scratch.keep(roots.join(few, "token", "left_semi"), "open-roots"), percent, scratch), "pairs")
-    rest = verified(pairs, keyed, classes, percent, width, scratch).select("a", "b")
-    scratch.drop(open_, pairs)
+    open_roots = scratch.keep(roots.join(few, "token", "left_semi"), "open-roots")
     # shingles of many groups, which only large families of near copies or short texts have in front
     crowd = scratch.keep(posts.join(many, "token").select("class", "root", "hub").distinct(), "crowd")
     scratch.drop(posts, roots, spread)
+    pairs = scratch.keep(_open_pairs(open_, open_roots, percent, scratch), "pairs")
+    scratch.drop(open_, open_roots)
+    rest = verified(pairs, keyed, classes, percent, width, scratch).select("a", "b")
+    scratch.drop(pairs)
     clusters = contract(crowd.select(F.col("root").alias("a"), F.col("hub").alias("b")), scratch)
     clusters = clusters.select(F.col("node").alias("group"), F.col("root").alias("cluster"))
     members = crowd.select("class", F.col("root").alias("group")).distinct().join(clusters, "group")

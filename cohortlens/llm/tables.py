@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+from collections.abc import Iterator
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -11,7 +14,8 @@ from cohortlens.sources.shared import fresh_path
 # Words as all word-based operators read them, and what stands between them.
 WORD = r"[^\x20\x09-\x0D]+"
 # Bits of a filter: 4 MB broadcast, whatever the input. A full filter only stops filtering.
-FILTER_BITS = 1 << 25
+# Where that would cost disk, a filter of many values has up to 16 MB (``roomy_bits``).
+FILTER_BITS, MOST_FILTER_BITS = 1 << 25, 1 << 27
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -26,6 +30,19 @@ def spare_name(frame: DataFrame, wanted: str) -> str:
     return wanted
 
 
+@contextlib.contextmanager
+def brief_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the queries run inside go when their query ends, on all executors,
+    and not when the driver happens to collect its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, was)
+
+
 class Scratch:
     """Tables written below ``spark.checkpoint.dir`` and read back: they cut lineage, fix
     every draw, and outlive executors. ``drop`` removes those no later plan reads."""
@@ -36,7 +53,8 @@ class Scratch:
 
     def keep(self, frame: DataFrame, label: str) -> DataFrame:
         path = fresh_path(self.spark, label)
-        frame.write.mode("errorifexists").parquet(path)
+        with brief_shuffles(self.spark):
+            frame.write.mode("errorifexists").parquet(path)
         back = self.spark.read.schema(frame.schema).parquet(path)
         self._paths[id(back)] = path
         back._scratch = self
@@ -105,6 +123,11 @@ def has_bit(filter_: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (filter_[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
+def roomy_bits(values: int) -> int:
+    """Bits for a filter of so many values that sets one in eight of them at most, as far as they go."""
+    return min(MOST_FILTER_BITS, max(FILTER_BITS, 1 << (8 * values - 1).bit_length())) if values else FILTER_BITS
+
+
 def bit_filter(values: DataFrame, column: str, bits: int = FILTER_BITS) -> np.ndarray:
     """One bit for the low bits of every 64-bit value in the column, never a false zero.
 
@@ -113,7 +136,8 @@ def bit_filter(values: DataFrame, column: str, bits: int = FILTER_BITS) -> np.nd
     low = F.col(column).bitwiseAND(bits - 1)
     words = values.where(F.col(column).isNotNull()).groupBy(F.shiftright(low, 5).cast("int").alias("word")).agg(
         F.bit_or(F.expr(f"shiftleft(1L, cast({column} & 31L as int))")).alias("set"))
-    got = words.toArrow()
+    with brief_shuffles(values.sparkSession):
+        got = words.toArrow()
     out = np.zeros(bits // 32, dtype=np.uint32)
     out[got["word"].to_numpy()] = got["set"].to_numpy().astype(np.uint32)
     return out.view(np.uint8)

@@ -1,12 +1,13 @@
 import collections
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from cohortlens.llm import decontaminate, prefix_tree_join
-from cohortlens.llm.tables import Scratch, components
+from cohortlens.llm.tables import FILTER_BITS, MOST_FILTER_BITS, Scratch, bit_filter, components, has_bit, roomy_bits
 from cohortlens.llm.text import rolling, shingle_sets
 from cases import EDGES, LOWER, words
 
@@ -315,3 +316,78 @@ def test_min_hashes_and_samples_are_gone_before_sets_are_written(spark, monkeypa
     got = {r.doc_id: r.component_id for r in prefix_tree_join.similar_groups(docs).collect()}
     assert got == {i: i - i % 2 for i in range(24)}
     assert beside and not any({"hashes", "sample"} & set(columns) for columns in beside)
+
+
+def test_sets_are_shuffled_for_a_few_pairs_and_tiles_at_a_time(spark, monkeypatch):
+    """The groups are those of a search in one piece, whatever is shuffled at the same time."""
+    for name, value in (("MANY", 3), ("TILE", 4), ("PAIRS_AT_ONCE", 5), ("TILES_AT_ONCE", 2)):
+        monkeypatch.setattr(prefix_tree_join, name, value)
+    written, keep = collections.Counter(), Scratch.keep
+    monkeypatch.setattr(Scratch, "keep", lambda self, frame, label: (written.update([label]), keep(self, frame, label))[1])
+    rng, rows = random.Random(7), []
+    for family in range(6):
+        first = [f"w{family}x{i}" for i in range(60)]
+        for _ in range(10):
+            text = list(first)
+            for _ in range(rng.choice([1, 2, 3])):
+                text[rng.randrange(60)] = f"new{rng.random()}"
+            rows.append((len(rows), " ".join(text)))
+    got = sorted(map(tuple, prefix_tree_join.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert got == sorted(groups_by_force(rows))
+    assert written["verified"] > 3 and written["tile-links"] > 2
+
+
+def test_lines_of_many_texts_are_compared_last(spark, monkeypatch):
+    """No texts meet in tiles for a line that a tenth of their words is."""
+    monkeypatch.setattr(prefix_tree_join, "MANY", 8)
+    members, keep = [], Scratch.keep
+
+    def noted(self, frame, label):
+        out = keep(self, frame, label)
+        if label == "members":
+            members.append(out.count())
+        return out
+
+    monkeypatch.setattr(Scratch, "keep", noted)
+    rows = []
+    for line in range(40):
+        for k in range(70):
+            own = [f"o{line}x{k}x{i}" for i in range(12)]
+            rows.append((len(rows), " ".join([*own[:6], *(f"l{line}x{i}" for i in range(6)), *own[6:]])))
+    got = prefix_tree_join.similar_groups(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got.where("component_id <> doc_id").isEmpty() and got.count() == len(rows)
+    assert members == [0]
+
+
+def test_prefixes_take_shingles_of_few_texts_first(spark):
+    text = pa.array([" ".join(f"w{i}" for i in range(104))])
+    (tokens,) = shingle_sets(text)
+    often = tokens[::2]
+    filters = [bit_filter(spark.createDataFrame([(int(t),) for t in some.view(np.int64)], "token long"), "token") for some in (often, often[::2])]
+    run, _ = prefix_tree_join._prefixes(40, 5, np.full(1 << 10, 255, np.uint8), filters)
+    (got,) = run([pa.RecordBatch.from_arrays([pa.array([1], pa.int64()), text], names=["key", "text"])])
+    prefix = got.column("prefix")[0].as_py()
+    level = prefix_tree_join.frequency_level(np.array(prefix, np.int64).view(np.uint64), filters)
+    assert len(prefix) == 61 and list(level) == [0] * 50 + [1] * 11
+    assert got.column("edge")[0].as_py() >> 60 == 1
+
+
+def test_a_filter_of_many_values_has_room():
+    assert [roomy_bits(n) for n in (0, 1, 1 << 22, (1 << 22) + 1, 1 << 24, 1 << 30)] == [FILTER_BITS, FILTER_BITS, FILTER_BITS, 1 << 26, MOST_FILTER_BITS, MOST_FILTER_BITS]
+    assert has_bit(np.full(MOST_FILTER_BITS // 8, 255, np.uint8), np.array([0, 1 << 63, (1 << 64) - 1], np.uint64)).all()
+
+
+def test_shuffle_files_go_with_the_query_that_wrote_them(spark):
+    def files():
+        there = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {there.apply(k).name() for k in range(there.size()) if there.apply(k).isShuffle()}
+
+    before, scratch = files(), Scratch(spark)
+    flag = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(flag)
+    held = scratch.keep(spark.range(10_000).groupBy("id").count(), "counted")
+    until = time.time() + 10
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before
+    assert held.count() == 10_000 and spark.conf.get(flag) == was
